@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The loads this package rebuilds are batch only: no stream source or sink,
+watermark, event-time window or state exists in them.  A conformed table is
+rebuilt from whole snapshots of its sources, so there is no streaming
+operator to provide here (see README, "Not built").
+"""
