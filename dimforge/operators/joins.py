@@ -1,42 +1,83 @@
-"""Lookup joins with a size-checked broadcast."""
+"""Lookup joins with a size-checked broadcast.
+
+A lookup side is broadcast only after a bounded count proves it holds at
+most ``Settings.broadcast_max_rows`` rows; a side that grows with the data
+falls back to a shuffle join (sort-merge), where AQE splits a skewed key
+over several tasks.  The checks of a whole join chain run as one Spark job.
+"""
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.config import DEFAULT, Settings
 
+# Results of earlier checks, per DataFrame object (a frame is immutable).
+_checked: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
+
+
+def bounded_fits(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
+    """For each frame, whether it has at most ``max_rows`` rows.
+
+    One job for all frames: each is cut to ``max_rows + 1`` rows, tagged,
+    and the tags are counted; the driver receives one small row per frame.
+    """
+    todo = [i for i, f in enumerate(frames) if _checked.get(f, (None,))[0] != max_rows]
+    if todo:
+        tagged = [frames[i].limit(max_rows + 1).select(F.lit(i).alias("__i")) for i in todo]
+        counts = {r["__i"]: r["n"] for r in
+                  reduce(DataFrame.unionAll, tagged).groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for i in todo:
+            _checked[frames[i]] = (max_rows, counts.get(i, 0) <= max_rows)
+    return [_checked[f][1] for f in frames]
+
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` has at most ``max_rows`` rows (bounded count)."""
+    return bounded_fits([df], max_rows)[0]
+
 
-    Counts at most ``max_rows + 1`` rows, so the check stays cheap on a large
-    side; this is the proven bound behind every broadcast in the package.
+@dataclass(frozen=True)
+class Lookup:
+    """One lookup of a join chain.
+
+    ``broadcast``: ``"auto"`` (size-checked), ``True`` for a side bounded by
+    construction (a literal list), ``False`` to never broadcast.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+
+    frame: DataFrame
+    on: Column | str | Sequence[str]
+    how: str = "inner"
+    broadcast: bool | str = "auto"
+
+
+def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings = DEFAULT) -> DataFrame:
+    """Join ``left`` to each lookup in order (a star, or a snowflake when a
+    lookup's key comes from an earlier one).
+
+    Inner, left outer and left semi joins keep ``left`` as the streamed
+    side, so a broadcast right side is always legal.
+    """
+    auto = [lk.frame for lk in lookups if lk.broadcast == "auto"]
+    fits = iter(bounded_fits(auto, settings.broadcast_max_rows)) if auto else iter(())
+    out = left
+    for lk in lookups:
+        use = next(fits) if lk.broadcast == "auto" else bool(lk.broadcast)
+        out = out.join(F.broadcast(lk.frame) if use else lk.frame, lk.on, lk.how)
+    return out
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Column | str | Sequence[str],
                 how: str = "inner", broadcast: bool | str = "auto",
                 settings: Settings = DEFAULT) -> DataFrame:
-    """Join a (possibly large) left side to a lookup ``right`` side.
-
-    ``broadcast``: ``"auto"`` broadcasts ``right`` only after
-    :func:`fits_broadcast` proves it under ``settings.broadcast_max_rows``;
-    otherwise Spark plans a shuffle join and AQE splits skewed keys.  ``True``
-    is for sides bounded by construction (a literal list); ``False`` never
-    broadcasts.  Only inner, left outer and left semi joins broadcast the
-    right side, which are the ones used here.
-    """
-    if broadcast == "auto":
-        use = fits_broadcast(right, settings.broadcast_max_rows)
-    else:
-        use = bool(broadcast)
-    side = F.broadcast(right) if use else right
-    return left.join(side, on, how)
+    """Join a (possibly large) left side to one lookup ``right`` side."""
+    return chain_lookups(left, [Lookup(right, on, how, broadcast)], settings)
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: Column | str | Sequence[str],

@@ -29,7 +29,7 @@ from dimforge.functions import (
     typed,
     typed_constant,
 )
-from dimforge.operators import conform_origins, group_sum, in_list, lookup_join, semi_join, stage
+from dimforge.operators import Lookup, chain_lookups, conform_origins, group_sum, in_list, stage
 
 # Raw table names, the plan scenario, active simulation states
 # and the last legacy season year.
@@ -155,23 +155,25 @@ def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
     """
     o = schemas.CURRENT
     u = stage_plan(raw[RAW_PLAN], settings, distinct=False)
-    out = lookup_join(u, stage_periods(raw[RAW_PERIOD], settings), "ID_PERIODOSAFRA", settings=settings)
-    out = lookup_join(out, stage_scenarios(raw[RAW_SCENARIO], settings), "ID_CENARIO", settings=settings)
     field = _of_origin(dims.field, o).select(F.col("ID_DOMAIN").alias("ID_UPN3_FISICO"), "COD_LAVOURA")
-    out = lookup_join(out, field, "ID_UPN3_FISICO", settings=settings)
     season = _of_origin(dims.season, o).select("ID_SAFRA", "ANO_AGRICOLA", "SAFRINHA")
-    out = lookup_join(out, season, "ID_SAFRA", settings=settings)
     variety = _of_origin(dims.variety, o).select(
         F.col("ID_DOMAIN").alias("ID_VARIEDADE"), "COD_VARIEDADE", "CICLO_VARIEDADE")
-    out = lookup_join(out, variety, "ID_VARIEDADE", settings=settings)
     crop = _of_origin(dims.crop, o).select(
         F.col("ID_DOMAIN").alias("ID_OCUPACAO"), "COD_CULTURA", "CULTURA", "FATOR_CONVERSAO")
-    out = lookup_join(out, crop, "ID_OCUPACAO", settings=settings)
     site = _of_origin(dims.site, o).select(
         F.col("ID_DOMAIN").alias("ID_UPNIVEL2"), "COD_SEDE", "UF", "REGIAO", "REGIONAL", "ID_FAZENDA")
-    out = lookup_join(out, site, "ID_UPNIVEL2", settings=settings)
-    out = lookup_join(out, dims.farm.select("ID_FAZENDA", "SIGLA_FAZENDA"), "ID_FAZENDA",
-                      settings=settings)
+    farm = dims.farm.select("ID_FAZENDA", "SIGLA_FAZENDA")
+    out = chain_lookups(u, [
+        Lookup(stage_scenarios(raw[RAW_SCENARIO], settings), "ID_CENARIO"),
+        Lookup(stage_periods(raw[RAW_PERIOD], settings), "ID_PERIODOSAFRA"),
+        Lookup(field, "ID_UPN3_FISICO"),
+        Lookup(season, "ID_SAFRA"),
+        Lookup(variety, "ID_VARIEDADE"),
+        Lookup(crop, "ID_OCUPACAO"),
+        Lookup(site, "ID_UPNIVEL2"),
+        Lookup(farm, "ID_FAZENDA"),
+    ], settings)
     origin = F.col("ID_ORIGEM_DB")
     return out.select(
         F.col("ID_UPN3_PLAN").alias("ID_DOMAIN"), "ID_ORIGEM_DB",
@@ -204,32 +206,28 @@ def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: S
     on the surrogate key ``origin || local id``, computed once per row.
     """
     d4 = stage_divisions(raw[RAW_DIVISION], settings, distinct=False, last_year=last_year)
-    d4 = semi_join(d4, stage_simulations(raw[RAW_SIMULATION], settings),
-                   ["COD_SIMULACAO", "SAF_ANO_SAFRA"], settings=settings)
+    active = stage_simulations(raw[RAW_SIMULATION], settings)
+    d4 = chain_lookups(d4, [Lookup(active, ["COD_SIMULACAO", "SAF_ANO_SAFRA"], "left_semi")], settings)
     origin = F.col("ID_ORIGEM_DB")
     keyed = d4.select(
-        "*",
+        *(c for c in d4.columns if c != "COD_CULTURA"),
         origin_key(origin, "ID_DIVI3").alias("K_FIELD"),
         origin_key(origin, "COD_VARIE").alias("K_VARIETY"),
         origin_key(origin, "COD_CULTURA").alias("K_CROP"),
         origin_key(origin, "COD_EMPR").alias("K_SITE"),
         origin_key(origin, "ID_SAFRA").alias("K_SEASON"),
     )
-    field = dims.field.select(F.col("ID_LAV_FISICA").alias("K_FIELD"), "COD_LAVOURA")
-    out = lookup_join(keyed, field, "K_FIELD", settings=settings)
-    variety = dims.variety.select(F.col("ID_VARIEDADE").alias("K_VARIETY"), "COD_VARIEDADE",
-                                  "CICLO_VARIEDADE")
-    out = lookup_join(out, variety, "K_VARIETY", settings=settings)
-    crop = dims.crop.select(F.col("ID_CULTURA").alias("K_CROP"), "COD_CULTURA", "CULTURA",
-                            "FATOR_CONVERSAO")
-    out = lookup_join(out.withColumnRenamed("COD_CULTURA", "RAW_COD_CULTURA"), crop, "K_CROP",
-                      settings=settings)
-    site = dims.site.select(F.col("ID_SEDE").alias("K_SITE"), "COD_SEDE", "UF", "REGIAO", "REGIONAL")
-    out = lookup_join(out, site, "K_SITE", settings=settings)
-    farm = dims.farm.select(F.col("ID_FAZENDA").alias("K_SITE"), "SIGLA_FAZENDA")
-    out = lookup_join(out, farm, "K_SITE", settings=settings)
-    season = dims.season.select(F.col("ID_SAFRA").alias("K_SEASON"), "SAFRINHA")
-    out = lookup_join(out, season, "K_SEASON", settings=settings)
+    out = chain_lookups(keyed, [
+        Lookup(dims.field.select(F.col("ID_LAV_FISICA").alias("K_FIELD"), "COD_LAVOURA"), "K_FIELD"),
+        Lookup(dims.variety.select(F.col("ID_VARIEDADE").alias("K_VARIETY"), "COD_VARIEDADE",
+                                   "CICLO_VARIEDADE"), "K_VARIETY"),
+        Lookup(dims.crop.select(F.col("ID_CULTURA").alias("K_CROP"), "COD_CULTURA", "CULTURA",
+                                "FATOR_CONVERSAO"), "K_CROP"),
+        Lookup(dims.site.select(F.col("ID_SEDE").alias("K_SITE"), "COD_SEDE", "UF", "REGIAO",
+                                "REGIONAL"), "K_SITE"),
+        Lookup(dims.farm.select(F.col("ID_FAZENDA").alias("K_SITE"), "SIGLA_FAZENDA"), "K_SITE"),
+        Lookup(dims.season.select(F.col("ID_SAFRA").alias("K_SEASON"), "SAFRINHA"), "K_SEASON"),
+    ], settings)
     return out.select(
         F.col("ID_DIVI4").alias("ID_DOMAIN"), "ID_ORIGEM_DB",
         business_key(origin, strip_separators("COD_SAFRA"), "ID_DIVI4",

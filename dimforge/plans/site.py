@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from dimforge import schemas
 from dimforge.config import DEFAULT, Settings
 from dimforge.functions import farm_code, origin_key, site_code, tax_id_mask, title_case, trimmed, typed
-from dimforge.operators import conform_origins, lookup_join, stage, starts_with
+from dimforge.operators import Lookup, chain_lookups, conform_origins, stage, starts_with
 
 # Raw table names read by this plan, and the farm prefix.
 RAW_SITE = "Upnivel2"
@@ -108,11 +108,13 @@ def current_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
                  region_how: str = "left") -> DataFrame:
     """Current-system sites through the snowflake; region optional by default."""
     sites = stage_sites(raw[RAW_SITE], settings, distinct=False)
-    out = lookup_join(sites, stage_units(raw[RAW_UNIT], settings), "ID_UPNIVEL1", settings=settings)
-    out = lookup_join(out, stage_branches(raw[RAW_BRANCH], settings), "ID_FILIAL", settings=settings)
-    out = lookup_join(out, stage_cities(raw[RAW_CITY], settings), "ID_MUNICIPIO", settings=settings)
-    out = lookup_join(out, stage_states(raw[RAW_STATE], settings), "ID_UNIFEDERACAO", settings=settings)
-    out = lookup_join(out, stage_regions(raw[RAW_REGION]), "COD_FAZENDA", region_how, settings=settings)
+    out = chain_lookups(sites, [
+        Lookup(stage_units(raw[RAW_UNIT], settings), "ID_UPNIVEL1"),
+        Lookup(stage_branches(raw[RAW_BRANCH], settings), "ID_FILIAL"),
+        Lookup(stage_cities(raw[RAW_CITY], settings), "ID_MUNICIPIO"),
+        Lookup(stage_states(raw[RAW_STATE], settings), "ID_UNIFEDERACAO"),
+        Lookup(stage_regions(raw[RAW_REGION]), "COD_FAZENDA", region_how),
+    ], settings)
     o = F.col("ID_ORIGEM_DB")
     return out.select(
         F.col("ID_UPNIVEL2").alias("ID_DOMAIN"), "ID_ORIGEM_DB",
@@ -125,8 +127,8 @@ def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
                 region_how: str = "inner", analysis: bool = False) -> DataFrame:
     """Legacy sites; the region is required by default (per-origin optionality)."""
     companies = stage_companies(raw[RAW_COMPANY], settings, analysis, distinct=False)
-    out = lookup_join(companies, stage_regions(raw[RAW_REGION]), "COD_FAZENDA", region_how,
-                      settings=settings)
+    out = chain_lookups(companies, [Lookup(stage_regions(raw[RAW_REGION]), "COD_FAZENDA", region_how)],
+                        settings)
     o = F.col("ID_ORIGEM_DB")
     cols = [
         F.col("COD_EMPR").alias("ID_DOMAIN"), "ID_ORIGEM_DB",

@@ -18,7 +18,7 @@ from dimforge.functions import (
     typed_constant,
     zero_if_null,
 )
-from dimforge.operators import conform_origins, lookup_join, stage
+from dimforge.operators import Lookup, chain_lookups, conform_origins, stage
 
 # Raw table names, flag codes and labels of each system.
 RAW_VARIETY = "variedade"
@@ -97,12 +97,11 @@ def stage_legacy_groups(raw: DataFrame, settings: Settings = DEFAULT) -> DataFra
 
 def current_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> DataFrame:
     v = stage_varieties(raw[RAW_VARIETY], settings, distinct=False)
-    out = lookup_join(v, stage_variety_details(raw[RAW_VARIETY_EP], settings), "ID_VARIEDADE",
-                      settings=settings)
-    out = lookup_join(out, stage_maturity_groups(raw[RAW_MATURITY], settings), "ID_GRPMATURACAO",
-                      settings=settings)
-    out = lookup_join(out, stage_variety_groups(raw[RAW_GROUP], settings), "ID_GRPVARIEDADE",
-                      settings=settings)
+    out = chain_lookups(v, [
+        Lookup(stage_variety_details(raw[RAW_VARIETY_EP], settings), "ID_VARIEDADE"),
+        Lookup(stage_maturity_groups(raw[RAW_MATURITY], settings), "ID_GRPMATURACAO"),
+        Lookup(stage_variety_groups(raw[RAW_GROUP], settings), "ID_GRPVARIEDADE"),
+    ], settings)
     o = F.col("ID_ORIGEM_DB")
     return out.select(
         F.col("ID_VARIEDADE").alias("ID_DOMAIN"), "ID_ORIGEM_DB",
@@ -121,8 +120,8 @@ def current_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) ->
 
 def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> DataFrame:
     v = stage_legacy_varieties(raw[RAW_LEGACY_VARIETY], settings, distinct=False)
-    out = lookup_join(v, stage_legacy_groups(raw[RAW_LEGACY_GROUP], settings), "COD_GRUPO_VARIE",
-                      settings=settings)
+    out = chain_lookups(v, [Lookup(stage_legacy_groups(raw[RAW_LEGACY_GROUP], settings), "COD_GRUPO_VARIE")],
+                        settings)
     o = F.col("ID_ORIGEM_DB")
     return out.select(
         F.col("COD_VARIE").alias("ID_DOMAIN"), "ID_ORIGEM_DB",
