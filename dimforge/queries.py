@@ -11,8 +11,42 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from dimforge.operators import origin_registry
+from dimforge import schemas
+from dimforge.functions import season_key_legacy as season_key_legacy_fn
+from dimforge.functions import (
+    COMPACT_STAMP,
+    DAY_MONTH_YEAR,
+    business_key,
+    first_available,
+    flag_label,
+    origin_key,
+    positive_or_null,
+    strip_separators,
+    tax_id_mask,
+    title_case,
+    to_date,
+    trimmed,
+    typed,
+    typed_constant,
+)
+from dimforge.operators import (
+    Lookup,
+    chain_lookups,
+    conform_origins,
+    conform_union,
+    contains,
+    group_sum,
+    in_list,
+    origin_cutover,
+    origin_registry,
+    semi_join,
+    stage,
+    starts_with,
+)
+from dimforge.plans import planning, site
 from dimforge.plans import (
     ConformedTables,
     build_field,
@@ -22,7 +56,9 @@ from dimforge.plans import (
     build_variety,
 )
 from dimforge.sources.driver_tables import DriverTables
-from dimforge.sources.snapshot import snapshot_once, snapshot_path
+from dimforge.schemas import _schema
+from dimforge.sources.catalog import register_views
+from dimforge.sources.snapshot import preview, publish, snapshot_once, snapshot_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +112,368 @@ def conformed_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_planning(DriverTables(spark, sf_dir).planning_raw(), dims, origin_registry(spark))
 
 
+# ---------------------------------------------------------------- operators
+def _t(spark: SparkSession, sf_dir: str) -> DriverTables:
+    return DriverTables(spark, sf_dir)
+
+
+def stage_cast_distinct(spark, sf_dir):
+    """Typed, renamed projection with origin tag, placeholders and typed NULL, then DISTINCT."""
+    customer = _t(spark, sf_dir).table("customer")
+    return stage(customer, [
+        typed("c_nationkey", "bigint").alias("ID_DOMAIN"),
+        F.lit(schemas.CURRENT).alias("ID_ORIGEM_DB"),
+        F.col("c_mktsegment").alias("SEGMENTO"),
+        typed_constant("TBD", "string").alias("FORNECEDOR"),
+        typed_constant(0, "decimal(18,6)").alias("PRODUCAO"),
+        typed_constant(None, "timestamp").alias("DATA_INATIVACAO"),
+        typed("c_nationkey", "int").alias("ID_PAIS"),
+    ])
+
+
+def filter_prefix(spark, sf_dir):
+    """``LEFT(x, n) = p`` as a prefix test pushed to the Parquet scan."""
+    part = _t(spark, sf_dir).table("part")
+    return stage(part, ["p_partkey", "p_brand", "p_name"], where=starts_with("p_brand", "Brand#1"),
+                 distinct=False)
+
+
+def filter_in(spark, sf_dir):
+    """Active simulations: ``IN (3, 4)`` filter, typed, distinct (legacy staging)."""
+    return planning.stage_simulations(_t(spark, sf_dir).planning_raw()["ga_prp_simula"])
+
+
+def filter_cutover(spark, sf_dir):
+    """Legacy rows up to a last season year."""
+    orders = _t(spark, sf_dir).table("orders")
+    staged = stage(orders, [
+        F.col("o_orderkey").alias("ID_DIVI4"),
+        F.year("o_orderdate").alias("SAF_ANO_SAFRA"),
+        typed("o_totalprice", "decimal(18,2)").alias("VALOR"),
+    ], distinct=False)
+    return origin_cutover(staged, "SAF_ANO_SAFRA", 1999)
+
+
+def filter_contains(spark, sf_dir):
+    """``LIKE '%x%'`` row filter."""
+    part = _t(spark, sf_dir).table("part")
+    return stage(part, ["p_partkey", "p_name"], where=contains("p_name", "red"), distinct=False)
+
+
+def filter_conj(spark, sf_dir):
+    """Point look at a result: conjunction of equalities."""
+    customer = _t(spark, sf_dir).table("customer")
+    staged = stage(customer, ["c_custkey", "c_name", "c_mktsegment", "c_nationkey"], distinct=False)
+    return preview(staged, c_mktsegment="BUILDING", c_nationkey=3)
+
+
+ENTITY = _schema("ID_DOMAIN bigint, ID_ORIGEM_DB int, ID_ENTIDADE string, ORIGEM_DB string,"
+                 " NOME string, ID_PAIS string")
+
+
+def origin_key_registry(spark, sf_dir):
+    """Origin-keyed entities of two systems, unioned, labelled by the registry."""
+    t = _t(spark, sf_dir)
+    cur = t.table("customer").select(
+        F.col("c_custkey").alias("ID_DOMAIN"), F.lit(schemas.CURRENT).alias("ID_ORIGEM_DB"),
+        origin_key(schemas.CURRENT, "c_custkey").alias("ID_ENTIDADE"), "c_name",
+        origin_key(schemas.CURRENT, "c_nationkey").alias("ID_PAIS"))
+    leg = t.table("supplier").select(
+        F.col("s_suppkey").alias("ID_DOMAIN"), F.lit(schemas.LEGACY).alias("ID_ORIGEM_DB"),
+        origin_key(schemas.LEGACY, "s_suppkey").alias("ID_ENTIDADE"), "s_name",
+        origin_key(schemas.LEGACY, "s_nationkey").alias("ID_PAIS"))
+    return conform_origins([cur, leg], ENTITY, origin_registry(spark))
+
+
+def join_composite(spark, sf_dir):
+    """Fact rows of two origins matched on (local id, origin id)."""
+    t = _t(spark, sf_dir)
+    origin = F.when(F.col("l_returnflag") == "R", F.lit(schemas.LEGACY)).otherwise(F.lit(schemas.CURRENT))
+    fact = t.table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("ID_DOMAIN"),
+                                      origin.alias("ID_ORIGEM_DB"))
+    part = t.table("part")
+    dim = part.select(F.col("p_partkey").alias("ID_DOMAIN"), F.lit(schemas.CURRENT).alias("ID_ORIGEM_DB"),
+                      F.col("p_brand").alias("MARCA")).unionByName(
+        part.select(F.col("p_partkey").alias("ID_DOMAIN"), F.lit(schemas.LEGACY).alias("ID_ORIGEM_DB"),
+                    F.col("p_type").alias("MARCA")))
+    return chain_lookups(fact, [Lookup(dim, ["ID_DOMAIN", "ID_ORIGEM_DB"])])
+
+
+def join_computed_key(spark, sf_dir):
+    """Fact matched to a table's stored surrogate key, computed on the fact side."""
+    t = _t(spark, sf_dir)
+    fact = t.table("lineitem").select("l_orderkey", "l_linenumber",
+                                      origin_key(schemas.LEGACY, "l_suppkey").alias("ID_SEDE"))
+    dim = t.table("supplier").select(origin_key(schemas.LEGACY, "s_suppkey").alias("ID_SEDE"), "s_name")
+    return chain_lookups(fact, [Lookup(dim, "ID_SEDE")])
+
+
+def _region_lookup(t: DriverTables) -> DataFrame:
+    return stage(t.table("nation"), ["n_nationkey", "n_name"], where=F.col("n_regionkey") < 3)
+
+
+def join_left_lookup(spark, sf_dir):
+    """Optional attribute: LEFT join to a filtered lookup."""
+    t = _t(spark, sf_dir)
+    fact = t.table("customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    return chain_lookups(fact, [Lookup(_region_lookup(t), "n_nationkey", "left")])
+
+
+MIXED = _schema("ID_DOMAIN bigint, ID_ORIGEM_DB int, NACAO string")
+
+
+def join_mixed_optionality(spark, sf_dir):
+    """Same lookup, LEFT for one origin and INNER for the other, then union."""
+    t = _t(spark, sf_dir)
+    look = _region_lookup(t)
+    cur = chain_lookups(t.table("customer").select(
+        F.col("c_custkey").alias("ID_DOMAIN"), F.lit(schemas.CURRENT).alias("ID_ORIGEM_DB"),
+        F.col("c_nationkey").alias("n_nationkey")), [Lookup(look, "n_nationkey", "left")])
+    leg = chain_lookups(t.table("supplier").select(
+        F.col("s_suppkey").alias("ID_DOMAIN"), F.lit(schemas.LEGACY).alias("ID_ORIGEM_DB"),
+        F.col("s_nationkey").alias("n_nationkey")), [Lookup(look, "n_nationkey", "inner")])
+    return conform_union([cur.select("ID_DOMAIN", "ID_ORIGEM_DB", "n_name"),
+                          leg.select("ID_DOMAIN", "ID_ORIGEM_DB", "n_name")], MIXED)
+
+
+def join_snowflake(spark, sf_dir):
+    """Chain supplier -> nation -> region (each key from the previous lookup)."""
+    t = _t(spark, sf_dir)
+    out = chain_lookups(t.table("supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("n_nationkey")), [
+        Lookup(t.table("nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey"),
+        Lookup(t.table("region").select("r_regionkey", "r_name"), "r_regionkey"),
+    ])
+    return out.select("s_suppkey", "s_name", "n_name", "r_name")
+
+
+def join_star(spark, sf_dir):
+    """Fact joined to six lookups (two levels deep through customer -> nation -> region)."""
+    t = _t(spark, sf_dir)
+    fact = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    out = chain_lookups(fact, [
+        Lookup(t.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus"), "l_orderkey"),
+        Lookup(t.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey"), "o_custkey"),
+        Lookup(t.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey"),
+        Lookup(t.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey"),
+        Lookup(t.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey"), "c_nationkey"),
+        Lookup(t.table("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name"), "n_regionkey"),
+    ])
+    return out.select("l_orderkey", "l_linenumber", "o_orderstatus", "c_name", "p_brand", "s_name", "n_name",
+                      "r_name", typed("l_quantity", "decimal(18,2)").alias("l_quantity"))
+
+
+def semi_active(spark, sf_dir):
+    """Rows whose order is open or pending (semi join: no column, no duplicate added)."""
+    t = _t(spark, sf_dir)
+    active = stage(t.table("orders"), [F.col("o_orderkey").alias("l_orderkey")],
+                   where=in_list("o_orderstatus", ["O", "P"]))
+    return semi_join(t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+                     active, "l_orderkey")
+
+
+def group_sum_area(spark, sf_dir):
+    """Grouped sum cast to decimal(18,6)."""
+    lineitem = _t(spark, sf_dir).table("lineitem")
+    return group_sum(lineitem, ["l_suppkey", "l_returnflag", "l_linestatus"], "l_quantity", "QT_AREA_PROD",
+                     "decimal(18,6)")
+
+
+def plan_staging(spark, sf_dir):
+    """Planning staging: sum per raw grain, typed after the sum, DISTINCT after the types."""
+    return planning.stage_plan(_t(spark, sf_dir).planning_raw()["upn3_plan"], distinct=True)
+
+
+def group_then_date_distinct(spark, sf_dir):
+    """Sum per raw timestamp, projected to the date, then DISTINCT (equal day rows merge)."""
+    events = _t(spark, sf_dir).table("events").select(
+        "user_id", "event_type", "ts", F.floor(F.col("value") / 100).alias("coarse"))
+    summed = group_sum(events, ["user_id", "event_type", "ts"], "coarse", "TOTAL")
+    return stage(summed, ["user_id", "event_type", to_date("ts").alias("DIA"),
+                          typed("TOTAL", "decimal(18,6)").alias("TOTAL")])
+
+
+WIDE = _schema("ID bigint, VALOR decimal(22,6), DATA timestamp")
+
+
+def union_widen_distinct(spark, sf_dir):
+    """Positional union of decimal(18,2)/date and decimal(18,6)/NULL timestamp, then DISTINCT."""
+    t = _t(spark, sf_dir)
+    a = t.table("orders").select("o_orderkey", typed("o_totalprice", "decimal(18,2)"), to_date("o_orderdate"))
+    b = t.table("part").select("p_partkey", typed("p_retailprice", "decimal(18,6)"),
+                               typed_constant(None, "timestamp"))
+    return conform_union([a, b, a], WIDE)
+
+
+MISSING = _schema("ID bigint, NOME string, PAIS int, SALDO decimal(18,2)")
+
+
+def union_missing_column(spark, sf_dir):
+    """Union of a 3-column side and a 4-column side (missing column as NULL)."""
+    t = _t(spark, sf_dir)
+    a = t.table("customer").select("c_custkey", "c_name", "c_nationkey")
+    b = t.table("supplier").select("s_suppkey", "s_name", "s_nationkey", typed("s_acctbal", "decimal(18,2)"))
+    return conform_union([a, b], MISSING, allow_missing=True)
+
+
+def season_key_current(spark, sf_dir):
+    """Current-system season key (ERP code, else dash part, else '-1'), via the period staging."""
+    orders = _t(spark, sf_dir).table("orders")
+    status = F.col("o_orderstatus")
+    periods = orders.select(
+        F.col("o_orderkey").alias("ID_PERIODOSAFRA"),
+        F.year("o_orderdate").alias("ID_SAFRA"),
+        F.when(status == "F", status).alias("CD_INT_ERP"),
+        F.when(status == "P", status).otherwise(F.col("o_orderpriority")).alias("DE_PER_SAFRA"),
+        F.col("o_custkey").alias("ID_OCUPACAO"),
+    )
+    return planning.stage_periods(periods)
+
+
+def _season_codes(t: DriverTables) -> DataFrame:
+    return t.table("orders").select(
+        "o_orderkey",
+        F.concat(F.date_format("o_orderdate", "yyyy/MM"),
+                 F.when(F.col("o_orderstatus") == "F", F.lit("-2")).otherwise(F.lit(""))).alias("COD_SAFRA"))
+
+
+def season_key_legacy(spark, sf_dir):
+    """Legacy season key: first four characters, then the 9th or '1'; plus the stripped code."""
+    codes = _season_codes(_t(spark, sf_dir))
+    return codes.select("o_orderkey", "COD_SAFRA", season_key_legacy_fn("COD_SAFRA").alias("ID_SAFRA"),
+                        strip_separators("COD_SAFRA").alias("COD_SAFRA_LIMPO"))
+
+
+def strip_separators_query(spark, sf_dir):
+    """Separators '/' and '-' removed from codes."""
+    orders = _t(spark, sf_dir).table("orders")
+    return orders.select("o_orderkey", strip_separators("o_orderpriority").alias("PRIORIDADE"),
+                         strip_separators(F.date_format("o_orderdate", "yyyy/MM-dd")).alias("DATA_LIMPA"))
+
+
+def site_code(spark, sf_dir):
+    """Legacy company staging: FZ prefix filter, farm and site codes, names, tax id."""
+    return site.stage_companies(_t(spark, sf_dir).site_raw()["ga_empr"])
+
+
+def flags_fallbacks(spark, sf_dir):
+    """Positive-or-NULL, the two systems' flag labels, and item-else-group fallback."""
+    part = _t(spark, sf_dir).table("part")
+    ptype = F.col("p_type")
+    legacy_flag = F.when(ptype == "SMALL", F.lit(1)).when(ptype == "PROMO", F.lit(0))
+    item = positive_or_null(F.col("p_size") - 25)
+    return part.select(
+        "p_partkey",
+        item.alias("CICLO_ITEM"),
+        flag_label(F.substring(ptype, 1, 1), "S", "Sim", "Não").alias("TRANSGENIA_ATUAL"),
+        flag_label(legacy_flag, 1, "SIM", "NAO").alias("TRANSGENIA_LEGADO"),
+        first_available(item, typed(F.substring("p_brand", 7, 2), "int")).alias("CICLO_VARIEDADE"),
+    )
+
+
+def business_key_query(spark, sf_dir):
+    """Many-part business key and two-part surrogate key."""
+    lineitem = _t(spark, sf_dir).table("lineitem")
+    return lineitem.select(
+        business_key(F.lit(schemas.CURRENT), "l_orderkey", "l_partkey", "l_suppkey",
+                     "l_linestatus").alias("ID_PLANEJAMENTO_AGRICOLA"),
+        origin_key(schemas.CURRENT, "l_orderkey").alias("ID_LAV_LOGICA"),
+        "l_linenumber")
+
+
+def names_trim_initcap(spark, sf_dir):
+    """Title case by blank-separated words; trimmed codes."""
+    part = _t(spark, sf_dir).table("part")
+    return part.select("p_partkey", title_case("p_name").alias("NOME"),
+                       trimmed(F.concat(F.lit("  "), F.col("p_brand"), F.lit(" "))).alias("MARCA"),
+                       title_case("p_type").alias("TIPO"))
+
+
+def date_formats(spark, sf_dir):
+    """Dates from timestamps, from dd/MM/yyyy and yyyyMMddHHmmss text; malformed text is NULL."""
+    orders = _t(spark, sf_dir).table("orders")
+    return orders.select(
+        "o_orderkey",
+        to_date("o_orderdate").alias("DATA"),
+        to_date(F.date_format("o_orderdate", "dd/MM/yyyy"), DAY_MONTH_YEAR).alias("DATA_DMY"),
+        to_date(F.date_format("o_orderdate", "yyyyMMddHHmmss"), COMPACT_STAMP).alias("DATA_CARIMBO"),
+        to_date("o_orderpriority", DAY_MONTH_YEAR).alias("DATA_INVALIDA"),
+    )
+
+
+def tax_id_mask_query(spark, sf_dir):
+    """Company tax id layout; digits-only extraction; redacted form; over-long ids kept whole."""
+    customer = _t(spark, sf_dir).table("customer")
+    key = F.col("c_custkey").cast("string")
+    return customer.select(
+        "c_custkey",
+        tax_id_mask(key).alias("CNPJ"),
+        tax_id_mask("c_name").alias("CNPJ_NOME"),
+        tax_id_mask(key, redact=True).alias("CNPJ_OCULTO"),
+        tax_id_mask(F.concat(F.lpad(key, 10, "9"), F.lpad(key, 6, "0"))).alias("CNPJ_LONGO"),
+    )
+
+
+def _customer_stage(t: DriverTables) -> DataFrame:
+    return stage(t.table("customer"), [
+        typed("c_custkey", "bigint").alias("ID_DOMAIN"),
+        F.col("c_name").alias("NOME"),
+        typed("c_acctbal", "decimal(18,2)").alias("SALDO"),
+    ])
+
+
+def snapshot_roundtrip(spark, sf_dir):
+    """Materialise once: the first call writes the snapshot, the second reads it back."""
+    path = snapshot_path(spark, "snapshot", uuid.uuid4().hex[:12], "customer")
+    staged = _customer_stage(_t(spark, sf_dir))
+    snapshot_once(staged, path)
+    return snapshot_once(staged, path)
+
+
+def publish_roundtrip(spark, sf_dir):
+    """Publish to ``owner.table`` (new version folder + catalog swap), read the table back."""
+    staged = _customer_stage(_t(spark, sf_dir))
+    publish(staged, "dimforge_checks", "customer_stage")
+    return spark.table("`dimforge_checks`.`customer_stage`")
+
+
+def sql_over_view(spark, sf_dir):
+    """Ad-hoc SQL over a registered view of a conformed result."""
+    register_views({"dimforge_variety": conformed_variety(spark, sf_dir)})
+    return spark.sql("SELECT * FROM dimforge_variety WHERE DESC_COMPLETA_VARIEDADE LIKE '%Red%'")
+
+
 QUERIES: dict[str, Query] = {
+    "stage_cast_distinct": stage_cast_distinct,
+    "filter_prefix": filter_prefix,
+    "filter_in": filter_in,
+    "filter_cutover": filter_cutover,
+    "filter_contains": filter_contains,
+    "filter_conj": filter_conj,
+    "origin_key_registry": origin_key_registry,
+    "join_composite": join_composite,
+    "join_computed_key": join_computed_key,
+    "join_left_lookup": join_left_lookup,
+    "join_mixed_optionality": join_mixed_optionality,
+    "join_snowflake": join_snowflake,
+    "join_star": join_star,
+    "semi_active": semi_active,
+    "group_sum_area": group_sum_area,
+    "plan_staging": plan_staging,
+    "group_then_date_distinct": group_then_date_distinct,
+    "union_widen_distinct": union_widen_distinct,
+    "union_missing_column": union_missing_column,
+    "season_key_current": season_key_current,
+    "season_key_legacy": season_key_legacy,
+    "strip_separators": strip_separators_query,
+    "site_code": site_code,
+    "flags_fallbacks": flags_fallbacks,
+    "business_key": business_key_query,
+    "names_trim_initcap": names_trim_initcap,
+    "date_formats": date_formats,
+    "tax_id_mask": tax_id_mask_query,
+    "snapshot_roundtrip": snapshot_roundtrip,
+    "publish_roundtrip": publish_roundtrip,
+    "sql_over_view": sql_over_view,
     "conformed_field": conformed_field,
     "conformed_site": conformed_site,
     "conformed_site_analysis": conformed_site_analysis,
