@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,15 @@ from dimforge.operators.joins import lookup_join
 # The two registered source systems.
 DEFAULT_ORIGINS = ((schemas.LEGACY, "LEGACY"), (schemas.CURRENT, "CURRENT"))
 
+# Registries made from a literal list here: their size is known, no check needed.
+_LITERAL = weakref.WeakSet()
+
 
 def origin_registry(spark: SparkSession, origins: Sequence[tuple[int, str]] = DEFAULT_ORIGINS) -> DataFrame:
     """The registry as a literal table (``ID_DOMAIN``, ``DESC_BANCO_DADOS``)."""
-    return spark.createDataFrame(list(origins), schemas.REGISTRY)
+    registry = spark.createDataFrame(list(origins), schemas.REGISTRY)
+    _LITERAL.add(registry)
+    return registry
 
 
 def attach_origin(df: DataFrame, registry: DataFrame, origin_col: str = "ID_ORIGEM_DB",
@@ -29,5 +35,6 @@ def attach_origin(df: DataFrame, registry: DataFrame, origin_col: str = "ID_ORIG
     """
     reg = registry.select(registry["ID_DOMAIN"].alias("__origin_id"),
                           registry["DESC_BANCO_DADOS"].alias(label_col))
-    joined = lookup_join(df, reg, df[origin_col] == reg["__origin_id"], "inner", "auto", settings)
+    bounded = True if registry in _LITERAL else "auto"
+    joined = lookup_join(df, reg, df[origin_col] == reg["__origin_id"], "inner", bounded, settings)
     return joined.drop("__origin_id")

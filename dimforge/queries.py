@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,19 +91,28 @@ def conformed_tables(spark: SparkSession, sf_dir: str, materialize: bool = True)
     written to the shared folder (a fresh folder per call), and the fact
     reads them from there: their lineage is cut, and the broadcast checks of
     the fact count small Parquet tables instead of recomputing the builds.
+    The three builds are independent, so they are written concurrently
+    (one driver thread each; Spark interleaves their jobs).
     """
     t = DriverTables(spark, sf_dir)
     reg = origin_registry(spark)
-    field = build_field(t.field_raw(), reg)
-    variety = build_variety(t.variety_raw(), reg)
-    site = build_site(t.site_raw(), reg)
+    builds = {
+        "field": lambda: build_field(t.field_raw(), reg),
+        "variety": lambda: build_variety(t.variety_raw(), reg),
+        "site": lambda: build_site(t.site_raw(), reg),
+    }
     if materialize:
         run = uuid.uuid4().hex[:12]
-        field = snapshot_once(field, snapshot_path(spark, "conformed", run, "field"))
-        variety = snapshot_once(variety, snapshot_path(spark, "conformed", run, "variety"))
-        site = snapshot_once(site, snapshot_path(spark, "conformed", run, "site"))
-    return ConformedTables(field=field, season=t.season(), variety=variety, crop=t.crop(),
-                           site=site, farm=t.farm())
+
+        def write(name: str) -> DataFrame:
+            return snapshot_once(builds[name](), snapshot_path(spark, "conformed", run, name))
+
+        with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+            done = dict(zip(builds, pool.map(write, builds)))
+    else:
+        done = {name: make() for name, make in builds.items()}
+    return ConformedTables(field=done["field"], season=t.season(), variety=done["variety"], crop=t.crop(),
+                           site=done["site"], farm=t.farm())
 
 
 def conformed_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
