@@ -32,10 +32,17 @@ DEFAULT = Settings()
 
 
 def session_conf(cpus: int) -> dict[str, str]:
-    """Spark settings for a load: AQE on (coalescing, skew-join splitting,
-    runtime broadcast conversion only under a measured size), UTC clock, no
-    UI server."""
+    """Spark settings for a load: AQE on (coalescing, skew-join splitting),
+    UTC clock, no UI server.
+
+    Broadcasts happen only on a proven size: the static planner's estimate
+    based threshold is off, so a join is broadcast either because the
+    package counted the side (``lookup_join``) or because AQE measured its
+    materialised shuffle output below the adaptive threshold at run time.
+    """
     return {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
         "spark.sql.shuffle.partitions": str(max(8, cpus * 2)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
