@@ -25,12 +25,14 @@ _checked: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.Wea
 def bounded_fits(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
     """For each frame, whether it has at most ``max_rows`` rows.
 
-    One job for all frames: each is cut to ``max_rows + 1`` rows, tagged,
-    and the tags are counted; the driver receives one small row per frame.
+    One job for all frames: the frames are tagged, unioned and counted per
+    tag.  Counting is partial on every task (one row per frame and task) and
+    final on one small row per frame, so no task receives the rows of a
+    large frame, and the fact table is never read by a check.
     """
     todo = [i for i, f in enumerate(frames) if _checked.get(f, (None,))[0] != max_rows]
     if todo:
-        tagged = [frames[i].limit(max_rows + 1).select(F.lit(i).alias("__i")) for i in todo]
+        tagged = [frames[i].select(F.lit(i).alias("__i")) for i in todo]
         counts = {r["__i"]: r["n"] for r in
                   reduce(DataFrame.unionAll, tagged).groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
         for i in todo:
@@ -39,7 +41,7 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded count)."""
+    """True when ``df`` has at most ``max_rows`` rows."""
     return bounded_fits([df], max_rows)[0]
 
 

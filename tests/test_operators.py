@@ -52,7 +52,7 @@ def test_in_list_and_cutover(spark):
     assert rows(origin_cutover(df, "y", 2020)) == [(1, 2019), (2, 2020), (3, 2020)]
 
 
-def test_bounded_fits_counts_at_most_bound_plus_one(spark):
+def test_bounded_fits_checks_row_bound(spark):
     small, big = spark.range(5), spark.range(50)
     assert bounded_fits([small, big], 10) == [True, False]
     assert bounded_fits([small], 3) == [False]
