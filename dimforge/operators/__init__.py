@@ -8,6 +8,7 @@ from dimforge.operators.stage import (
     contains,
     in_list,
     origin_cutover,
+    spread,
     stage,
     starts_with,
 )
@@ -16,5 +17,5 @@ from dimforge.operators.union import align, conform_origins, conform_union, unio
 __all__ = [
     "Lookup", "align", "all_equal", "bounded_fits", "chain_lookups", "attach_origin", "conform_origins", "conform_union", "contains",
     "fits_broadcast", "group_sum", "in_list", "lookup_join", "origin_cutover",
-    "origin_registry", "semi_join", "stage", "starts_with", "union_all",
+    "origin_registry", "semi_join", "spread", "stage", "starts_with", "union_all",
 ]

@@ -29,7 +29,7 @@ from dimforge.functions import (
     typed,
     typed_constant,
 )
-from dimforge.operators import Lookup, chain_lookups, conform_origins, group_sum, in_list, stage
+from dimforge.operators import Lookup, chain_lookups, conform_origins, group_sum, in_list, spread, stage
 
 # Raw table names, the plan scenario, active simulation states
 # and the last legacy season year.
@@ -154,7 +154,7 @@ def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
     its scan, and the join key is the local id alone.
     """
     o = schemas.CURRENT
-    u = stage_plan(raw[RAW_PLAN], settings, distinct=False)
+    u = stage_plan(spread(raw[RAW_PLAN], PLAN_GRAIN), settings, distinct=False)
     field = _of_origin(dims.field, o).select(F.col("ID_DOMAIN").alias("ID_UPN3_FISICO"), "COD_LAVOURA")
     season = _of_origin(dims.season, o).select("ID_SAFRA", "ANO_AGRICOLA", "SAFRINHA")
     variety = _of_origin(dims.variety, o).select(
@@ -205,7 +205,7 @@ def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: S
     list adds no column and no duplicate).  The conformed tables are matched
     on the surrogate key ``origin || local id``, computed once per row.
     """
-    d4 = stage_divisions(raw[RAW_DIVISION], settings, distinct=False, last_year=last_year)
+    d4 = stage_divisions(spread(raw[RAW_DIVISION]), settings, distinct=False, last_year=last_year)
     active = stage_simulations(raw[RAW_SIMULATION], settings)
     d4 = chain_lookups(d4, [Lookup(active, ["COD_SIMULACAO", "SAF_ANO_SAFRA"], "left_semi")], settings)
     origin = F.col("ID_ORIGEM_DB")
