@@ -65,14 +65,22 @@ class ConformedTables:
     farm: DataFrame
 
 
-def stage_plan(raw: DataFrame, settings: Settings = DEFAULT, distinct: bool = True) -> DataFrame:
+def stage_plan(raw: DataFrame, settings: Settings = DEFAULT, distinct: bool = True,
+               grain: str = "raw") -> DataFrame:
     """Planned area summed per planning grain, then typed.
 
-    The grain is the raw columns; the casts (timestamps to dates, amounts to
-    decimal(18,6)) come after the sum, and the DISTINCT after them, so two
-    grain rows that become equal once typed are one row.
+    ``grain="raw"`` (default) groups by the raw columns; the casts
+    (timestamps to dates, amounts to decimal(18,6)) come after the sum, and
+    the DISTINCT after them, so two grain rows that become equal once typed
+    are one row (their areas are not added).  ``grain="date"`` groups by the
+    typed dates instead, so rows of one day are summed.
     """
     s = settings.strict_casts
+    if grain == "date":
+        raw = raw.withColumn("DT_EST_PLANT", to_date("DT_EST_PLANT")).withColumn(
+            "DT_ESTIMADA_COLH", to_date("DT_ESTIMADA_COLH"))
+    elif grain != "raw":
+        raise ValueError(f"grain must be 'raw' or 'date', not {grain!r}")
     summed = group_sum(raw, PLAN_GRAIN, "QT_AREA_PROD", "QT_AREA_PROD_SUM")
     return stage(summed, [
         typed("ID_UPN3_PLAN", "bigint", s).alias("ID_UPN3_PLAN"),
@@ -146,7 +154,7 @@ def _of_origin(df: DataFrame, origin: int) -> DataFrame:
 
 
 def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
-                 settings: Settings = DEFAULT) -> DataFrame:
+                 settings: Settings = DEFAULT, grain: str = "raw") -> DataFrame:
     """Current-system fact rows (without the origin label).
 
     The conformed tables are matched on (local id, origin); the origin is
@@ -154,7 +162,7 @@ def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
     its scan, and the join key is the local id alone.
     """
     o = schemas.CURRENT
-    u = stage_plan(spread(raw[RAW_PLAN], PLAN_GRAIN), settings, distinct=False)
+    u = stage_plan(spread(raw[RAW_PLAN], PLAN_GRAIN), settings, distinct=False, grain=grain)
     field = _of_origin(dims.field, o).select(F.col("ID_DOMAIN").alias("ID_UPN3_FISICO"), "COD_LAVOURA")
     season = _of_origin(dims.season, o).select("ID_SAFRA", "ANO_AGRICOLA", "SAFRINHA")
     variety = _of_origin(dims.variety, o).select(
@@ -255,7 +263,15 @@ def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: S
 
 
 def build_planning(raw: Mapping[str, DataFrame], dims: ConformedTables, registry: DataFrame,
-                   settings: Settings = DEFAULT, last_year: int = LEGACY_LAST_YEAR) -> DataFrame:
+                   settings: Settings = DEFAULT, last_year: int = LEGACY_LAST_YEAR,
+                   grain: str = "raw") -> DataFrame:
     """The conformed planning fact: both origins, labelled, de-duplicated."""
-    parts = [current_rows(raw, dims, settings), legacy_rows(raw, dims, settings, last_year)]
+    parts = [current_rows(raw, dims, settings, grain), legacy_rows(raw, dims, settings, last_year)]
     return conform_origins(parts, schemas.PLANNING, registry, settings=settings)
+
+
+def planning_of_origin(raw: Mapping[str, DataFrame], dims: ConformedTables, registry: DataFrame,
+                       origin: int, settings: Settings = DEFAULT) -> DataFrame:
+    """One origin's conformed rows (labelled, distinct)."""
+    part = current_rows(raw, dims, settings) if origin == schemas.CURRENT else legacy_rows(raw, dims, settings)
+    return conform_origins([part], schemas.PLANNING, registry, settings=settings)

@@ -161,3 +161,13 @@ def build_site_analysis(raw: Mapping[str, DataFrame], registry: DataFrame,
     parts = [current_rows(raw, settings), legacy_rows(raw, settings, analysis=True)]
     return conform_origins(parts, schemas.SITE_ANALYSIS, registry, allow_missing=True,
                            settings=settings)
+
+
+def site_of_origin(raw: Mapping[str, DataFrame], registry: DataFrame, origin: int,
+                   settings: Settings = DEFAULT, analysis: bool = False) -> DataFrame:
+    """One origin's conformed rows (labelled, distinct); ``analysis`` gives
+    the 13-column variant."""
+    schema = schemas.SITE_ANALYSIS if analysis else schemas.SITE
+    part = (current_rows(raw, settings) if origin == schemas.CURRENT
+            else legacy_rows(raw, settings, analysis=analysis))
+    return conform_origins([part], schema, registry, allow_missing=analysis, settings=settings)

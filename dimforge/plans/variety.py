@@ -118,7 +118,11 @@ def current_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) ->
     )
 
 
-def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> DataFrame:
+def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
+                normalise_labels: bool = False) -> DataFrame:
+    """Legacy varieties.  Their flag labels are ``SIM``/``NAO``; with
+    ``normalise_labels`` they use the current system's ``Sim``/``Não``."""
+    yes, no = (CURRENT_YES, CURRENT_NO) if normalise_labels else (LEGACY_YES, LEGACY_NO)
     v = stage_legacy_varieties(raw[RAW_LEGACY_VARIETY], settings, distinct=False)
     out = chain_lookups(v, [Lookup(stage_legacy_groups(raw[RAW_LEGACY_GROUP], settings), "COD_GRUPO_VARIE")],
                         settings)
@@ -130,7 +134,7 @@ def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> D
         F.lit(PLACEHOLDER).alias("TIPO_VARIEDADE"),
         "DSC_VARIE",
         origin_key(o, "COD_CULTURA").alias("ID_CULTURA"),
-        flag_label("VAR_TRANSGENICO", LEGACY_GM_FLAG, LEGACY_YES, LEGACY_NO).alias("TRANSGENIA"),
+        flag_label("VAR_TRANSGENICO", LEGACY_GM_FLAG, yes, no).alias("TRANSGENIA"),
         F.lit(0).alias("CICLO_VARIEDADE"),
         F.lit(0).alias("DIAS_PARA_EMERGERGENCIA"),
         "ABV_GRUPO_VARIE", "DSC_GRUPO_VARIE",
@@ -141,8 +145,15 @@ def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> D
     )
 
 
-def build_variety(raw: Mapping[str, DataFrame], registry: DataFrame,
-                  settings: Settings = DEFAULT) -> DataFrame:
+def build_variety(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Settings = DEFAULT,
+                  normalise_labels: bool = False) -> DataFrame:
     """The conformed variety table: both origins, labelled, de-duplicated."""
-    return conform_origins([current_rows(raw, settings), legacy_rows(raw, settings)],
+    return conform_origins([current_rows(raw, settings), legacy_rows(raw, settings, normalise_labels)],
                            schemas.VARIETY, registry, settings=settings)
+
+
+def variety_of_origin(raw: Mapping[str, DataFrame], registry: DataFrame, origin: int,
+                      settings: Settings = DEFAULT) -> DataFrame:
+    """One origin's conformed rows (labelled, distinct)."""
+    part = current_rows(raw, settings) if origin == schemas.CURRENT else legacy_rows(raw, settings)
+    return conform_origins([part], schemas.VARIETY, registry, settings=settings)

@@ -224,3 +224,31 @@ def test_planning(spark, field_raw, site_raw, variety_raw, reg):
          D("2.000000"), day(2019, 10, 16), day(2020, 3, 2), z, D("10.000000")),
     ]
     assert rows(out) == _sorted(expected)
+
+
+def test_per_origin_outputs_and_options(spark, site_raw, variety_raw, reg):
+    from dimforge.plans.site import site_of_origin
+    from dimforge.plans.variety import variety_of_origin
+
+    assert sorted(r[0] for r in site_of_origin(site_raw, reg, schemas.LEGACY).collect()) == [15, 16, 17]
+    assert site_of_origin(site_raw, reg, schemas.CURRENT, analysis=True).columns[-1] == "ID_FAZENDA_PROD"
+    assert sorted(r[0] for r in variety_of_origin(variety_raw, reg, schemas.CURRENT).collect()) == [1, 2, 3]
+    labels = {r[0]: r[1] for r in build_variety(variety_raw, reg, normalise_labels=True)
+              .where("ID_ORIGEM_DB = 1000").select("ID_DOMAIN", "TRANSGENIA").collect()}
+    assert labels == {7: "Sim", 8: "Não", 9: "Não"}
+
+
+def test_plan_grain_option(spark):
+    from dimforge.plans.planning import stage_plan
+
+    ts = dt.datetime
+    raw = spark.createDataFrame([
+        ("501", "1", "2", "120B", "1", "100", "1", 4.0, ts(2021, 10, 2, 8), ts(2022, 2, 2), 0.0, 0.0),
+        ("501", "1", "2", "120B", "1", "100", "1", 4.0, ts(2021, 10, 2, 9), ts(2022, 2, 2), 0.0, 0.0),
+    ], "ID_UPN3_PLAN string, ID_PERIODOSAFRA string, ID_UPN3_FISICO string, CD_UPNIVEL3 string, "
+       "ID_VARIEDADE string, ID_UPNIVEL2 string, ID_CENARIO string, QT_AREA_PROD double, "
+       "DT_EST_PLANT timestamp, DT_ESTIMADA_COLH timestamp, QT_PRODUCAO_ESTIM double, QT_PROD_ESTIM double")
+    assert [r["QT_AREA_PROD"] for r in stage_plan(raw).collect()] == [D("4.000000")]
+    assert [r["QT_AREA_PROD"] for r in stage_plan(raw, grain="date").collect()] == [D("8.000000")]
+    with pytest.raises(ValueError):
+        stage_plan(raw, grain="week")
