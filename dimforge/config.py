@@ -27,6 +27,15 @@ class Settings:
     broadcast_max_rows: int = 1_000_000
     strict_casts: bool = False
 
+    @classmethod
+    def from_conf(cls, spark: SparkSession) -> "Settings":
+        """Settings from the session: ``spark.dimforge.broadcastMaxRows`` and
+        ``spark.dimforge.strictCasts`` (defaults when unset)."""
+        rows = spark.conf.get("spark.dimforge.broadcastMaxRows", None)
+        strict = spark.conf.get("spark.dimforge.strictCasts", None)
+        return cls(broadcast_max_rows=int(rows) if rows else cls.broadcast_max_rows,
+                   strict_casts=(strict or "false").lower() == "true")
+
 
 DEFAULT = Settings()
 

@@ -8,6 +8,7 @@ over several tasks.  The checks of a whole join chain run as one Spark job.
 
 from __future__ import annotations
 
+import threading
 import weakref
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -20,6 +21,7 @@ from dimforge.config import DEFAULT, Settings
 
 # Results of earlier checks, per DataFrame object (a frame is immutable).
 _checked: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
+_lock = threading.Lock()
 
 
 def bounded_fits(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
@@ -30,14 +32,18 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
     final on one small row per frame, so no task receives the rows of a
     large frame, and the fact table is never read by a check.
     """
-    todo = [i for i, f in enumerate(frames) if _checked.get(f, (None,))[0] != max_rows]
+    with _lock:
+        known = {i: _checked.get(f) for i, f in enumerate(frames)}
+    todo = [i for i, k in known.items() if k is None or k[0] != max_rows]
     if todo:
         tagged = [frames[i].select(F.lit(i).alias("__i")) for i in todo]
         counts = {r["__i"]: r["n"] for r in
                   reduce(DataFrame.unionAll, tagged).groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
-        for i in todo:
-            _checked[frames[i]] = (max_rows, counts.get(i, 0) <= max_rows)
-    return [_checked[f][1] for f in frames]
+        with _lock:
+            for i in todo:
+                known[i] = (max_rows, counts.get(i, 0) <= max_rows)
+                _checked[frames[i]] = known[i]
+    return [known[i][1] for i in range(len(frames))]
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:

@@ -57,16 +57,17 @@ def spread(df: DataFrame, keys: Sequence[str] | None = None, min_partitions: int
     """Give a fact input at least the cluster's parallelism.
 
     A scan yields one task per file split, and a Parquet row group is never
-    split, so a fact stored in few large row groups would run its whole
-    staging and broadcast-join pipeline in a few tasks.  Only then is it
-    hash-partitioned over ``min_partitions`` (default: the default
-    parallelism) on ``keys`` (default: all columns).  Hash partitioning is
-    deterministic, so a retried task gets the same rows, and partitioning on
-    the keys of a following aggregate lets that aggregate reuse it instead
-    of shuffling again.  An input that already has enough splits, as any
-    large table does, is returned unchanged: no shuffle is added at scale.
+    split, so a fact stored in a handful of files would run its whole
+    staging and broadcast-join pipeline in a handful of tasks.  Only then
+    (fewer input files than ``min_partitions``, default: the default
+    parallelism) is it hash-partitioned on ``keys`` (default: all columns).
+    Hash partitioning is deterministic, so a retried task gets the same
+    rows, and partitioning on the keys of a following aggregate lets that
+    aggregate reuse it instead of shuffling again.  A large table has many
+    files and is returned unchanged: no shuffle is added at scale.  The
+    file list comes from the plan; nothing is executed.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if len(df.inputFiles()) >= target:
         return df
     return df.repartition(target, *(keys or df.columns))

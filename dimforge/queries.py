@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dimforge import schemas
+from dimforge.config import Settings
 from dimforge.functions import season_key_legacy as season_key_legacy_fn
 from dimforge.functions import (
     COMPACT_STAMP,
@@ -66,22 +67,23 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def conformed_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Physical-field table: both origins through staging, keys, registry, union."""
-    return build_field(DriverTables(spark, sf_dir).field_raw(), origin_registry(spark))
+    return build_field(DriverTables(spark, sf_dir).field_raw(), origin_registry(spark), Settings.from_conf(spark))
 
 
 def conformed_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site table: snowflake of five lookups (region optional) + legacy companies (region required)."""
-    return build_site(DriverTables(spark, sf_dir).site_raw(), origin_registry(spark))
+    return build_site(DriverTables(spark, sf_dir).site_raw(), origin_registry(spark), Settings.from_conf(spark))
 
 
 def conformed_site_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site analysis variant: 12-column current rows and 13-column legacy rows."""
-    return build_site_analysis(DriverTables(spark, sf_dir).site_raw(), origin_registry(spark))
+    return build_site_analysis(DriverTables(spark, sf_dir).site_raw(), origin_registry(spark),
+                               Settings.from_conf(spark))
 
 
 def conformed_variety(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variety table: item, detail and group lookups with fallbacks and labels."""
-    return build_variety(DriverTables(spark, sf_dir).variety_raw(), origin_registry(spark))
+    return build_variety(DriverTables(spark, sf_dir).variety_raw(), origin_registry(spark), Settings.from_conf(spark))
 
 
 def conformed_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> ConformedTables:
@@ -96,10 +98,11 @@ def conformed_tables(spark: SparkSession, sf_dir: str, materialize: bool = True)
     """
     t = DriverTables(spark, sf_dir)
     reg = origin_registry(spark)
+    cfg = Settings.from_conf(spark)
     builds = {
-        "field": lambda: build_field(t.field_raw(), reg),
-        "variety": lambda: build_variety(t.variety_raw(), reg),
-        "site": lambda: build_site(t.site_raw(), reg),
+        "field": lambda: build_field(t.field_raw(), reg, cfg),
+        "variety": lambda: build_variety(t.variety_raw(), reg, cfg),
+        "site": lambda: build_site(t.site_raw(), reg, cfg),
     }
     if materialize:
         run = uuid.uuid4().hex[:12]
@@ -119,7 +122,8 @@ def conformed_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Planning fact: grouped current rows joined to eight lookups, legacy rows
     (semi join on active simulations, cut-over year) joined on computed keys."""
     dims = conformed_tables(spark, sf_dir)
-    return build_planning(DriverTables(spark, sf_dir).planning_raw(), dims, origin_registry(spark))
+    return build_planning(DriverTables(spark, sf_dir).planning_raw(), dims, origin_registry(spark),
+                          Settings.from_conf(spark))
 
 
 # ---------------------------------------------------------------- operators
