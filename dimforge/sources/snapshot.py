@@ -80,5 +80,13 @@ def publish(df: DataFrame, owner: str, table: str, base_path: str | None = None,
 
 
 def preview(df: DataFrame, **equals) -> DataFrame:
-    """Rows whose columns equal the given values (a point look at a result)."""
-    return df.where(all_equal(**equals))
+    """Rows whose columns equal the given values (a point look at a result).
+
+    A number looked up in a text column (``ID_SEDE = 100035``) is compared
+    as text: the column is not cast (an ANSI cast would fail the query on
+    one non-numeric key, and a cast column no longer reaches the scan).
+    """
+    types = dict(df.dtypes)
+    typed = {k: (str(v) if types.get(k) == "string" and v is not None and not isinstance(v, str) else v)
+             for k, v in equals.items()}
+    return df.where(all_equal(**typed))

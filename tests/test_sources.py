@@ -60,3 +60,8 @@ def test_preview_and_views(spark):
     assert rows(preview(df, farm="PZ", y=2021)) == [(1, "PZ", 2021)]
     register_views({"dimforge_preview": df})
     assert spark.sql("SELECT id FROM dimforge_preview WHERE farm = 'AB'").first()[0] == 3
+
+
+def test_preview_number_against_text_column(spark):
+    df = spark.createDataFrame([("100035", 1), ("10003A", 2)], "ID_SEDE string, n int")
+    assert rows(preview(df, ID_SEDE=100035)) == [("100035", 1)]
