@@ -13,7 +13,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from dimforge import schemas
 from dimforge.config import Settings
@@ -48,7 +47,6 @@ from dimforge.operators import (
     stage,
     starts_with,
 )
-from dimforge.plans import planning, site
 from dimforge.plans import (
     ConformedTables,
     build_field,
@@ -56,10 +54,12 @@ from dimforge.plans import (
     build_site,
     build_site_analysis,
     build_variety,
+    planning,
+    site,
 )
-from dimforge.sources.driver_tables import DriverTables
-from dimforge.schemas import _schema
+from dimforge.schemas import parse_schema
 from dimforge.sources.catalog import register_views
+from dimforge.sources.driver_tables import DriverTables
 from dimforge.sources.snapshot import preview, publish, snapshot_once, snapshot_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,7 +181,7 @@ def filter_conj(spark, sf_dir):
     return preview(staged, c_mktsegment="BUILDING", c_nationkey=3)
 
 
-ENTITY = _schema("ID_DOMAIN bigint, ID_ORIGEM_DB int, ID_ENTIDADE string, ORIGEM_DB string,"
+ENTITY = parse_schema("ID_DOMAIN bigint, ID_ORIGEM_DB int, ID_ENTIDADE string, ORIGEM_DB string,"
                  " NOME string, ID_PAIS string")
 
 
@@ -233,7 +233,7 @@ def join_left_lookup(spark, sf_dir):
     return chain_lookups(fact, [Lookup(_region_lookup(t), "n_nationkey", "left")])
 
 
-MIXED = _schema("ID_DOMAIN bigint, ID_ORIGEM_DB int, NACAO string")
+MIXED = parse_schema("ID_DOMAIN bigint, ID_ORIGEM_DB int, NACAO string")
 
 
 def join_mixed_optionality(spark, sf_dir):
@@ -306,7 +306,7 @@ def group_then_date_distinct(spark, sf_dir):
                           typed("TOTAL", "decimal(18,6)").alias("TOTAL")])
 
 
-WIDE = _schema("ID bigint, VALOR decimal(22,6), DATA timestamp")
+WIDE = parse_schema("ID bigint, VALOR decimal(22,6), DATA timestamp")
 
 
 def union_widen_distinct(spark, sf_dir):
@@ -318,7 +318,7 @@ def union_widen_distinct(spark, sf_dir):
     return conform_union([a, b, a], WIDE)
 
 
-MISSING = _schema("ID bigint, NOME string, PAIS int, SALDO decimal(18,2)")
+MISSING = parse_schema("ID bigint, NOME string, PAIS int, SALDO decimal(18,2)")
 
 
 def union_missing_column(spark, sf_dir):

@@ -33,7 +33,7 @@ def _type(name: str) -> DataType:
     return DecimalType(int(m.group(1)), int(m.group(2))) if m else _SIMPLE[name]
 
 
-def _schema(spec: str) -> StructType:
+def parse_schema(spec: str) -> StructType:
     # spec: "NAME type, NAME type, ..." (decimal written without blanks)
     fields = []
     for part in re.split(r",\s*(?![^()]*\))", spec):
@@ -43,13 +43,13 @@ def _schema(spec: str) -> StructType:
 
 
 # The published column names and their order.
-FIELD = _schema(
+FIELD = parse_schema(
     "ID_DOMAIN bigint, ID_ORIGEM_DB int, ID_LAV_FISICA string, ORIGEM_DB string,"
     " COD_LAVOURA string, DESC_LAVOURA string, AREA_FISICA decimal(22,6),"
     " DATA_INATIVACAO timestamp, ID_SEDE string"
 )
 
-SITE = _schema(
+SITE = parse_schema(
     "ID_DOMAIN bigint, ID_ORIGEM_DB int, ID_SEDE string, ORIGEM_DB string, COD_SEDE string,"
     " DESC_SEDE string, UF string, REGIAO string, REGIONAL string, CIDADE string,"
     " CNPJ string, ID_FAZENDA string"
@@ -57,7 +57,7 @@ SITE = _schema(
 
 SITE_ANALYSIS = StructType(SITE.fields + [StructField("ID_FAZENDA_PROD", StringType(), True)])
 
-VARIETY = _schema(
+VARIETY = parse_schema(
     "ID_DOMAIN bigint, ID_ORIGEM_DB int, ID_VARIEDADE string, ORIGEM_DB string,"
     " COD_VARIEDADE string, TIPO_VARIEDADE string, DESC_COMPLETA_VARIEDADE string,"
     " ID_CULTURA string, TRANSGENIA string, CICLO_VARIEDADE int,"
@@ -66,7 +66,7 @@ VARIETY = _schema(
     " FORNECEDOR string, PRODUTIVIDADE_HISTORICA_MEDIA int, ESPACAMENTO_SEMENTES int"
 )
 
-PLANNING = _schema(
+PLANNING = parse_schema(
     "ID_DOMAIN bigint, ID_ORIGEM_DB int, ID_PLANEJAMENTO_AGRICOLA string, ORIGEM_DB string,"
     " ID_LAV_LOGICA string, ID_LAV_FISICA string, COD_LAVOURA string, ID_SAFRA string,"
     " ANO_AGRICOLA string, SAFRINHA string, ID_VARIEDADE string, COD_VARIEDADE string,"
@@ -79,6 +79,6 @@ PLANNING = _schema(
 )
 
 # The origin registry (one row per source system) and the two origin ids.
-REGISTRY = _schema("ID_DOMAIN int, DESC_BANCO_DADOS string")
+REGISTRY = parse_schema("ID_DOMAIN int, DESC_BANCO_DADOS string")
 CURRENT = 2000
 LEGACY = 1000

@@ -24,7 +24,7 @@ from dimforge.operators import (
     stage,
     starts_with,
 )
-from dimforge.schemas import _schema
+from dimforge.schemas import parse_schema
 
 
 def plan_text(df) -> str:
@@ -90,7 +90,7 @@ def test_chain_lookups_snowflake(spark):
 
 
 def test_align_is_positional_with_declared_types(spark):
-    schema = _schema("ID bigint, AREA decimal(22,6), NAME string")
+    schema = parse_schema("ID bigint, AREA decimal(22,6), NAME string")
     df = spark.createDataFrame([(1, 2.5, "a")], "other int, x double, y string")
     out = align(df, schema)
     assert out.columns == ["ID", "AREA", "NAME"]
@@ -100,7 +100,7 @@ def test_align_is_positional_with_declared_types(spark):
 
 
 def test_conform_union_widens_and_dedups(spark):
-    schema = _schema("ID bigint, VAL decimal(22,6), D timestamp")
+    schema = parse_schema("ID bigint, VAL decimal(22,6), D timestamp")
     a = spark.sql("SELECT 1 AS a, CAST(1.25 AS DECIMAL(18,2)) AS b, DATE'2020-01-02' AS c")
     b = spark.sql("SELECT 2 AS a, CAST(0.123456 AS DECIMAL(18,6)) AS b, CAST(NULL AS TIMESTAMP) AS c")
     out = conform_union([a, b, a], schema)
@@ -109,14 +109,14 @@ def test_conform_union_widens_and_dedups(spark):
 
 
 def test_conform_union_missing_column(spark):
-    schema = _schema("ID bigint, NAME string, EXTRA string")
+    schema = parse_schema("ID bigint, NAME string, EXTRA string")
     a = spark.createDataFrame([(1, "a")], "x int, y string")
     b = spark.createDataFrame([(2, "b", "e")], "p int, q string, r string")
     assert rows(conform_union([a, b], schema, allow_missing=True)) == [(1, "a", None), (2, "b", "e")]
 
 
 def test_conform_origins_labels_and_drops_unregistered(spark):
-    schema = _schema("ID_DOMAIN bigint, ID_ORIGEM_DB int, ORIGEM_DB string, NAME string")
+    schema = parse_schema("ID_DOMAIN bigint, ID_ORIGEM_DB int, ORIGEM_DB string, NAME string")
     cur = spark.createDataFrame([(1, 2000, "a"), (1, 2000, "a")], "i int, o int, n string")
     leg = spark.createDataFrame([(9, 1000, "z"), (5, 3000, "ghost")], "i int, o int, n string")
     out = conform_origins([cur, leg], schema, origin_registry(spark))
