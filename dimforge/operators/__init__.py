@@ -1,7 +1,15 @@
 """DataFrame operators of a conformed load."""
 
 from dimforge.operators.aggregate import group_sum
-from dimforge.operators.joins import Lookup, bounded_fits, chain_lookups, fits_broadcast, lookup_join, semi_join
+from dimforge.operators.joins import (
+    Lookup,
+    bounded_fits,
+    chain_lookups,
+    check_lookups,
+    fits_broadcast,
+    lookup_join,
+    semi_join,
+)
 from dimforge.operators.origin import attach_origin, origin_registry
 from dimforge.operators.stage import (
     all_equal,
@@ -15,7 +23,7 @@ from dimforge.operators.stage import (
 from dimforge.operators.union import align, conform_origins, conform_union, union_all
 
 __all__ = [
-    "Lookup", "align", "all_equal", "bounded_fits", "chain_lookups", "attach_origin", "conform_origins", "conform_union", "contains",
+    "Lookup", "align", "all_equal", "bounded_fits", "chain_lookups", "check_lookups", "attach_origin", "conform_origins", "conform_union", "contains",
     "fits_broadcast", "group_sum", "in_list", "lookup_join", "origin_cutover",
     "origin_registry", "semi_join", "spread", "stage", "starts_with", "union_all",
 ]

@@ -46,6 +46,12 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
     return [known[i][1] for i in range(len(frames))]
 
 
+def check_lookups(frames, settings: Settings = DEFAULT) -> None:
+    """Run the size checks of every lookup of a build in one job; the joins
+    built afterwards from the same frames reuse the results."""
+    bounded_fits(list(frames), settings.broadcast_max_rows)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows."""
     return bounded_fits([df], max_rows)[0]

@@ -29,7 +29,7 @@ from dimforge.functions import (
     typed,
     typed_constant,
 )
-from dimforge.operators import Lookup, chain_lookups, conform_origins, group_sum, in_list, spread, stage
+from dimforge.operators import Lookup, chain_lookups, check_lookups, conform_origins, group_sum, in_list, spread, stage
 
 # Raw table names, the plan scenario, active simulation states
 # and the last legacy season year.
@@ -153,34 +153,56 @@ def _of_origin(df: DataFrame, origin: int) -> DataFrame:
     return df.where(F.col("ID_ORIGEM_DB") == F.lit(origin))
 
 
-def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
-                 settings: Settings = DEFAULT, grain: str = "raw") -> DataFrame:
-    """Current-system fact rows (without the origin label).
+def planning_lookups(raw: Mapping[str, DataFrame], dims: ConformedTables,
+                     settings: Settings = DEFAULT) -> dict[str, DataFrame]:
+    """Every lookup of both origins, narrowed to the columns the fact uses,
+    built once per load.
 
-    The conformed tables are matched on (local id, origin); the origin is
-    the constant 2000 here, so it becomes a filter on each table, pushed to
-    its scan, and the join key is the local id alone.
+    Current system: the conformed tables are matched on (local id, origin);
+    the origin is the constant 2000 there, so it becomes a filter on each
+    table, pushed to its scan, and the join key is the local id alone.
+    Legacy system: matched on the stored surrogate keys.
     """
     o = schemas.CURRENT
+    return {
+        "scenarios": stage_scenarios(raw[RAW_SCENARIO], settings),
+        "periods": stage_periods(raw[RAW_PERIOD], settings),
+        "field": _of_origin(dims.field, o).select(F.col("ID_DOMAIN").alias("ID_UPN3_FISICO"), "COD_LAVOURA"),
+        "season": _of_origin(dims.season, o).select("ID_SAFRA", "ANO_AGRICOLA", "SAFRINHA"),
+        "variety": _of_origin(dims.variety, o).select(
+            F.col("ID_DOMAIN").alias("ID_VARIEDADE"), "COD_VARIEDADE", "CICLO_VARIEDADE"),
+        "crop": _of_origin(dims.crop, o).select(
+            F.col("ID_DOMAIN").alias("ID_OCUPACAO"), "COD_CULTURA", "CULTURA", "FATOR_CONVERSAO"),
+        "site": _of_origin(dims.site, o).select(
+            F.col("ID_DOMAIN").alias("ID_UPNIVEL2"), "COD_SEDE", "UF", "REGIAO", "REGIONAL", "ID_FAZENDA"),
+        "farm": dims.farm.select("ID_FAZENDA", "SIGLA_FAZENDA"),
+        "active": stage_simulations(raw[RAW_SIMULATION], settings),
+        "field_key": dims.field.select(F.col("ID_LAV_FISICA").alias("K_FIELD"), "COD_LAVOURA"),
+        "variety_key": dims.variety.select(F.col("ID_VARIEDADE").alias("K_VARIETY"), "COD_VARIEDADE",
+                                           "CICLO_VARIEDADE"),
+        "crop_key": dims.crop.select(F.col("ID_CULTURA").alias("K_CROP"), "COD_CULTURA", "CULTURA",
+                                     "FATOR_CONVERSAO"),
+        "site_key": dims.site.select(F.col("ID_SEDE").alias("K_SITE"), "COD_SEDE", "UF", "REGIAO", "REGIONAL"),
+        "farm_key": dims.farm.select(F.col("ID_FAZENDA").alias("K_SITE"), "SIGLA_FAZENDA"),
+        "season_key": dims.season.select(F.col("ID_SAFRA").alias("K_SEASON"), "SAFRINHA"),
+    }
+
+
+def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
+                 settings: Settings = DEFAULT, grain: str = "raw",
+                 lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Current-system fact rows (without the origin label)."""
+    lk = lookups or planning_lookups(raw, dims, settings)
     u = stage_plan(spread(raw[RAW_PLAN], PLAN_GRAIN), settings, distinct=False, grain=grain)
-    field = _of_origin(dims.field, o).select(F.col("ID_DOMAIN").alias("ID_UPN3_FISICO"), "COD_LAVOURA")
-    season = _of_origin(dims.season, o).select("ID_SAFRA", "ANO_AGRICOLA", "SAFRINHA")
-    variety = _of_origin(dims.variety, o).select(
-        F.col("ID_DOMAIN").alias("ID_VARIEDADE"), "COD_VARIEDADE", "CICLO_VARIEDADE")
-    crop = _of_origin(dims.crop, o).select(
-        F.col("ID_DOMAIN").alias("ID_OCUPACAO"), "COD_CULTURA", "CULTURA", "FATOR_CONVERSAO")
-    site = _of_origin(dims.site, o).select(
-        F.col("ID_DOMAIN").alias("ID_UPNIVEL2"), "COD_SEDE", "UF", "REGIAO", "REGIONAL", "ID_FAZENDA")
-    farm = dims.farm.select("ID_FAZENDA", "SIGLA_FAZENDA")
     out = chain_lookups(u, [
-        Lookup(stage_scenarios(raw[RAW_SCENARIO], settings), "ID_CENARIO"),
-        Lookup(stage_periods(raw[RAW_PERIOD], settings), "ID_PERIODOSAFRA"),
-        Lookup(field, "ID_UPN3_FISICO"),
-        Lookup(season, "ID_SAFRA"),
-        Lookup(variety, "ID_VARIEDADE"),
-        Lookup(crop, "ID_OCUPACAO"),
-        Lookup(site, "ID_UPNIVEL2"),
-        Lookup(farm, "ID_FAZENDA"),
+        Lookup(lk["scenarios"], "ID_CENARIO"),
+        Lookup(lk["periods"], "ID_PERIODOSAFRA"),
+        Lookup(lk["field"], "ID_UPN3_FISICO"),
+        Lookup(lk["season"], "ID_SAFRA"),
+        Lookup(lk["variety"], "ID_VARIEDADE"),
+        Lookup(lk["crop"], "ID_OCUPACAO"),
+        Lookup(lk["site"], "ID_UPNIVEL2"),
+        Lookup(lk["farm"], "ID_FAZENDA"),
     ], settings)
     origin = F.col("ID_ORIGEM_DB")
     return out.select(
@@ -206,16 +228,16 @@ def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
 
 
 def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: Settings = DEFAULT,
-                last_year: int = LEGACY_LAST_YEAR) -> DataFrame:
+                last_year: int = LEGACY_LAST_YEAR, lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Legacy fact rows (without the origin label).
 
     Only divisions of an active simulation count (semi join: the simulation
     list adds no column and no duplicate).  The conformed tables are matched
     on the surrogate key ``origin || local id``, computed once per row.
     """
+    lk = lookups or planning_lookups(raw, dims, settings)
     d4 = stage_divisions(spread(raw[RAW_DIVISION]), settings, distinct=False, last_year=last_year)
-    active = stage_simulations(raw[RAW_SIMULATION], settings)
-    d4 = chain_lookups(d4, [Lookup(active, ["COD_SIMULACAO", "SAF_ANO_SAFRA"], "left_semi")], settings)
+    d4 = chain_lookups(d4, [Lookup(lk["active"], ["COD_SIMULACAO", "SAF_ANO_SAFRA"], "left_semi")], settings)
     origin = F.col("ID_ORIGEM_DB")
     keyed = d4.select(
         *(c for c in d4.columns if c != "COD_CULTURA"),
@@ -226,15 +248,12 @@ def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: S
         origin_key(origin, "ID_SAFRA").alias("K_SEASON"),
     )
     out = chain_lookups(keyed, [
-        Lookup(dims.field.select(F.col("ID_LAV_FISICA").alias("K_FIELD"), "COD_LAVOURA"), "K_FIELD"),
-        Lookup(dims.variety.select(F.col("ID_VARIEDADE").alias("K_VARIETY"), "COD_VARIEDADE",
-                                   "CICLO_VARIEDADE"), "K_VARIETY"),
-        Lookup(dims.crop.select(F.col("ID_CULTURA").alias("K_CROP"), "COD_CULTURA", "CULTURA",
-                                "FATOR_CONVERSAO"), "K_CROP"),
-        Lookup(dims.site.select(F.col("ID_SEDE").alias("K_SITE"), "COD_SEDE", "UF", "REGIAO",
-                                "REGIONAL"), "K_SITE"),
-        Lookup(dims.farm.select(F.col("ID_FAZENDA").alias("K_SITE"), "SIGLA_FAZENDA"), "K_SITE"),
-        Lookup(dims.season.select(F.col("ID_SAFRA").alias("K_SEASON"), "SAFRINHA"), "K_SEASON"),
+        Lookup(lk["field_key"], "K_FIELD"),
+        Lookup(lk["variety_key"], "K_VARIETY"),
+        Lookup(lk["crop_key"], "K_CROP"),
+        Lookup(lk["site_key"], "K_SITE"),
+        Lookup(lk["farm_key"], "K_SITE"),
+        Lookup(lk["season_key"], "K_SEASON"),
     ], settings)
     return out.select(
         F.col("ID_DIVI4").alias("ID_DOMAIN"), "ID_ORIGEM_DB",
@@ -266,7 +285,9 @@ def build_planning(raw: Mapping[str, DataFrame], dims: ConformedTables, registry
                    settings: Settings = DEFAULT, last_year: int = LEGACY_LAST_YEAR,
                    grain: str = "raw") -> DataFrame:
     """The conformed planning fact: both origins, labelled, de-duplicated."""
-    parts = [current_rows(raw, dims, settings, grain), legacy_rows(raw, dims, settings, last_year)]
+    lk = planning_lookups(raw, dims, settings)
+    check_lookups(lk.values(), settings)
+    parts = [current_rows(raw, dims, settings, grain, lk), legacy_rows(raw, dims, settings, last_year, lk)]
     return conform_origins(parts, schemas.PLANNING, registry, settings=settings)
 
 

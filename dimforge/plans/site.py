@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from dimforge import schemas
 from dimforge.config import DEFAULT, Settings
 from dimforge.functions import farm_code, origin_key, site_code, tax_id_mask, title_case, trimmed, typed
-from dimforge.operators import Lookup, chain_lookups, conform_origins, stage, starts_with
+from dimforge.operators import Lookup, chain_lookups, check_lookups, conform_origins, stage, starts_with
 
 # Raw table names read by this plan, and the farm prefix.
 RAW_SITE = "Upnivel2"
@@ -104,16 +104,28 @@ def stage_companies(raw: DataFrame, settings: Settings = DEFAULT, analysis: bool
     return stage(raw, cols, where=where, distinct=distinct)
 
 
+def site_lookups(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> dict[str, DataFrame]:
+    """The staged lookups of both origins, built once per load."""
+    return {
+        "units": stage_units(raw[RAW_UNIT], settings),
+        "branches": stage_branches(raw[RAW_BRANCH], settings),
+        "cities": stage_cities(raw[RAW_CITY], settings),
+        "states": stage_states(raw[RAW_STATE], settings),
+        "regions": stage_regions(raw[RAW_REGION]),
+    }
+
+
 def current_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
-                 region_how: str = "left") -> DataFrame:
+                 region_how: str = "left", lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Current-system sites through the snowflake; region optional by default."""
+    lk = lookups or site_lookups(raw, settings)
     sites = stage_sites(raw[RAW_SITE], settings, distinct=False)
     out = chain_lookups(sites, [
-        Lookup(stage_units(raw[RAW_UNIT], settings), "ID_UPNIVEL1"),
-        Lookup(stage_branches(raw[RAW_BRANCH], settings), "ID_FILIAL"),
-        Lookup(stage_cities(raw[RAW_CITY], settings), "ID_MUNICIPIO"),
-        Lookup(stage_states(raw[RAW_STATE], settings), "ID_UNIFEDERACAO"),
-        Lookup(stage_regions(raw[RAW_REGION]), "COD_FAZENDA", region_how),
+        Lookup(lk["units"], "ID_UPNIVEL1"),
+        Lookup(lk["branches"], "ID_FILIAL"),
+        Lookup(lk["cities"], "ID_MUNICIPIO"),
+        Lookup(lk["states"], "ID_UNIFEDERACAO"),
+        Lookup(lk["regions"], "COD_FAZENDA", region_how),
     ], settings)
     o = F.col("ID_ORIGEM_DB")
     return out.select(
@@ -124,11 +136,12 @@ def current_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
 
 
 def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
-                region_how: str = "inner", analysis: bool = False) -> DataFrame:
+                region_how: str = "inner", analysis: bool = False,
+                lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Legacy sites; the region is required by default (per-origin optionality)."""
+    regions = lookups["regions"] if lookups else stage_regions(raw[RAW_REGION])
     companies = stage_companies(raw[RAW_COMPANY], settings, analysis, distinct=False)
-    out = chain_lookups(companies, [Lookup(stage_regions(raw[RAW_REGION]), "COD_FAZENDA", region_how)],
-                        settings)
+    out = chain_lookups(companies, [Lookup(regions, "COD_FAZENDA", region_how)], settings)
     o = F.col("ID_ORIGEM_DB")
     cols = [
         F.col("COD_EMPR").alias("ID_DOMAIN"), "ID_ORIGEM_DB",
@@ -149,8 +162,10 @@ def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
 def build_site(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Settings = DEFAULT,
                current_region_how: str = "left", legacy_region_how: str = "inner") -> DataFrame:
     """The conformed site table (12 columns)."""
-    parts = [current_rows(raw, settings, current_region_how),
-             legacy_rows(raw, settings, legacy_region_how)]
+    lk = site_lookups(raw, settings)
+    check_lookups(lk.values(), settings)
+    parts = [current_rows(raw, settings, current_region_how, lk),
+             legacy_rows(raw, settings, legacy_region_how, lookups=lk)]
     return conform_origins(parts, schemas.SITE, registry, settings=settings)
 
 
@@ -158,7 +173,9 @@ def build_site_analysis(raw: Mapping[str, DataFrame], registry: DataFrame,
                         settings: Settings = DEFAULT) -> DataFrame:
     """Analysis variant: all legacy companies, plus ``ID_FAZENDA_PROD``
     (NULL for the current system, which has 12 columns)."""
-    parts = [current_rows(raw, settings), legacy_rows(raw, settings, analysis=True)]
+    lk = site_lookups(raw, settings)
+    check_lookups(lk.values(), settings)
+    parts = [current_rows(raw, settings, lookups=lk), legacy_rows(raw, settings, analysis=True, lookups=lk)]
     return conform_origins(parts, schemas.SITE_ANALYSIS, registry, allow_missing=True,
                            settings=settings)
 

@@ -18,7 +18,7 @@ from dimforge.functions import (
     typed_constant,
     zero_if_null,
 )
-from dimforge.operators import Lookup, chain_lookups, conform_origins, stage
+from dimforge.operators import Lookup, chain_lookups, check_lookups, conform_origins, stage
 
 # Raw table names, flag codes and labels of each system.
 RAW_VARIETY = "variedade"
@@ -95,12 +95,24 @@ def stage_legacy_groups(raw: DataFrame, settings: Settings = DEFAULT) -> DataFra
     ])
 
 
-def current_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> DataFrame:
+def variety_lookups(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> dict[str, DataFrame]:
+    """The staged lookups of both origins, built once per load."""
+    return {
+        "details": stage_variety_details(raw[RAW_VARIETY_EP], settings),
+        "maturity": stage_maturity_groups(raw[RAW_MATURITY], settings),
+        "groups": stage_variety_groups(raw[RAW_GROUP], settings),
+        "legacy_groups": stage_legacy_groups(raw[RAW_LEGACY_GROUP], settings),
+    }
+
+
+def current_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
+                 lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    lk = lookups or variety_lookups(raw, settings)
     v = stage_varieties(raw[RAW_VARIETY], settings, distinct=False)
     out = chain_lookups(v, [
-        Lookup(stage_variety_details(raw[RAW_VARIETY_EP], settings), "ID_VARIEDADE"),
-        Lookup(stage_maturity_groups(raw[RAW_MATURITY], settings), "ID_GRPMATURACAO"),
-        Lookup(stage_variety_groups(raw[RAW_GROUP], settings), "ID_GRPVARIEDADE"),
+        Lookup(lk["details"], "ID_VARIEDADE"),
+        Lookup(lk["maturity"], "ID_GRPMATURACAO"),
+        Lookup(lk["groups"], "ID_GRPVARIEDADE"),
     ], settings)
     o = F.col("ID_ORIGEM_DB")
     return out.select(
@@ -119,13 +131,13 @@ def current_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) ->
 
 
 def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
-                normalise_labels: bool = False) -> DataFrame:
+                normalise_labels: bool = False, lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Legacy varieties.  Their flag labels are ``SIM``/``NAO``; with
     ``normalise_labels`` they use the current system's ``Sim``/``Não``."""
     yes, no = (CURRENT_YES, CURRENT_NO) if normalise_labels else (LEGACY_YES, LEGACY_NO)
+    groups = lookups["legacy_groups"] if lookups else stage_legacy_groups(raw[RAW_LEGACY_GROUP], settings)
     v = stage_legacy_varieties(raw[RAW_LEGACY_VARIETY], settings, distinct=False)
-    out = chain_lookups(v, [Lookup(stage_legacy_groups(raw[RAW_LEGACY_GROUP], settings), "COD_GRUPO_VARIE")],
-                        settings)
+    out = chain_lookups(v, [Lookup(groups, "COD_GRUPO_VARIE")], settings)
     o = F.col("ID_ORIGEM_DB")
     return out.select(
         F.col("COD_VARIE").alias("ID_DOMAIN"), "ID_ORIGEM_DB",
@@ -148,7 +160,9 @@ def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
 def build_variety(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Settings = DEFAULT,
                   normalise_labels: bool = False) -> DataFrame:
     """The conformed variety table: both origins, labelled, de-duplicated."""
-    return conform_origins([current_rows(raw, settings), legacy_rows(raw, settings, normalise_labels)],
+    lk = variety_lookups(raw, settings)
+    check_lookups(lk.values(), settings)
+    return conform_origins([current_rows(raw, settings, lk), legacy_rows(raw, settings, normalise_labels, lk)],
                            schemas.VARIETY, registry, settings=settings)
 
 
