@@ -71,19 +71,54 @@ class Lookup:
     broadcast: bool | str = "auto"
 
 
+def _key_names(on) -> list[str] | None:
+    if isinstance(on, str):
+        return [on]
+    if isinstance(on, (list, tuple)) and all(isinstance(k, str) for k in on):
+        return list(on)
+    return None
+
+
+def _join_order(columns: Sequence[str], lookups: Sequence[Lookup], broadcast: Sequence[bool]) -> list[int]:
+    """Broadcast lookups first, each as soon as its key columns exist.
+
+    Joins on named keys that add columns commute as long as a lookup comes
+    after the lookups that provide its keys, so the order is free up to
+    that; running the broadcast joins first means their inner joins drop
+    fact rows before any sort-merge join shuffles the fact.  A chain with a
+    join condition given as an expression keeps its order.
+    """
+    keys = [_key_names(lk.on) for lk in lookups]
+    if any(k is None for k in keys):
+        return list(range(len(lookups)))
+    available, pending, order = set(columns), list(range(len(lookups))), []
+    while pending:
+        ready = [i for i in pending if set(keys[i]) <= available]
+        if not ready:
+            return list(range(len(lookups)))
+        pick = next((i for i in ready if broadcast[i]), ready[0])
+        order.append(pick)
+        pending.remove(pick)
+        if lookups[pick].how not in ("left_semi", "semi", "leftsemi"):
+            available |= set(lookups[pick].frame.columns)
+    return order
+
+
 def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings = DEFAULT) -> DataFrame:
-    """Join ``left`` to each lookup in order (a star, or a snowflake when a
-    lookup's key comes from an earlier one).
+    """Join ``left`` to each lookup (a star, or a snowflake when a lookup's
+    key comes from an earlier one).
 
     Inner, left outer and left semi joins keep ``left`` as the streamed
-    side, so a broadcast right side is always legal.
+    side, so a broadcast right side is always legal.  Lookups under the
+    bound are broadcast and joined first; the others follow as shuffle joins.
     """
     auto = [lk.frame for lk in lookups if lk.broadcast == "auto"]
     fits = iter(bounded_fits(auto, settings.broadcast_max_rows)) if auto else iter(())
+    use = [next(fits) if lk.broadcast == "auto" else bool(lk.broadcast) for lk in lookups]
     out = left
-    for lk in lookups:
-        use = next(fits) if lk.broadcast == "auto" else bool(lk.broadcast)
-        out = out.join(F.broadcast(lk.frame) if use else lk.frame, lk.on, lk.how)
+    for i in _join_order(left.columns, lookups, use):
+        lk = lookups[i]
+        out = out.join(F.broadcast(lk.frame) if use[i] else lk.frame, lk.on, lk.how)
     return out
 
 

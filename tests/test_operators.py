@@ -135,3 +135,24 @@ def test_group_sum_casts_after_sum(spark):
     out = group_sum(df, ["k"], "v", "TOTAL", "decimal(18,6)")
     assert out.schema["TOTAL"].dataType.simpleString() == "decimal(18,6)"
     assert rows(out) == [("a", Decimal("3.750000")), ("b", None)]
+
+
+def test_broadcast_lookups_join_before_shuffle_joins(spark):
+    fact = spark.range(200).select((F.col("id") % 50).alias("a"), (F.col("id") % 7).alias("b"))
+    big = spark.range(50).select(F.col("id").alias("a"), F.lit("x").alias("va"))
+    small = spark.createDataFrame([(1, "one"), (2, "two")], "b long, vb string")
+    chain = [Lookup(big, "a", broadcast=False), Lookup(small, "b")]
+    out = chain_lookups(fact, chain)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    # the filtering broadcast join sits below the sort-merge join
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
+    assert rows(out, "a", "b", "va", "vb") == rows(fact.join(big, "a").join(small, "b"), "a", "b", "va", "vb")
+
+
+def test_join_order_respects_key_dependencies(spark):
+    site = spark.createDataFrame([(1, 10)], "s int, u int")
+    unit = spark.createDataFrame([(10, 100)], "u int, c int")
+    city = spark.createDataFrame([(100, "Rio")], "c int, name string")
+    # the city lookup needs c from the unit lookup, whatever the broadcast decisions
+    out = chain_lookups(site, [Lookup(unit, "u", broadcast=False), Lookup(city, "c")])
+    assert rows(out, "s", "name") == [(1, "Rio")]
