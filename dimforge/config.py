@@ -16,24 +16,29 @@ from pyspark.sql import SparkSession
 class Settings:
     """Knobs shared by the operators.
 
-    ``broadcast_max_rows`` is the proven bound under which a lookup side is
-    broadcast: the side is counted with ``limit(bound + 1)`` before the join
-    is planned, so a lookup that grows with the data falls back to a shuffle
-    join (sort-merge, with AQE skew splitting) instead of an oversized
-    broadcast.  ``strict_casts`` turns the staging ``try_cast`` into ``cast``
-    so malformed raw values raise instead of becoming NULL.
+    ``broadcast_max_rows`` and ``broadcast_max_bytes`` bound the lookup sides
+    that are broadcast: each side is counted (rows, and the bytes of its
+    values) before the join is planned, so a lookup that grows with the
+    data falls back to a shuffle join (sort-merge, with AQE skew splitting)
+    instead of an oversized broadcast.  ``strict_casts`` turns the staging
+    ``try_cast`` into ``cast`` so malformed raw values raise instead of
+    becoming NULL.
     """
 
     broadcast_max_rows: int = 1_000_000
+    broadcast_max_bytes: int = 128 * 1024 * 1024
     strict_casts: bool = False
 
     @classmethod
     def from_conf(cls, spark: SparkSession) -> "Settings":
-        """Settings from the session: ``spark.dimforge.broadcastMaxRows`` and
-        ``spark.dimforge.strictCasts`` (defaults when unset)."""
+        """Settings from the session: ``spark.dimforge.broadcastMaxRows``,
+        ``spark.dimforge.broadcastMaxBytes`` and ``spark.dimforge.strictCasts``
+        (defaults when unset)."""
         rows = spark.conf.get("spark.dimforge.broadcastMaxRows", None)
+        size = spark.conf.get("spark.dimforge.broadcastMaxBytes", None)
         strict = spark.conf.get("spark.dimforge.strictCasts", None)
         return cls(broadcast_max_rows=int(rows) if rows else cls.broadcast_max_rows,
+                   broadcast_max_bytes=int(size) if size else cls.broadcast_max_bytes,
                    strict_casts=(strict or "false").lower() == "true")
 
 

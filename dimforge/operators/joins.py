@@ -1,9 +1,10 @@
 """Lookup joins with a size-checked broadcast.
 
-A lookup side is broadcast only after a bounded count proves it holds at
-most ``Settings.broadcast_max_rows`` rows; a side that grows with the data
-falls back to a shuffle join (sort-merge), where AQE splits a skewed key
-over several tasks.  The checks of a whole join chain run as one Spark job.
+A lookup side is broadcast only after a count proves it holds at most
+``Settings.broadcast_max_rows`` rows and ``Settings.broadcast_max_bytes``
+bytes of values; a side that grows with the data falls back to a shuffle
+join (sort-merge), where AQE splits a skewed key over several tasks.  The
+checks of a whole build run as one Spark job.
 """
 
 from __future__ import annotations
@@ -20,28 +21,52 @@ from pyspark.sql import functions as F
 from dimforge.config import DEFAULT, Settings
 
 # Results of earlier checks, per DataFrame object (a frame is immutable).
-_checked: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
+_checked: "weakref.WeakKeyDictionary[DataFrame, tuple[tuple[int, int], bool]]" = weakref.WeakKeyDictionary()
 _lock = threading.Lock()
 
-
-def bounded_fits(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
-    """For each frame, whether it has at most ``max_rows`` rows.
-
-    One job for all frames: the frames are tagged, unioned and counted per
-    tag.  Counting is partial on every task (one row per frame and task) and
-    final on one small row per frame, so no task receives the rows of a
-    large frame, and the fact table is never read by a check.
+_FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
+
+
+def _value_bytes(df: DataFrame) -> F.Column:
+    """Bytes of a row's values: UTF-8 length of text and binary, 16 for
+    decimals, the type's width for other scalars (8 by default), the JSON
+    length of nested values; NULLs count 0."""
+    parts = []
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        kind = field.dataType.simpleString()
+        if kind in ("string", "binary"):
+            size = F.octet_length(c)
+        elif kind.startswith(("array", "map", "struct")):
+            size = F.octet_length(F.to_json(c))
+        else:
+            width = 16 if kind.startswith("decimal") else _FIXED_WIDTH.get(kind, 8)
+            size = F.when(c.isNotNull(), F.lit(width))
+        parts.append(F.coalesce(size.cast("long"), F.lit(0).cast("long")))
+    return reduce(lambda a, b: a + b, parts, F.lit(0).cast("long"))
+
+
+def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | None = None) -> list[bool]:
+    """For each frame, whether it has at most ``max_rows`` rows and at most
+    ``max_bytes`` bytes of values.
+
+    One job for all frames: the frames are tagged, unioned and summed per
+    tag.  The aggregation is partial on every task (one row per frame and
+    task) and final on one small row per frame, so no task receives the
+    rows of a large frame, and the fact table is never read by a check.
     """
+    bound = (max_rows, max_bytes if max_bytes is not None else -1)
     with _lock:
         known = {i: _checked.get(f) for i, f in enumerate(frames)}
-    todo = [i for i, k in known.items() if k is None or k[0] != max_rows]
+    todo = [i for i, k in known.items() if k is None or k[0] != bound]
     if todo:
-        tagged = [frames[i].select(F.lit(i).alias("__i")) for i in todo]
-        counts = {r["__i"]: r["n"] for r in
-                  reduce(DataFrame.unionAll, tagged).groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
+        tagged = [frames[i].select(F.lit(i).alias("__i"), _value_bytes(frames[i]).alias("__b")) for i in todo]
+        stats = {r["__i"]: (r["n"], r["b"] or 0) for r in reduce(DataFrame.unionAll, tagged).groupBy("__i").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("__b").alias("b")).collect()}
         with _lock:
             for i in todo:
-                known[i] = (max_rows, counts.get(i, 0) <= max_rows)
+                n, b = stats.get(i, (0, 0))
+                known[i] = (bound, n <= max_rows and (max_bytes is None or b <= max_bytes))
                 _checked[frames[i]] = known[i]
     return [known[i][1] for i in range(len(frames))]
 
@@ -49,12 +74,12 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int) -> list[bool]:
 def check_lookups(frames, settings: Settings = DEFAULT) -> None:
     """Run the size checks of every lookup of a build in one job; the joins
     built afterwards from the same frames reuse the results."""
-    bounded_fits(list(frames), settings.broadcast_max_rows)
+    bounded_fits(list(frames), settings.broadcast_max_rows, settings.broadcast_max_bytes)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return bounded_fits([df], max_rows)[0]
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (and ``max_bytes`` bytes)."""
+    return bounded_fits([df], max_rows, max_bytes)[0]
 
 
 @dataclass(frozen=True)
@@ -113,7 +138,7 @@ def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings
     bound are broadcast and joined first; the others follow as shuffle joins.
     """
     auto = [lk.frame for lk in lookups if lk.broadcast == "auto"]
-    fits = iter(bounded_fits(auto, settings.broadcast_max_rows)) if auto else iter(())
+    fits = iter(bounded_fits(auto, settings.broadcast_max_rows, settings.broadcast_max_bytes)) if auto else iter(())
     use = [next(fits) if lk.broadcast == "auto" else bool(lk.broadcast) for lk in lookups]
     out = left
     for i in _join_order(left.columns, lookups, use):

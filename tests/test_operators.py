@@ -156,3 +156,14 @@ def test_join_order_respects_key_dependencies(spark):
     # the city lookup needs c from the unit lookup, whatever the broadcast decisions
     out = chain_lookups(site, [Lookup(unit, "u", broadcast=False), Lookup(city, "c")])
     assert rows(out, "s", "name") == [(1, "Rio")]
+
+
+def test_byte_bound_of_wide_lookup(spark):
+    wide = spark.createDataFrame([(i, "x" * 1000) for i in range(3)], "k int, text string")
+    assert bounded_fits([wide], 10) == [True]
+    assert bounded_fits([wide], 10, 2000) == [False]
+    assert bounded_fits([wide.limit(1)], 10, 2000) == [True]
+    fact = spark.range(10).select(F.col("id").cast("int").alias("k"))
+    out = lookup_join(fact, wide, "k", settings=Settings(broadcast_max_bytes=2000))
+    assert "SortMergeJoin" in out._jdf.queryExecution().sparkPlan().toString()
+    assert out.count() == 3
