@@ -27,23 +27,28 @@ _lock = threading.Lock()
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
 
 
-def _value_bytes(df: DataFrame) -> F.Column:
-    """Bytes of a row's values: UTF-8 length of text and binary, 16 for
-    decimals, the type's width for other scalars (8 by default), the JSON
-    length of nested values; NULLs count 0."""
-    parts = []
+def _width(kind: str) -> int | None:
+    """Bytes of a fixed-width type; None for text, binary and nested types."""
+    if kind in ("string", "binary") or kind.startswith(("array", "map", "struct", "varchar", "char")):
+        return None
+    return 16 if kind.startswith("decimal") else _FIXED_WIDTH.get(kind, 8)
+
+
+def _size_terms(df: DataFrame) -> tuple[F.Column, int]:
+    """(bytes of the variable-width values of a row, width of its fixed-width
+    columns).  Only text, binary and nested columns are read: the fixed
+    part is the row count times the width (an upper bound, NULLs included)."""
+    fixed, parts = 0, []
     for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
         kind = field.dataType.simpleString()
-        if kind in ("string", "binary"):
-            size = F.octet_length(c)
-        elif kind.startswith(("array", "map", "struct")):
-            size = F.octet_length(F.to_json(c))
-        else:
-            width = 16 if kind.startswith("decimal") else _FIXED_WIDTH.get(kind, 8)
-            size = F.when(c.isNotNull(), F.lit(width))
+        width = _width(kind)
+        if width is not None:
+            fixed += width
+            continue
+        c = F.col(f"`{field.name}`")
+        size = F.octet_length(F.to_json(c)) if kind.startswith(("array", "map", "struct")) else F.octet_length(c)
         parts.append(F.coalesce(size.cast("long"), F.lit(0).cast("long")))
-    return reduce(lambda a, b: a + b, parts, F.lit(0).cast("long"))
+    return reduce(lambda a, b: a + b, parts, F.lit(0).cast("long")), fixed
 
 
 def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | None = None) -> list[bool]:
@@ -54,19 +59,22 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | No
     tag.  The aggregation is partial on every task (one row per frame and
     task) and final on one small row per frame, so no task receives the
     rows of a large frame, and the fact table is never read by a check.
+    Without ``max_bytes`` only rows are counted (no column is read).
     """
     bound = (max_rows, max_bytes if max_bytes is not None else -1)
     with _lock:
         known = {i: _checked.get(f) for i, f in enumerate(frames)}
     todo = [i for i, k in known.items() if k is None or k[0] != bound]
     if todo:
-        tagged = [frames[i].select(F.lit(i).alias("__i"), _value_bytes(frames[i]).alias("__b")) for i in todo]
+        terms = {i: _size_terms(frames[i]) if max_bytes is not None else (F.lit(0).cast("long"), 0) for i in todo}
+        tagged = [frames[i].select(F.lit(i).alias("__i"), terms[i][0].alias("__b")) for i in todo]
         stats = {r["__i"]: (r["n"], r["b"] or 0) for r in reduce(DataFrame.unionAll, tagged).groupBy("__i").agg(
             F.count(F.lit(1)).alias("n"), F.sum("__b").alias("b")).collect()}
         with _lock:
             for i in todo:
-                n, b = stats.get(i, (0, 0))
-                known[i] = (bound, n <= max_rows and (max_bytes is None or b <= max_bytes))
+                n, var_bytes = stats.get(i, (0, 0))
+                size = var_bytes + n * terms[i][1]
+                known[i] = (bound, n <= max_rows and (max_bytes is None or size <= max_bytes))
                 _checked[frames[i]] = known[i]
     return [known[i][1] for i in range(len(frames))]
 
