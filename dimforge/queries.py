@@ -66,8 +66,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def conformed_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Physical-field table: both origins through staging, keys, registry, union."""
-    return build_field(DriverTables(spark, sf_dir).field_raw(), origin_registry(spark), Settings.from_conf(spark))
+    """Physical-field table: both origins through staging, keys, registry, union.
+
+    As in the original load, the legacy rows are written to a Parquet
+    snapshot (a fresh folder under the shared folder) and read back before
+    the union, which cuts their lineage.
+    """
+    snapshot = snapshot_path(spark, "field-legacy", uuid.uuid4().hex[:12])
+    return build_field(DriverTables(spark, sf_dir).field_raw(), origin_registry(spark), Settings.from_conf(spark),
+                       legacy_snapshot=snapshot)
 
 
 def conformed_site(spark: SparkSession, sf_dir: str) -> DataFrame:
