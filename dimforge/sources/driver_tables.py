@@ -3,9 +3,14 @@
 The conformed builds expect the raw tables of two operational systems.  The
 test data has none of them, so each raw table here is a projection of one
 test table into the raw schema: renames, text formatting of dates and codes,
-and typed NULLs.  A stand-in never joins, groups or de-duplicates, and never
-computes a key the builds compute; the builds do all of that themselves and
-would give the right result on any data of these schemas.
+and typed NULLs.  A stand-in never joins, groups or de-duplicates; the builds
+do all of that themselves and would give the right result on any data of
+these schemas.
+
+The season, crop and farm tables are conformed tables the planning fact
+reads but no build here produces.  Their stand-ins (one row per nation,
+region or supplier and origin) hold their keys in the conformed format,
+origin followed by the local id, as a published table would.
 
 Mapping (origin 2000 = current system, origin 1000 = legacy system):
 
