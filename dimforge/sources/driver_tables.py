@@ -31,8 +31,6 @@ Mapping (origin 2000 = current system, origin 1000 = legacy system):
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
