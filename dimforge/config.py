@@ -57,7 +57,7 @@ def session_conf(cpus: int) -> dict[str, str]:
     return {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
-        "spark.sql.shuffle.partitions": str(max(8, cpus * 2)),
+        "spark.sql.shuffle.partitions": str(max(8, cpus)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
