@@ -61,6 +61,7 @@ from dimforge.schemas import parse_schema
 from dimforge.sources.catalog import register_views
 from dimforge.sources.driver_tables import DriverTables
 from dimforge.sources.snapshot import preview, publish, snapshot_once, snapshot_path
+from dimforge.plans import loads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,6 +134,21 @@ def conformed_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
                           Settings.from_conf(spark))
 
 
+def load_all_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole load in run order, through the catalog: the season, crop and
+    farm inputs are published first, then ``loads.load_all`` publishes the
+    field, site and variety tables and the planning fact built from the
+    published tables (a fresh database per call); the fact is read back."""
+    t = DriverTables(spark, sf_dir)
+    owner = f"dimforge_load_{uuid.uuid4().hex[:10]}"
+    base = snapshot_path(spark, "published")
+    for table, df in ((loads.SEASON_TABLE, t.season()), (loads.CROP_TABLE, t.crop()), (loads.FARM_TABLE, t.farm())):
+        publish(df, owner, table, base)
+    raw = {**t.field_raw(), **t.site_raw(), **t.variety_raw(), **t.planning_raw()}
+    loads.load_all(raw, origin_registry(spark), owner, base, Settings.from_conf(spark))
+    return loads.published(spark, owner, loads.PLANNING_TABLE)
+
+
 # ---------------------------------------------------------------- operators
 def _t(spark: SparkSession, sf_dir: str) -> DriverTables:
     return DriverTables(spark, sf_dir)
@@ -495,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_roundtrip": snapshot_roundtrip,
     "publish_roundtrip": publish_roundtrip,
     "sql_over_view": sql_over_view,
+    "load_all_published": load_all_published,
     "conformed_field": conformed_field,
     "conformed_site": conformed_site,
     "conformed_site_analysis": conformed_site_analysis,
