@@ -22,24 +22,30 @@ class Settings:
     data falls back to a shuffle join (sort-merge, with AQE skew splitting)
     instead of an oversized broadcast.  ``strict_casts`` turns the staging
     ``try_cast`` into ``cast`` so malformed raw values raise instead of
-    becoming NULL.
+    becoming NULL.  ``spread_inputs`` lets a fact input stored in fewer
+    files than the cluster's parallelism be hash-partitioned first (see
+    ``operators.spread``); turn it off for tables kept in a few huge files
+    with many row groups, whose scans are already parallel.
     """
 
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 128 * 1024 * 1024
     strict_casts: bool = False
+    spread_inputs: bool = True
 
     @classmethod
     def from_conf(cls, spark: SparkSession) -> "Settings":
         """Settings from the session: ``spark.dimforge.broadcastMaxRows``,
-        ``spark.dimforge.broadcastMaxBytes`` and ``spark.dimforge.strictCasts``
-        (defaults when unset)."""
+        ``spark.dimforge.broadcastMaxBytes``, ``spark.dimforge.strictCasts``
+        and ``spark.dimforge.spreadInputs`` (defaults when unset)."""
         rows = spark.conf.get("spark.dimforge.broadcastMaxRows", None)
         size = spark.conf.get("spark.dimforge.broadcastMaxBytes", None)
         strict = spark.conf.get("spark.dimforge.strictCasts", None)
+        spread = spark.conf.get("spark.dimforge.spreadInputs", None)
         return cls(broadcast_max_rows=int(rows) if rows else cls.broadcast_max_rows,
                    broadcast_max_bytes=int(size) if size else cls.broadcast_max_bytes,
-                   strict_casts=(strict or "false").lower() == "true")
+                   strict_casts=(strict or "false").lower() == "true",
+                   spread_inputs=(spread or "true").lower() == "true")
 
 
 DEFAULT = Settings()

@@ -80,7 +80,8 @@ def build_field(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Set
     computed and written there once and read back afterwards, which also
     cuts their lineage.
     """
-    current = current_rows(stage_current(spread(raw[RAW_CURRENT]), settings, distinct=False))
+    fields = spread(raw[RAW_CURRENT]) if settings.spread_inputs else raw[RAW_CURRENT]
+    current = current_rows(stage_current(fields, settings, distinct=False))
     legacy = legacy_rows(stage_legacy(raw[RAW_LEGACY], settings, distinct=False))
     if legacy_snapshot:
         legacy = snapshot_once(legacy.distinct(), legacy_snapshot)

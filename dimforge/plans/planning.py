@@ -193,7 +193,8 @@ def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
                  lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Current-system fact rows (without the origin label)."""
     lk = lookups or planning_lookups(raw, dims, settings)
-    u = stage_plan(spread(raw[RAW_PLAN], PLAN_GRAIN), settings, distinct=False, grain=grain)
+    plan = spread(raw[RAW_PLAN], PLAN_GRAIN) if settings.spread_inputs else raw[RAW_PLAN]
+    u = stage_plan(plan, settings, distinct=False, grain=grain)
     out = chain_lookups(u, [
         Lookup(lk["scenarios"], "ID_CENARIO"),
         Lookup(lk["periods"], "ID_PERIODOSAFRA"),
@@ -236,7 +237,8 @@ def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: S
     on the surrogate key ``origin || local id``, computed once per row.
     """
     lk = lookups or planning_lookups(raw, dims, settings)
-    d4 = stage_divisions(spread(raw[RAW_DIVISION]), settings, distinct=False, last_year=last_year)
+    divisions = spread(raw[RAW_DIVISION]) if settings.spread_inputs else raw[RAW_DIVISION]
+    d4 = stage_divisions(divisions, settings, distinct=False, last_year=last_year)
     d4 = chain_lookups(d4, [Lookup(lk["active"], ["COD_SIMULACAO", "SAF_ANO_SAFRA"], "left_semi")], settings)
     origin = F.col("ID_ORIGEM_DB")
     keyed = d4.select(

@@ -237,7 +237,8 @@ def join_composite(spark, sf_dir):
 
 
 def join_computed_key(spark, sf_dir):
-    """Fact matched to a table's stored surrogate key, computed on the fact side."""
+    """Fact matched on a surrogate key (origin || local id) computed on the fact side
+    against the lookup's key column."""
     t = _t(spark, sf_dir)
     fact = t.table("lineitem").select("l_orderkey", "l_linenumber",
                                       origin_key(schemas.LEGACY, "l_suppkey").alias("ID_SEDE"))

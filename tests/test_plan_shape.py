@@ -39,3 +39,16 @@ def test_shuffle_join_fallback_gives_same_rows(spark):
     assert "SortMergeJoin" in plan
     assert broadcast.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(broadcast).count() == 0
     assert broadcast.count() > 0
+
+
+def test_spread_can_be_switched_off(spark):
+    from dimforge.operators import spread
+
+    raw = DriverTables(spark, SMALL_SF).planning_raw()
+    dims = conformed_tables(spark, SMALL_SF, materialize=False)
+    reg = origin_registry(spark)
+    plain = build_planning(raw, dims, reg, settings=Settings(spread_inputs=False))
+    assert plain.exceptAll(build_planning(raw, dims, reg)).count() == 0
+    df = spark.read.parquet(f"{SMALL_SF}/nation.parquet")
+    assert spread(df, min_partitions=1) is df
+    assert "hashpartitioning" in spread(df, ["n_nationkey"], 4)._jdf.queryExecution().executedPlan().toString()
