@@ -252,3 +252,11 @@ def test_plan_grain_option(spark):
     assert [r["QT_AREA_PROD"] for r in stage_plan(raw, grain="date").collect()] == [D("8.000000")]
     with pytest.raises(ValueError):
         stage_plan(raw, grain="week")
+
+
+def test_copies_in_a_lookup_do_not_multiply_rows(spark, variety_raw, reg):
+    # one maturity-group row repeated 300 times (far more than a third of the table)
+    copies = variety_raw["Grpmaturacao"].unionByName(
+        spark.createDataFrame([("1", "110")] * 300, "ID_GRPMATURACAO string, QT_DIAS_MATUR string"))
+    with_copies = build_variety(dict(variety_raw, Grpmaturacao=copies), reg)
+    assert rows(with_copies) == _sorted(VARIETY_EXPECTED)
