@@ -193,7 +193,7 @@ def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
                  lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Current-system fact rows (without the origin label)."""
     lk = lookups or planning_lookups(raw, dims, settings)
-    plan = spread(raw[RAW_PLAN], PLAN_GRAIN) if settings.spread_inputs else raw[RAW_PLAN]
+    plan = spread(raw[RAW_PLAN]) if settings.spread_inputs else raw[RAW_PLAN]
     u = stage_plan(plan, settings, distinct=False, grain=grain)
     out = chain_lookups(u, [
         Lookup(lk["scenarios"], "ID_CENARIO"),

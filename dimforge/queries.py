@@ -319,9 +319,9 @@ def group_sum_area(spark, sf_dir):
 
 def plan_staging(spark, sf_dir):
     """Planning staging: sum per raw grain, typed after the sum, DISTINCT after the types
-    (the input spread on the grain keys first, as in the build)."""
+    (the input spread first, as in the build)."""
     raw = _t(spark, sf_dir).planning_raw()["upn3_plan"]
-    return planning.stage_plan(spread(raw, planning.PLAN_GRAIN), distinct=True)
+    return planning.stage_plan(spread(raw), distinct=True)
 
 
 def group_then_date_distinct(spark, sf_dir):

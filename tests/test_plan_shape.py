@@ -51,4 +51,6 @@ def test_spread_can_be_switched_off(spark):
     assert plain.exceptAll(build_planning(raw, dims, reg)).count() == 0
     df = spark.read.parquet(f"{SMALL_SF}/nation.parquet")
     assert spread(df, min_partitions=1) is df
-    assert "hashpartitioning" in spread(df, ["n_nationkey"], 4)._jdf.queryExecution().executedPlan().toString()
+    spread_df = spread(df, 4)
+    assert "hashpartitioning" in spread_df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(spread_df.collect()) == sorted(df.collect())
