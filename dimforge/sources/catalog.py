@@ -38,9 +38,13 @@ class RawTables(Mapping[str, DataFrame]):
         return len(self._locations)
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    """``CREATE DATABASE IF NOT EXISTS name``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(name)}")
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """``CREATE DATABASE IF NOT EXISTS name [LOCATION location]``.
+
+    With a location (a folder in shared storage) the database does not
+    depend on the session's warehouse folder."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(name)}{where}")
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:

@@ -56,7 +56,7 @@ def publish(df: DataFrame, owner: str, table: str, base_path: str | None = None,
     """
     spark = df.sparkSession
     base = (base_path or shared_dir(spark)).rstrip("/")
-    ensure_database(spark, owner)
+    ensure_database(spark, owner, f"{base}/{owner}.db")
     name = f"{quote(owner)}.{quote(table)}"
     last_error: Exception | None = None
     for _ in range(max(1, retries)):
