@@ -20,7 +20,10 @@ class Settings:
     that are broadcast: each side is counted (rows, and the bytes of its
     values) before the join is planned, so a lookup that grows with the
     data falls back to a shuffle join (sort-merge, with AQE skew splitting)
-    instead of an oversized broadcast.  ``strict_casts`` turns the staging
+    instead of an oversized broadcast.  ``broadcast_budget_bytes`` caps the
+    sum over one join chain (its broadcasts are held together by the tasks
+    of one stage): beyond it the largest lookups are shuffle-joined instead.
+    ``strict_casts`` turns the staging
     ``try_cast`` into ``cast`` so malformed raw values raise instead of
     becoming NULL.  ``spread_inputs`` lets a fact input stored in fewer
     files than the cluster's parallelism be hash-partitioned first (see
@@ -30,20 +33,23 @@ class Settings:
 
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 128 * 1024 * 1024
+    broadcast_budget_bytes: int = 512 * 1024 * 1024
     strict_casts: bool = False
     spread_inputs: bool = True
 
     @classmethod
     def from_conf(cls, spark: SparkSession) -> "Settings":
         """Settings from the session: ``spark.dimforge.broadcastMaxRows``,
-        ``spark.dimforge.broadcastMaxBytes``, ``spark.dimforge.strictCasts``
-        and ``spark.dimforge.spreadInputs`` (defaults when unset)."""
+        ``broadcastMaxBytes``, ``broadcastBudgetBytes``, ``strictCasts`` and
+        ``spreadInputs`` (all under ``spark.dimforge.``; defaults when unset)."""
         rows = spark.conf.get("spark.dimforge.broadcastMaxRows", None)
         size = spark.conf.get("spark.dimforge.broadcastMaxBytes", None)
+        budget = spark.conf.get("spark.dimforge.broadcastBudgetBytes", None)
         strict = spark.conf.get("spark.dimforge.strictCasts", None)
         spread = spark.conf.get("spark.dimforge.spreadInputs", None)
         return cls(broadcast_max_rows=int(rows) if rows else cls.broadcast_max_rows,
                    broadcast_max_bytes=int(size) if size else cls.broadcast_max_bytes,
+                   broadcast_budget_bytes=int(budget) if budget else cls.broadcast_budget_bytes,
                    strict_casts=(strict or "false").lower() == "true",
                    spread_inputs=(spread or "true").lower() == "true")
 

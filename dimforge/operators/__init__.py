@@ -6,6 +6,7 @@ from dimforge.operators.joins import (
     bounded_fits,
     chain_lookups,
     check_lookups,
+    checked_bytes,
     fits_broadcast,
     lookup_join,
     semi_join,
@@ -23,7 +24,7 @@ from dimforge.operators.stage import (
 from dimforge.operators.union import align, conform_origins, conform_union, union_all
 
 __all__ = [
-    "Lookup", "align", "all_equal", "bounded_fits", "chain_lookups", "check_lookups", "attach_origin", "conform_origins", "conform_union", "contains",
+    "Lookup", "align", "all_equal", "bounded_fits", "chain_lookups", "check_lookups", "checked_bytes", "attach_origin", "conform_origins", "conform_union", "contains",
     "fits_broadcast", "group_sum", "in_list", "lookup_join", "origin_cutover",
     "origin_registry", "semi_join", "spread", "stage", "starts_with", "union_all",
 ]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from dimforge.config import DEFAULT, Settings
 
 # Results of earlier checks, per DataFrame object (a frame is immutable).
-_checked: "weakref.WeakKeyDictionary[DataFrame, tuple[tuple[int, int], bool]]" = weakref.WeakKeyDictionary()
+_checked: "weakref.WeakKeyDictionary[DataFrame, tuple[tuple[int, int], bool, int]]" = weakref.WeakKeyDictionary()
 _lock = threading.Lock()
 
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
@@ -74,11 +74,19 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | No
             for i in todo:
                 n, var_bytes = stats.get(i, (0, 0))
                 size = var_bytes + n * terms[i][1]
-                known[i] = (bound, n <= max_rows and (max_bytes is None or size <= max_bytes))
+                known[i] = (bound, n <= max_rows and (max_bytes is None or size <= max_bytes), size)
                 _checked[frames[i]] = known[i]
     return [known[i][1] for i in range(len(frames))]
 
 
+def checked_bytes(df: DataFrame) -> int:
+    """Size in bytes measured by the last check of ``df`` (0 if unchecked
+    or checked without a byte bound)."""
+    with _lock:
+        entry = _checked.get(df)
+    return entry[2] if entry else 0
+
+
 def check_lookups(frames, settings: Settings = DEFAULT) -> None:
     """Run the size checks of every lookup of a build in one job; the joins
     built afterwards from the same frames reuse the results."""
@@ -143,11 +151,20 @@ def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings
 
     Inner, left outer and left semi joins keep ``left`` as the streamed
     side, so a broadcast right side is always legal.  Lookups under the
-    bound are broadcast and joined first; the others follow as shuffle joins.
+    bound are broadcast and joined first, smallest first within the chain's
+    broadcast budget; the others follow as shuffle joins.
     """
     auto = [lk.frame for lk in lookups if lk.broadcast == "auto"]
     fits = iter(bounded_fits(auto, settings.broadcast_max_rows, settings.broadcast_max_bytes)) if auto else iter(())
     use = [next(fits) if lk.broadcast == "auto" else bool(lk.broadcast) for lk in lookups]
+    # keep the chain's broadcasts within the budget: smallest first
+    checked = sorted((checked_bytes(lk.frame), i) for i, lk in enumerate(lookups)
+                     if use[i] and lk.broadcast == "auto")
+    total = 0
+    for size, i in checked:
+        total += size
+        if total > settings.broadcast_budget_bytes:
+            use[i] = False
     out = left
     for i in _join_order(left.columns, lookups, use):
         lk = lookups[i]

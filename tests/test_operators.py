@@ -177,3 +177,15 @@ def test_spread_splits_copies_evenly(spark):
     sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 0.4 * 4000
     assert out.count() == 4000
+
+
+def test_chain_broadcast_budget_keeps_smallest(spark):
+    fact = spark.range(20).select(F.col("id").cast("int").alias("k"))
+    lookups = [spark.createDataFrame([(i, "x" * width) for i in range(3)], f"k int, v{n} string")
+               for n, width in enumerate((300, 100, 200))]
+    # each fits the per-lookup bound; together (~1.8 KB) they exceed a 1 KB budget
+    out = chain_lookups(fact, [Lookup(lk, "k") for lk in lookups],
+                        Settings(broadcast_max_bytes=10_000, broadcast_budget_bytes=1_000))
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+    assert out.count() == 3
