@@ -65,3 +65,19 @@ def test_preview_and_views(spark):
 def test_preview_number_against_text_column(spark):
     df = spark.createDataFrame([("100035", 1), ("10003A", 2)], "ID_SEDE string, n int")
     assert rows(preview(df, ID_SEDE=100035)) == [("100035", 1)]
+
+
+def test_settings_from_session_conf(spark):
+    from dimforge.config import Settings
+
+    keys = {"spark.dimforge.broadcastMaxRows": "10", "spark.dimforge.broadcastMaxBytes": "2048",
+            "spark.dimforge.broadcastBudgetBytes": "4096", "spark.dimforge.strictCasts": "true",
+            "spark.dimforge.spreadInputs": "false"}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        assert Settings.from_conf(spark) == Settings(10, 2048, 4096, True, False)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert Settings.from_conf(spark) == Settings()
