@@ -189,3 +189,14 @@ def test_chain_broadcast_budget_keeps_smallest(spark):
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
     assert out.count() == 3
+
+
+def test_two_shuffle_joins_on_one_key_shuffle_the_fact_once(spark):
+    fact = spark.range(1000).select((F.col("id") % 100).alias("k"), F.col("id").alias("row"))
+    a = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("va"))
+    b = spark.range(100).select(F.col("id").alias("k"), F.lit("b").alias("vb"))
+    out = chain_lookups(fact, [Lookup(a, "k"), Lookup(b, "k")], Settings(broadcast_max_rows=0))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2
+    assert plan.count("Exchange hashpartitioning") == 3   # fact once, each lookup once
+    assert out.count() == 1000
