@@ -152,7 +152,8 @@ def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings
     Inner, left outer and left semi joins keep ``left`` as the streamed
     side, so a broadcast right side is always legal.  Lookups under the
     bound are broadcast and joined first, smallest first within the chain's
-    broadcast budget; the others follow as shuffle joins.
+    broadcast budget; the others follow as shuffle (sort-merge) joins, hinted
+    so that no estimate-based threshold of the session broadcasts them.
     """
     auto = [lk.frame for lk in lookups if lk.broadcast == "auto"]
     fits = iter(bounded_fits(auto, settings.broadcast_max_rows, settings.broadcast_max_bytes)) if auto else iter(())
@@ -168,7 +169,10 @@ def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings
     out = left
     for i in _join_order(left.columns, lookups, use):
         lk = lookups[i]
-        out = out.join(F.broadcast(lk.frame) if use[i] else lk.frame, lk.on, lk.how)
+        # a side not proven small is pinned to a shuffle join, so no session's
+        # estimate-based threshold can broadcast it
+        side = F.broadcast(lk.frame) if use[i] else lk.frame.hint("merge")
+        out = out.join(side, lk.on, lk.how)
     return out
 
 

@@ -200,3 +200,16 @@ def test_two_shuffle_joins_on_one_key_shuffle_the_fact_once(spark):
     assert plan.count("SortMergeJoin") == 2
     assert plan.count("Exchange hashpartitioning") == 3   # fact once, each lookup once
     assert out.count() == 1000
+
+
+def test_unproven_lookup_is_not_broadcast_by_session_threshold(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        fact = spark.range(100).withColumnRenamed("id", "k")
+        dim = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        out = lookup_join(fact, dim, "k", settings=Settings(broadcast_max_rows=5))
+        assert "SortMergeJoin" in out._jdf.queryExecution().sparkPlan().toString()
+        assert out.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
