@@ -1,4 +1,4 @@
-"""The corpus pipeline: near-duplicate removal, mixing and packing of the documents.
+"""The corpus pipeline: language, toxicity, near-duplicates, mixing and packing of the documents.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as
 Parquet and read again as the next stage's documents.
@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimforge.llm.common import materialize
+from dimforge.llm import langid, toxicity
+from dimforge.llm.common import materialize, ship
 from dimforge.llm.mixing import mix
 from dimforge.llm.packing import pack
 from dimforge.llm.simhash import drop_near_duplicates
@@ -18,6 +19,18 @@ from dimforge.llm.simhash import drop_near_duplicates
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told go on; texts without a letter and
+    ambiguous ones go."""
+    return langid.keep_identified(docs)
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score under 0.7 go on."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.drop_toxic(docs, labels, threshold=0.7)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: that with the smallest doc_id."""
     return drop_near_duplicates(docs, words_each=4, radius=4)
@@ -34,6 +47,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("toxicity", toxic),
     ("near_dedup", near_dedup),
     ("mixing", mixing),
     ("packing", packing),
@@ -45,6 +60,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")

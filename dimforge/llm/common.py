@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,26 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once a Spark application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="dimforge-"), "dimforge.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    at = os.path.join(folder, name)
+                    z.write(at, os.path.relpath(at, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/dimforge-llm/{name}-{uuid.uuid4().hex}"

@@ -8,12 +8,30 @@ node's neighbours are only ever aggregated, never gathered.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.llm.common import discard, materialize, table_folder
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each node of (a, b) to the smallest node of its component."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j, label = at[:len(a)], at[len(a):], np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    rest = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[label[rest]], nodes[rest]
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

@@ -6,20 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dimforge.llm import archive, embedding_dedup, langid, simhash, toxicity
+from dimforge.llm.common import ship
 from dimforge.llm.fingerprints import fingerprint_documents
 from dimforge.llm.mixing import mixture
 from dimforge.llm.packing import pack
-from dimforge.llm.simhash import near_duplicates
+from dimforge.llm.token_counts import token_counts
 from dimforge.llm.token_files import token_digest
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 4-word shingles, distance 4 or less."""
-    return near_duplicates(_read(spark, sf_dir, "documents"), words_each=4, radius=4)
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"), words_each=4, radius=4)
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +35,31 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"), end_id=0, capacity=1024)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive of all pages, written and read back."""
+    return archive.facts(archive.write_archive(_read(spark, sf_dir, "pages"), least=100))
+
+
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings, cosine 0.98 or more within a label."""
+    return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    return langid.identified(_read(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of all documents."""
+    return token_counts(_read(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    return toxicity.scored(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix."""
     return mixture(_read(spark, sf_dir, "documents"))
@@ -46,6 +74,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
     "op3_packing": op3_packing,
+    "op4_warc": op4_warc,
+    "op5_embeddings": op5_embeddings,
+    "op6_language": op6_language,
+    "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_fingerprints": op10_fingerprints,
 }

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.llm.common import materialize, require
-from dimforge.llm.components import connected
+from dimforge.llm.components import connected, forest
 
 BITS = 64
 CHUNK = 4096
@@ -205,30 +205,12 @@ def _group_edges(rows: pd.DataFrame, key: list[str], radius: int) -> pd.DataFram
         out_a.append(a[a != b])
         out_b.append(b[a != b])
         # a spanning forest instead of all pairs
-        out_a[-1], out_b[-1] = _forest(out_a[-1], out_b[-1])
+        out_a[-1], out_b[-1] = forest(out_a[-1], out_b[-1])
     a = np.concatenate(out_a).view(np.int64)
     b = np.concatenate(out_b).view(np.int64)
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from each node to the smallest node of its group."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    i, j = at[:len(a)], at[len(a):]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, label[i], low)
-        np.minimum.at(new, label[j], low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    rest = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[rest], nodes[label[rest]]
-
-
 def near_duplicates(docs: DataFrame, words_each: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     fps = materialize(fingerprints(docs, words_each), "simhash")
