@@ -16,11 +16,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from dimforge.config import local_session  # noqa: E402
+from dimforge.config import local_session, use_scratch  # noqa: E402
 from dimforge.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
     "conformed_plan",
+    "load_all_published",
     "conformed_field",
     "conformed_site",
     "conformed_site_analysis",
@@ -38,6 +39,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, app="dimforge-bench")
+    use_scratch(spark)
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):
         for name in names:

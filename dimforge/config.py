@@ -5,7 +5,6 @@ Everything here is plain Spark configuration; nothing is tuned per query.
 
 from __future__ import annotations
 
-import os
 import tempfile
 from dataclasses import dataclass
 
@@ -25,33 +24,31 @@ class Settings:
     of one stage): beyond it the largest lookups are shuffle-joined instead.
     ``strict_casts`` turns the staging
     ``try_cast`` into ``cast`` so malformed raw values raise instead of
-    becoming NULL.  ``spread_inputs`` lets a fact input stored in fewer
-    files than the cluster's parallelism be hash-partitioned first (see
-    ``operators.spread``); turn it off for tables kept in a few huge files
-    with many row groups, whose scans are already parallel.
+    becoming NULL.  ``redact_tax_ids`` hides the middle digits of the tax ids
+    a site build publishes.
     """
 
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 128 * 1024 * 1024
     broadcast_budget_bytes: int = 512 * 1024 * 1024
     strict_casts: bool = False
-    spread_inputs: bool = True
+    redact_tax_ids: bool = False
 
     @classmethod
     def from_conf(cls, spark: SparkSession) -> "Settings":
         """Settings from the session: ``spark.dimforge.broadcastMaxRows``,
         ``broadcastMaxBytes``, ``broadcastBudgetBytes``, ``strictCasts`` and
-        ``spreadInputs`` (all under ``spark.dimforge.``; defaults when unset)."""
+        ``redactTaxIds`` (all under ``spark.dimforge.``; defaults when unset)."""
         rows = spark.conf.get("spark.dimforge.broadcastMaxRows", None)
         size = spark.conf.get("spark.dimforge.broadcastMaxBytes", None)
         budget = spark.conf.get("spark.dimforge.broadcastBudgetBytes", None)
         strict = spark.conf.get("spark.dimforge.strictCasts", None)
-        spread = spark.conf.get("spark.dimforge.spreadInputs", None)
+        redact = spark.conf.get("spark.dimforge.redactTaxIds", None)
         return cls(broadcast_max_rows=int(rows) if rows else cls.broadcast_max_rows,
                    broadcast_max_bytes=int(size) if size else cls.broadcast_max_bytes,
                    broadcast_budget_bytes=int(budget) if budget else cls.broadcast_budget_bytes,
                    strict_casts=(strict or "false").lower() == "true",
-                   spread_inputs=(spread or "true").lower() == "true")
+                   redact_tax_ids=(redact or "false").lower() == "true")
 
 
 DEFAULT = Settings()
@@ -95,25 +92,24 @@ def local_session(cpus: int = 8, app: str = "dimforge", memory: str = "16g") ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the session names in ``spark.checkpoint.dir`` (or has set as
+    its checkpoint folder).
 
     Snapshots and checkpoints go there so that any executor (and a restarted
-    driver) can read them.  Only a local-mode session without the setting
-    gets a fresh scratch folder of its own; on a cluster the setting is
-    required, because a machine-local folder would not survive executor loss.
+    driver) can read them.  There is no fallback: a folder of one machine
+    would not survive the loss of an executor.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    ctx_dir = spark.sparkContext.getCheckpointDir()
-    found = conf_dir or ctx_dir
-    if found:
-        if not ctx_dir:
-            spark.sparkContext.setCheckpointDir(found)
-        return found.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; a shared folder is required on a cluster"
-        )
-    scratch = tempfile.mkdtemp(prefix="dimforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(scratch)
-    return spark.sparkContext.getCheckpointDir() or scratch
+    named, set_here = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir()
+    if not (named or set_here):
+        raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
+    if not set_here:
+        spark.sparkContext.setCheckpointDir(named)
+    return (named or set_here).rstrip("/")
+
+
+def use_scratch(spark: SparkSession) -> None:
+    """Names a scratch folder as the shared folder of a local session that has
+    none (tests, the bench, a laptop); a cluster session is left alone."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dimforge-"))

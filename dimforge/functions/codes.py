@@ -23,10 +23,10 @@ def season_key_current(origin: int, season_id: ColumnLike, erp_code: ColumnLike,
     the ERP code; the two characters starting at the first dash of the
     period description (when it has a dash); ``'-1'``.
     """
-    desc = col(period_desc)
+    desc = as_text(period_desc)
     dash = F.instr(desc, "-")
     from_dash = F.when(dash > 0, desc.substr(dash, F.lit(2)))
-    picked = F.coalesce(col(erp_code), from_dash, F.lit(NO_SUFFIX))
+    picked = F.coalesce(as_text(erp_code), from_dash, F.lit(NO_SUFFIX))
     return F.concat(F.lit(str(origin)), as_text(season_id), F.right(picked, F.lit(1)))
 
 

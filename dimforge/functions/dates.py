@@ -16,11 +16,9 @@ COMPACT_STAMP = "yyyyMMddHHmmss"
 def to_date(c: ColumnLike, fmt: str | None = None, strict: bool = False) -> Column:
     """Date of a timestamp, date or string.
 
-    Without a format this is Spark's own ``to_date``.  With a format,
-    unparseable text becomes NULL (``try_to_date``) unless ``strict``; a
-    timestamp input ignores the format.
+    Unparseable text becomes NULL unless ``strict``; a timestamp input
+    ignores the format.
     """
     v = col(c)
-    if fmt is None:
-        return F.to_date(v)
-    return F.to_date(v, fmt) if strict else F.try_to_date(v, fmt)
+    parse = F.to_date if strict else F.try_to_date
+    return parse(v) if fmt is None else parse(v, fmt)

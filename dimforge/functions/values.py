@@ -6,12 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from dimforge.functions._cols import ColumnLike, col
+from dimforge.functions.casts import typed
 
 
-def positive_or_null(c: ColumnLike, to_type: str = "int") -> Column:
-    """The value when it is greater than zero, else NULL, cast to ``to_type``."""
-    v = col(c)
-    return F.when(v > 0, v).cast(to_type)
+def positive_or_null(c: ColumnLike, to_type: str = "int", strict: bool = False) -> Column:
+    """The value as ``to_type`` when it is greater than zero, else NULL.
+
+    The test compares numbers, also for a text column; malformed text is
+    NULL, or raises when ``strict``.
+    """
+    return F.when(typed(c, "double", strict) > 0, typed(c, to_type, strict))
 
 
 def flag_label(c: ColumnLike, true_value, yes: str, no: str) -> Column:

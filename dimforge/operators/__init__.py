@@ -9,6 +9,7 @@ from dimforge.operators.joins import (
     checked_bytes,
     fits_broadcast,
     lookup_join,
+    merge_lookups,
     semi_join,
 )
 from dimforge.operators.origin import attach_origin, origin_registry
@@ -17,7 +18,6 @@ from dimforge.operators.stage import (
     contains,
     in_list,
     origin_cutover,
-    spread,
     stage,
     starts_with,
 )
@@ -26,5 +26,5 @@ from dimforge.operators.union import align, conform_origins, conform_union, unio
 __all__ = [
     "Lookup", "align", "all_equal", "bounded_fits", "chain_lookups", "check_lookups", "checked_bytes", "attach_origin", "conform_origins", "conform_union", "contains",
     "fits_broadcast", "group_sum", "in_list", "lookup_join", "origin_cutover",
-    "origin_registry", "semi_join", "spread", "stage", "starts_with", "union_all",
+    "origin_registry", "semi_join", "stage", "starts_with", "union_all",
 ]

@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.functions._cols import ColumnLike, col
+from dimforge.functions.casts import typed
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: ColumnLike, alias: str,
-              to_type: str | None = None) -> DataFrame:
+              to_type: str | None = None, value_type: str | None = None, strict: bool = False) -> DataFrame:
     """``SELECT keys, CAST(SUM(value) AS to_type) AS alias GROUP BY keys``.
 
-    Spark aggregates partially on the map side, so a hot group is reduced
+    With ``value_type`` each value is cast before the sum: a decimal sum is
+    exact, so it does not depend on the order of the tasks, and malformed
+    text counts as NULL (or raises when ``strict``).  Spark aggregates partially on the map side, so a hot group is reduced
     to one row per task before the shuffle.
     """
-    total = F.sum(col(value))
+    total = F.sum(typed(value, value_type, strict) if value_type else col(value))
     if to_type:
         total = total.cast(to_type)
     return df.groupBy(*keys).agg(total.alias(alias))

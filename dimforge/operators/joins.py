@@ -176,6 +176,18 @@ def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings
     return out
 
 
+def merge_lookups(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Two lookups on one text key as one (inner), for a fact that needs both.
+
+    A fact joined to them one after the other is shuffled by the key once, and
+    AQE then splits no hot key, as the second join relies on that
+    partitioning.  As one lookup there is one join to split.  The key is
+    written anew after the join, so Spark shuffles the merged lookup for the
+    fact's join (AQE splits only joins of two shuffles).
+    """
+    return left.join(right, key).withColumn(key, F.concat(F.col(key), F.lit("")))
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on: Column | str | Sequence[str],
                 how: str = "inner", broadcast: bool | str = "auto",
                 settings: Settings = DEFAULT) -> DataFrame:

@@ -51,25 +51,3 @@ def all_equal(**equals) -> Column:
 def origin_cutover(df: DataFrame, column: ColumnLike, last: int) -> DataFrame:
     """Keep the rows of an origin up to its last period (``column <= last``)."""
     return df.where(col(column) <= F.lit(last))
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, seed: int = 17) -> DataFrame:
-    """Give a fact input at least the cluster's parallelism.
-
-    A scan yields one task per file split, and a Parquet row group is never
-    split, so a fact stored in a handful of files would run its whole
-    staging and broadcast-join pipeline in a handful of tasks.  Only then
-    (fewer input files than ``min_partitions``, default: the default
-    parallelism) are its rows spread over ``min_partitions`` tasks by a
-    seeded random salt (1024 values), so that even a row repeated for a
-    third of the table is split evenly, and a following aggregate still
-    aggregates partially before its own shuffle.  Spark treats a shuffle
-    on a random salt as indeterminate: a lost map output makes it rerun the
-    whole stage and its consumers, so results stay consistent.  A large
-    table has many files and is returned unchanged: no shuffle is added at
-    scale.  The file list comes from the plan; nothing is executed.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= target:
-        return df
-    return df.repartition(target, F.floor(F.rand(seed) * 1024))

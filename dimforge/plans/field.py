@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from dimforge import schemas
 from dimforge.config import DEFAULT, Settings
 from dimforge.functions import DAY_MONTH_YEAR, origin_key, to_date, typed, typed_constant
-from dimforge.operators import conform_origins, spread, stage, starts_with
+from dimforge.operators import conform_origins, stage, starts_with
 from dimforge.sources.snapshot import snapshot_once
 
 # Raw table names read by this plan.
@@ -80,7 +80,7 @@ def build_field(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Set
     computed and written there once and read back afterwards, which also
     cuts their lineage.
     """
-    fields = spread(raw[RAW_CURRENT]) if settings.spread_inputs else raw[RAW_CURRENT]
+    fields = raw[RAW_CURRENT]
     current = current_rows(stage_current(fields, settings, distinct=False))
     legacy = legacy_rows(stage_legacy(raw[RAW_LEGACY], settings, distinct=False))
     if legacy_snapshot:

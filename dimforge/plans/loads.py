@@ -70,7 +70,8 @@ def load_all(raw: Mapping[str, DataFrame], registry: DataFrame, owner: str, base
              settings: Settings = DEFAULT, retries: int = 10) -> dict[str, bool]:
     """Field, site and variety (independent: published concurrently), then
     the planning fact from the published tables.  Returns, per table,
-    whether it was published (an empty result is not)."""
+    whether it was published (an empty result is not).  If one of the three
+    was not, the fact is not built: it would read an older version of it."""
     dims = {
         FIELD_TABLE: lambda: load_field(raw, registry, owner, base_path, settings=settings, retries=retries),
         SITE_TABLE: lambda: load_site(raw, registry, owner, base_path, settings=settings, retries=retries),
@@ -78,5 +79,5 @@ def load_all(raw: Mapping[str, DataFrame], registry: DataFrame, owner: str, base
     }
     with ThreadPoolExecutor(max_workers=len(dims)) as pool:
         done = dict(zip(dims, pool.map(lambda name: dims[name](), dims)))
-    done[PLANNING_TABLE] = load_planning(raw, registry, owner, base_path, settings, retries)
+    done[PLANNING_TABLE] = all(done.values()) and load_planning(raw, registry, owner, base_path, settings, retries)
     return done

@@ -29,7 +29,19 @@ from dimforge.functions import (
     typed,
     typed_constant,
 )
-from dimforge.operators import Lookup, chain_lookups, check_lookups, conform_origins, group_sum, in_list, spread, stage
+from dimforge.operators import (
+    Lookup,
+    chain_lookups,
+    check_lookups,
+    conform_origins,
+    group_sum,
+    in_list,
+    merge_lookups,
+    origin_cutover,
+    stage,
+    starts_with,
+)
+from dimforge.operators.joins import fits_broadcast
 
 # Raw table names, the plan scenario, active simulation states
 # and the last legacy season year.
@@ -40,6 +52,8 @@ RAW_DIVISION = "ga_prp_divi4"
 RAW_SIMULATION = "ga_prp_simula"
 PLAN_SCENARIO = "PLAN"
 ACTIVE_SIMULATION = (3, 4)
+# Areas are summed in this type: ten decimals, as many digits before as a sum needs.
+AREA = "decimal(28,10)"
 LEGACY_LAST_YEAR = 2020
 
 PLAN_GRAIN = ("ID_UPN3_PLAN", "ID_PERIODOSAFRA", "ID_UPN3_FISICO", "ID_VARIEDADE", "ID_UPNIVEL2",
@@ -77,11 +91,11 @@ def stage_plan(raw: DataFrame, settings: Settings = DEFAULT, distinct: bool = Tr
     """
     s = settings.strict_casts
     if grain == "date":
-        raw = raw.withColumn("DT_EST_PLANT", to_date("DT_EST_PLANT")).withColumn(
-            "DT_ESTIMADA_COLH", to_date("DT_ESTIMADA_COLH"))
+        raw = raw.withColumn("DT_EST_PLANT", to_date("DT_EST_PLANT", strict=s)).withColumn(
+            "DT_ESTIMADA_COLH", to_date("DT_ESTIMADA_COLH", strict=s))
     elif grain != "raw":
         raise ValueError(f"grain must be 'raw' or 'date', not {grain!r}")
-    summed = group_sum(raw, PLAN_GRAIN, "QT_AREA_PROD", "QT_AREA_PROD_SUM")
+    summed = group_sum(raw, PLAN_GRAIN, "QT_AREA_PROD", "QT_AREA_PROD_SUM", value_type=AREA, strict=s)
     return stage(summed, [
         typed("ID_UPN3_PLAN", "bigint", s).alias("ID_UPN3_PLAN"),
         F.lit(schemas.CURRENT).alias("ID_ORIGEM_DB"),
@@ -92,8 +106,8 @@ def stage_plan(raw: DataFrame, settings: Settings = DEFAULT, distinct: bool = Tr
         typed("ID_UPNIVEL2", "bigint", s).alias("ID_UPNIVEL2"),
         typed("ID_CENARIO", "bigint", s).alias("ID_CENARIO"),
         typed("QT_AREA_PROD_SUM", "decimal(18,6)", s).alias("QT_AREA_PROD"),
-        to_date("DT_EST_PLANT").alias("DT_EST_PLANT"),
-        to_date("DT_ESTIMADA_COLH").alias("DT_ESTIMADA_COLH"),
+        to_date("DT_EST_PLANT", strict=s).alias("DT_EST_PLANT"),
+        to_date("DT_ESTIMADA_COLH", strict=s).alias("DT_ESTIMADA_COLH"),
         typed("QT_PRODUCAO_ESTIM", "decimal(18,6)", s).alias("QT_PRODUCAO_ESTIM"),
         typed("QT_PROD_ESTIM", "decimal(18,6)", s).alias("QT_PROD_ESTIM"),
     ], distinct=distinct)
@@ -137,7 +151,7 @@ def stage_divisions(raw: DataFrame, settings: Settings = DEFAULT, distinct: bool
         typed("SAF_ANO_SAFRA", "int", s).alias("SAF_ANO_SAFRA"),
     ], distinct=False)
     if last_year is not None:
-        staged = staged.where(F.col("SAF_ANO_SAFRA") <= F.lit(last_year))
+        staged = origin_cutover(staged, "SAF_ANO_SAFRA", last_year)
     return staged.distinct() if distinct else staged
 
 
@@ -146,7 +160,7 @@ def stage_simulations(raw: DataFrame, settings: Settings = DEFAULT) -> DataFrame
     return stage(raw, [
         typed("SAF_ANO_SAFRA", "int", s).alias("SAF_ANO_SAFRA"),
         typed("COD_SIMULACAO", "int", s).alias("COD_SIMULACAO"),
-    ], where=in_list("SIM_ATIVA", ACTIVE_SIMULATION))
+    ], where=in_list(typed("SIM_ATIVA", "int", s), ACTIVE_SIMULATION))
 
 
 def _of_origin(df: DataFrame, origin: int) -> DataFrame:
@@ -161,9 +175,19 @@ def planning_lookups(raw: Mapping[str, DataFrame], dims: ConformedTables,
     Current system: the conformed tables are matched on (local id, origin);
     the origin is the constant 2000 there, so it becomes a filter on each
     table, pushed to its scan, and the join key is the local id alone.
-    Legacy system: matched on the stored surrogate keys.
+    Legacy system: matched on the stored surrogate keys.  Those of the legacy
+    origin begin with its id, so that prefix is a filter on each table,
+    pushed to its scan too.  Site and farm share their key, so they are joined
+    to each other first and the fact meets that key once (a hot site can then
+    be split, which a second join on the same key would forbid).
     """
     o = schemas.CURRENT
+
+    def legacy(df: DataFrame, key: str, alias: str, *columns: str) -> DataFrame:
+        return df.where(starts_with(key, str(schemas.LEGACY))).select(F.col(key).alias(alias), *columns)
+
+    site_key = legacy(dims.site, "ID_SEDE", "K_SITE", "COD_SEDE", "UF", "REGIAO", "REGIONAL")
+    farm_key = legacy(dims.farm, "ID_FAZENDA", "K_SITE", "SIGLA_FAZENDA")
     return {
         "scenarios": stage_scenarios(raw[RAW_SCENARIO], settings),
         "periods": stage_periods(raw[RAW_PERIOD], settings),
@@ -177,24 +201,29 @@ def planning_lookups(raw: Mapping[str, DataFrame], dims: ConformedTables,
             F.col("ID_DOMAIN").alias("ID_UPNIVEL2"), "COD_SEDE", "UF", "REGIAO", "REGIONAL", "ID_FAZENDA"),
         "farm": dims.farm.select("ID_FAZENDA", "SIGLA_FAZENDA"),
         "active": stage_simulations(raw[RAW_SIMULATION], settings),
-        "field_key": dims.field.select(F.col("ID_LAV_FISICA").alias("K_FIELD"), "COD_LAVOURA"),
-        "variety_key": dims.variety.select(F.col("ID_VARIEDADE").alias("K_VARIETY"), "COD_VARIEDADE",
-                                           "CICLO_VARIEDADE"),
-        "crop_key": dims.crop.select(F.col("ID_CULTURA").alias("K_CROP"), "COD_CULTURA", "CULTURA",
-                                     "FATOR_CONVERSAO"),
-        "site_key": dims.site.select(F.col("ID_SEDE").alias("K_SITE"), "COD_SEDE", "UF", "REGIAO", "REGIONAL"),
-        "farm_key": dims.farm.select(F.col("ID_FAZENDA").alias("K_SITE"), "SIGLA_FAZENDA"),
-        "season_key": dims.season.select(F.col("ID_SAFRA").alias("K_SEASON"), "SAFRINHA"),
+        "field_key": legacy(dims.field, "ID_LAV_FISICA", "K_FIELD", "COD_LAVOURA"),
+        "variety_key": legacy(dims.variety, "ID_VARIEDADE", "K_VARIETY", "COD_VARIEDADE", "CICLO_VARIEDADE"),
+        "crop_key": legacy(dims.crop, "ID_CULTURA", "K_CROP", "COD_CULTURA", "CULTURA", "FATOR_CONVERSAO"),
+        "site_farm_key": merge_lookups(site_key, farm_key, "K_SITE"),
+        "season_key": legacy(dims.season, "ID_SAFRA", "K_SEASON", "SAFRINHA"),
     }
 
 
+def _of_scenarios(plan: DataFrame, scenarios: DataFrame, settings: Settings) -> DataFrame:
+    """Raw plan rows of the wanted scenarios.  The scenario is part of the
+    grain, so rows of others are dropped before the sum shuffles them."""
+    small = fits_broadcast(scenarios, settings.broadcast_max_rows, settings.broadcast_max_bytes)
+    keyed = plan.withColumn("K_SCENARIO", typed("ID_CENARIO", "bigint", settings.strict_casts))
+    wanted = scenarios.select(F.col("ID_CENARIO").alias("K_SCENARIO"))
+    return chain_lookups(keyed, [Lookup(wanted, "K_SCENARIO", "left_semi", small)], settings).drop("K_SCENARIO")
+
+
 def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
                  settings: Settings = DEFAULT, grain: str = "raw",
                  lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Current-system fact rows (without the origin label)."""
     lk = lookups or planning_lookups(raw, dims, settings)
-    plan = spread(raw[RAW_PLAN]) if settings.spread_inputs else raw[RAW_PLAN]
-    u = stage_plan(plan, settings, distinct=False, grain=grain)
+    u = stage_plan(_of_scenarios(raw[RAW_PLAN], lk["scenarios"], settings), settings, distinct=False, grain=grain)
     out = chain_lookups(u, [
         Lookup(lk["scenarios"], "ID_CENARIO"),
         Lookup(lk["periods"], "ID_PERIODOSAFRA"),
@@ -237,8 +266,7 @@ def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: S
     on the surrogate key ``origin || local id``, computed once per row.
     """
     lk = lookups or planning_lookups(raw, dims, settings)
-    divisions = spread(raw[RAW_DIVISION]) if settings.spread_inputs else raw[RAW_DIVISION]
-    d4 = stage_divisions(divisions, settings, distinct=False, last_year=last_year)
+    d4 = stage_divisions(raw[RAW_DIVISION], settings, distinct=False, last_year=last_year)
     d4 = chain_lookups(d4, [Lookup(lk["active"], ["COD_SIMULACAO", "SAF_ANO_SAFRA"], "left_semi")], settings)
     origin = F.col("ID_ORIGEM_DB")
     keyed = d4.select(
@@ -253,8 +281,7 @@ def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: S
         Lookup(lk["field_key"], "K_FIELD"),
         Lookup(lk["variety_key"], "K_VARIETY"),
         Lookup(lk["crop_key"], "K_CROP"),
-        Lookup(lk["site_key"], "K_SITE"),
-        Lookup(lk["farm_key"], "K_SITE"),
+        Lookup(lk["site_farm_key"], "K_SITE"),
         Lookup(lk["season_key"], "K_SEASON"),
     ], settings)
     return out.select(

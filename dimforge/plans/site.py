@@ -70,7 +70,7 @@ def stage_branches(raw: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     return stage(raw, [
         typed("ID_FILIAL", "bigint", s).alias("ID_FILIAL"),
         typed("ID_MUNICIPIO", "bigint", s).alias("ID_MUNICIPIO"),
-        tax_id_mask("NO_CNPJ").alias("CNPJ"),
+        tax_id_mask("NO_CNPJ", redact=settings.redact_tax_ids).alias("CNPJ"),
         origin_key(schemas.CURRENT, "ID_EMPRESA").alias("ID_FAZENDA"),
     ])
 
@@ -98,7 +98,7 @@ def stage_companies(raw: DataFrame, settings: Settings = DEFAULT, analysis: bool
         F.col("DSC_EMPR"),
         F.col("EMP_UF"),
         title_case("EMP_CIDAD").alias("EMP_CIDAD"),
-        tax_id_mask(trimmed("EMP_CGC")).alias("EMP_CGC"),
+        tax_id_mask(trimmed("EMP_CGC"), redact=settings.redact_tax_ids).alias("EMP_CGC"),
     ]
     where = None if analysis else starts_with("ABV_EMPR", FARM_PREFIX)
     return stage(raw, cols, where=where, distinct=distinct)

@@ -13,6 +13,7 @@ from dimforge.functions import (
     first_available,
     flag_label,
     origin_key,
+    positive_or_null,
     title_case,
     typed,
     typed_constant,
@@ -49,10 +50,9 @@ def stage_varieties(raw: DataFrame, settings: Settings = DEFAULT, distinct: bool
 
 def stage_variety_details(raw: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     s = settings.strict_casts
-    days = F.col("QT_DIAS_MATUR")
     return stage(raw, [
         typed("ID_VARIEDADE", "bigint", s).alias("ID_VARIEDADE"),
-        typed(F.when(days > 0, days), "int", s).alias("QT_DIAS_MATUR"),
+        positive_or_null("QT_DIAS_MATUR", "int", s).alias("QT_DIAS_MATUR"),
         zero_if_null(typed("NO_DIA_PLAN_EMER", "int", s)).alias("DIAS_PARA_EMERGERGENCIA"),
         typed("QT_PROD_ESTIM", "decimal(10,2)", s).alias("PRODUTIVIDADE_PADRAO"),
     ])

@@ -10,12 +10,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimforge import schemas
 from dimforge.config import Settings
+from dimforge.functions import season_key_current as season_key_current_fn
 from dimforge.functions import season_key_legacy as season_key_legacy_fn
 from dimforge.functions import (
     COMPACT_STAMP,
@@ -44,7 +46,6 @@ from dimforge.operators import (
     origin_cutover,
     origin_registry,
     semi_join,
-    spread,
     stage,
     starts_with,
 )
@@ -57,9 +58,10 @@ from dimforge.plans import (
     build_variety,
     planning,
     site,
+    variety,
 )
 from dimforge.schemas import parse_schema
-from dimforge.sources.catalog import register_views
+from dimforge.sources.catalog import RawTables, register_views
 from dimforge.sources.driver_tables import DriverTables
 from dimforge.sources.snapshot import preview, publish, snapshot_once, snapshot_path
 from dimforge.plans import loads
@@ -314,14 +316,13 @@ def group_sum_area(spark, sf_dir):
     """Grouped sum cast to decimal(18,6)."""
     lineitem = _t(spark, sf_dir).table("lineitem")
     return group_sum(lineitem, ["l_suppkey", "l_returnflag", "l_linestatus"], "l_quantity", "QT_AREA_PROD",
-                     "decimal(18,6)")
+                     "decimal(18,6)", value_type=planning.AREA)
 
 
 def plan_staging(spark, sf_dir):
-    """Planning staging: sum per raw grain, typed after the sum, DISTINCT after the types
-    (the input spread first, as in the build)."""
+    """Planning staging: sum per raw grain, typed after the sum, DISTINCT after the types."""
     raw = _t(spark, sf_dir).planning_raw()["upn3_plan"]
-    return planning.stage_plan(spread(raw), distinct=True)
+    return planning.stage_plan(raw, distinct=True)
 
 
 def group_then_date_distinct(spark, sf_dir):
@@ -477,6 +478,76 @@ def publish_roundtrip(spark, sf_dir):
     return spark.table("`dimforge_checks`.`customer_stage`")
 
 
+def lookup_number_text(spark, sf_dir):
+    """A number looked up in a text column (``PRIORITY = 3`` over codes like '3', '003', '3-X')."""
+    status = F.col("o_orderstatus")
+    digit = F.substring("o_orderpriority", 1, 1)
+    codes = stage(_t(spark, sf_dir).table("orders"), [
+        "o_orderkey",
+        F.when(status == "F", F.concat(F.lit("00"), digit)).when(status == "O", digit)
+        .otherwise(F.col("o_orderpriority")).alias("COD_PRIORIDADE"),
+    ], distinct=False)
+    return preview(codes, COD_PRIORIDADE=3)
+
+
+def raw_catalog_scan(spark, sf_dir):
+    """The field build over raw tables read from the catalog by name, in mixed case."""
+    owner = f"dimforge_raw_{uuid.uuid4().hex[:10]}"
+    base = snapshot_path(spark, "raw")
+    for table, df in DriverTables(spark, sf_dir).field_raw().items():
+        publish(df, owner, table, base)
+    raw = RawTables(spark, {"Upn3_fisico": f"{owner}.UPN3_Fisico", "ga_saf_divi3": f"{owner.upper()}.Ga_Saf_Divi3"})
+    return build_field(raw, origin_registry(spark), Settings.from_conf(spark))
+
+
+def _malformed(column, every: int, bad: str = "n/a"):
+    """A text column in which each row whose key divides by ``every`` holds ``bad``."""
+    return F.when(F.col("o_orderkey") % every == 0, F.lit(bad)).otherwise(column.cast("string"))
+
+
+def text_positive_or_null(spark, sf_dir):
+    """Variety details over text columns with malformed values: days over 0, else NULL."""
+    orders = _t(spark, sf_dir).table("orders")
+    raw = orders.select(
+        F.col("o_orderkey").cast("string").alias("ID_VARIEDADE"),
+        _malformed(F.col("o_custkey") - 700, 7).alias("QT_DIAS_MATUR"),
+        _malformed(F.col("o_custkey"), 5, "").alias("NO_DIA_PLAN_EMER"),
+        _malformed(F.col("o_totalprice").cast("decimal(12,2)"), 3).alias("QT_PROD_ESTIM"))
+    return variety.stage_variety_details(raw)
+
+
+def text_in_list(spark, sf_dir):
+    """Active simulations where the state is text, some of it not a number."""
+    orders = _t(spark, sf_dir).table("orders")
+    raw = orders.select(
+        F.year("o_orderdate").cast("string").alias("SAF_ANO_SAFRA"),
+        _malformed(F.substring("o_orderpriority", 1, 1), 11).alias("COD_SIMULACAO"),
+        _malformed(F.when(F.col("o_orderstatus") == "F", F.lit("3")).when(F.col("o_orderstatus") == "O", F.lit("04"))
+                   .otherwise(F.lit("2")), 13, "A").alias("SIM_ATIVA"))
+    return planning.stage_simulations(raw)
+
+
+def text_group_sum(spark, sf_dir):
+    """Grouped sum of a text column with malformed values, exact to the last digit."""
+    orders = _t(spark, sf_dir).table("orders").select(
+        "o_custkey", _malformed(F.col("o_totalprice").cast("decimal(18,4)") * F.lit(Decimal("0.333333")), 9).alias("QT_AREA_PROD"))
+    return group_sum(orders, ["o_custkey"], "QT_AREA_PROD", "AREA", "decimal(18,6)", value_type=planning.AREA)
+
+
+def date_plain_malformed(spark, sf_dir):
+    """Plain dates from text, some of it malformed."""
+    orders = _t(spark, sf_dir).table("orders")
+    return orders.select("o_orderkey", to_date(_malformed(F.date_format("o_orderdate", "yyyy-MM-dd"), 4)).alias("DATA"))
+
+
+def season_key_numeric_erp(spark, sf_dir):
+    """Current season key where the ERP code is a number (NULL falls back to the dash part)."""
+    orders = _t(spark, sf_dir).table("orders")
+    return orders.select("o_orderkey", season_key_current_fn(
+        schemas.CURRENT, F.year("o_orderdate"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")), "o_orderpriority").alias("ID_SAFRA"))
+
+
 def sql_over_view(spark, sf_dir):
     """Ad-hoc SQL over a registered view of a conformed result."""
     register_views({"dimforge_variety": conformed_variety(spark, sf_dir)})
@@ -514,6 +585,13 @@ QUERIES: dict[str, Query] = {
     "tax_id_mask": tax_id_mask_query,
     "snapshot_roundtrip": snapshot_roundtrip,
     "publish_roundtrip": publish_roundtrip,
+    "lookup_number_text": lookup_number_text,
+    "raw_catalog_scan": raw_catalog_scan,
+    "text_positive_or_null": text_positive_or_null,
+    "text_in_list": text_in_list,
+    "text_group_sum": text_group_sum,
+    "date_plain_malformed": date_plain_malformed,
+    "season_key_numeric_erp": season_key_numeric_erp,
     "sql_over_view": sql_over_view,
     "load_all_published": load_all_published,
     "conformed_field": conformed_field,

@@ -7,6 +7,10 @@ and typed NULLs.  A stand-in never joins, groups or de-duplicates; the builds
 do all of that themselves and would give the right result on any data of
 these schemas.
 
+As in the source systems, numbers may be text and text may be malformed
+(``n/a``), keys may be NULL, and lookups hold exact copies of rows (maturity
+groups, periods) and several rows a key (regions).
+
 The season, crop and farm tables are conformed tables the planning fact
 reads but no build here produces.  Their stand-ins (one row per nation,
 region or supplier and origin) hold their keys in the conformed format,
@@ -31,6 +35,8 @@ Mapping (origin 2000 = current system, origin 1000 = legacy system):
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,10 +64,11 @@ class DriverTables:
         orders, part = self.table("orders"), self.table("part")
         return {
             "Upn3_fisico": orders.select(
-                F.col("o_orderkey").alias("ID_UPN3_FISICO"),
+                _s("o_orderkey").alias("ID_UPN3_FISICO"),
                 F.col("o_orderstatus").alias("CD_UPN3_FISICO"),
                 F.col("o_orderpriority").alias("DE_UPN3_FISICO"),
-                F.col("o_totalprice").alias("QT_AREA_PROD"),
+                F.when(F.col("o_orderkey") % 101 == 0, F.lit("n/a"))
+                .otherwise(_s(F.col("o_totalprice").cast("decimal(18,2)"))).alias("QT_AREA_PROD"),
                 F.date_format("o_orderdate", "dd/MM/yyyy").alias("DT_INATIVACAO"),
                 F.col("o_custkey").alias("ID_UPNIVEL2"),
             ),
@@ -85,7 +92,7 @@ class DriverTables:
                 F.col("c_custkey").alias("ID_UPNIVEL2"),
                 F.col("c_mktsegment").alias("DA_UPNIVEL2"),
                 F.col("c_name").alias("DE_UPNIVEL2"),
-                F.col("c_nationkey").alias("ID_UPNIVEL1"),
+                F.when(F.col("c_custkey") % 17 != 0, F.col("c_nationkey")).alias("ID_UPNIVEL1"),
             ),
             "Upnivel1": nation.select(
                 F.col("n_nationkey").alias("ID_UPNIVEL1"),
@@ -111,12 +118,13 @@ class DriverTables:
                 F.lpad(_s("r_regionkey"), 2, "0").alias("TITLE"),
                 F.col("r_name").alias("REGIAO1"),
                 _s("r_regionkey").alias("REGIAO2"),
-            ),
+            ).unionByName(region.where("r_regionkey = 1").select(
+                F.lit("01").alias("TITLE"), F.lit("SEGUNDA").alias("REGIAO1"), F.lit("1B").alias("REGIAO2"))),
             "ga_empr": supplier.select(
                 F.col("s_suppkey").alias("COD_EMPR"),
                 F.col("s_nationkey").alias("COD_EMPR_PROD"),
                 F.concat(F.when(bal < 0, F.lit("XX")).otherwise(F.lit("FZ")),
-                         F.lpad(_s("s_nationkey"), 2, "0"),
+                         F.lpad(_s(F.col("s_nationkey") % 5), 2, "0"),
                          F.when(bal >= 6000, F.lit("III")).when(bal >= 3000, F.lit("II"))
                          .otherwise(F.lit(""))).alias("ABV_EMPR"),
                 F.col("s_name").alias("DSC_EMPR"),
@@ -143,11 +151,11 @@ class DriverTables:
             ),
             "Variedade_ep": part.select(
                 F.col("p_partkey").alias("ID_VARIEDADE"),
-                (F.col("p_size") - 10).alias("QT_DIAS_MATUR"),
+                F.when(F.col("p_partkey") % 97 == 0, F.lit("n/a")).otherwise(_s(F.col("p_size") - 10)).alias("QT_DIAS_MATUR"),
                 F.col("p_size").alias("NO_DIA_PLAN_EMER"),
                 F.col("p_retailprice").alias("QT_PROD_ESTIM"),
             ),
-            "Grpmaturacao": nation.select(
+            "Grpmaturacao": nation.unionAll(nation).select(
                 F.col("n_nationkey").alias("ID_GRPMATURACAO"),
                 (F.col("n_regionkey") * 30).alias("QT_DIAS_MATUR"),
             ),
@@ -197,18 +205,19 @@ class DriverTables:
                 F.col("n_name").alias("CD_CENARIO"),
                 F.when(F.col("n_regionkey") == 0, F.lit("REAL")).otherwise(F.lit("PLAN")).alias("DA_CENARIO"),
             ),
-            "periodosafra": supplier.select(
-                F.col("s_suppkey").alias("ID_PERIODOSAFRA"),
+            "periodosafra": supplier.unionAll(supplier).select(
+                F.when(F.col("s_suppkey") % 19 != 0, F.col("s_suppkey")).alias("ID_PERIODOSAFRA"),
                 F.col("s_nationkey").alias("ID_SAFRA"),
                 F.when(F.col("s_acctbal") < 0, F.lit("2")).alias("CD_INT_ERP"),
-                F.col("s_name").alias("DE_PER_SAFRA"),
+                F.when(F.col("s_nationkey") % 3 == 0, F.concat("s_name", F.lit("-2 safra"))).otherwise(F.col("s_name"))
+                .alias("DE_PER_SAFRA"),
                 F.col("s_nationkey").alias("ID_OCUPACAO"),
             ),
             "ga_prp_divi4": lineitem.select(
                 F.col("l_orderkey").alias("ID_DIVI4"),
                 F.concat(F.date_format(ship, "yyyy/MM"),
                          F.when(F.col("l_returnflag") == "R", F.lit("-2")).otherwise(F.lit(""))).alias("COD_SAFRA"),
-                F.col("l_partkey").alias("COD_VARIE"),
+                F.when(F.col("l_linenumber") != 7, F.col("l_partkey")).alias("COD_VARIE"),
                 F.col("l_partkey").alias("ID_DIVI3"),
                 F.col("l_linenumber").alias("COD_CULTURA"),
                 F.col("l_suppkey").alias("COD_EMPR"),
@@ -222,21 +231,23 @@ class DriverTables:
             "ga_prp_simula": orders.select(
                 F.year("o_orderdate").alias("SAF_ANO_SAFRA"),
                 F.substring("o_orderpriority", 1, 1).cast("int").alias("COD_SIMULACAO"),
-                F.when(F.col("o_orderstatus") == "F", F.lit(3))
-                .when(F.col("o_orderstatus") == "O", F.lit(4)).otherwise(F.lit(2)).alias("SIM_ATIVA"),
+                F.when(F.col("o_orderstatus") == "F", F.lit("3"))
+                .when(F.col("o_orderstatus") == "O", F.lit("04")).otherwise(F.lit("A")).alias("SIM_ATIVA"),
             ),
         }
 
     def season(self) -> DataFrame:
         n = self.table("nation")
-        cur = n.select(F.concat(F.lit(str(C)), _s("n_nationkey"), F.lit("1")).alias("ID_SAFRA"),
-                       F.lit(C).alias("ID_ORIGEM_DB"), F.col("n_name").alias("ANO_AGRICOLA"),
-                       _s("n_regionkey").alias("SAFRINHA"))
         year = F.col("n_nationkey") + 1995
-        leg = n.select(F.concat(F.lit(str(L)), _s(year), F.lit("1")).alias("ID_SAFRA"),
-                       F.lit(L).alias("ID_ORIGEM_DB"), _s(year).alias("ANO_AGRICOLA"),
-                       _s("n_regionkey").alias("SAFRINHA"))
-        return cur.unionByName(leg)
+        parts = []
+        for digit in ("1", "2"):
+            parts.append(n.select(F.concat(F.lit(str(C)), _s("n_nationkey"), F.lit(digit)).alias("ID_SAFRA"),
+                                  F.lit(C).alias("ID_ORIGEM_DB"), F.col("n_name").alias("ANO_AGRICOLA"),
+                                  F.concat(_s("n_regionkey"), F.lit(digit)).alias("SAFRINHA")))
+            parts.append(n.select(F.concat(F.lit(str(L)), _s(year), F.lit(digit)).alias("ID_SAFRA"),
+                                  F.lit(L).alias("ID_ORIGEM_DB"), _s(year).alias("ANO_AGRICOLA"),
+                                  F.concat(_s("n_regionkey"), F.lit(digit)).alias("SAFRINHA")))
+        return reduce(DataFrame.unionByName, parts)
 
     def crop(self) -> DataFrame:
         n = self.table("nation")

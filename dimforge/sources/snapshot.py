@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+import decimal
 import time
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from dimforge.config import shared_dir
-from dimforge.operators.stage import all_equal
 from dimforge.sources.catalog import ensure_database, quote
 
 
 def is_complete(spark, path: str) -> bool:
     """True when ``path`` holds a finished write (its ``_SUCCESS`` marker).
 
-    A job that died half way leaves no marker, so it is redone."""
+    A job that died half way leaves no marker, so it is redone.  Only a
+    missing path counts as that: any other failure to look (no permission, a
+    store that does not answer) is raised, so no snapshot is overwritten for it.
+    """
     try:
         spark.read.text(path.rstrip("/") + "/_SUCCESS")
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def snapshot_once(df: DataFrame, path: str) -> DataFrame:
@@ -43,50 +50,117 @@ def snapshot_path(spark, *parts: str) -> str:
     return "/".join([shared_dir(spark), "dimforge", *parts])
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    system, at = _file_system(spark, path)
+    system.delete(at, True)
+
+
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    """Version folders of a table, oldest first (their names begin with the time)."""
+    system, at = _file_system(spark, folder)
+    if not system.exists(at):
+        return []
+    return sorted(f"{folder}/{s.getPath().getName()}" for s in system.listStatus(at) if s.getPath().getName().startswith("v"))
+
+
+def is_io_failure(err: BaseException) -> bool:
+    """Whether a failed write may succeed when tried again: an I/O error in
+    Python, or anywhere in the chain of causes of an error from the JVM.
+    Errors of the plan or of the data are not."""
+    if isinstance(err, OSError):
+        return True
+    if isinstance(err, AnalysisException):
+        return False
+    cause = getattr(err, "_origin", None) or getattr(err, "java_exception", None)
+    if isinstance(err, PySparkException) and cause is None:
+        return False
+    for _ in range(20):
+        if cause is None:
+            return False
+        kind = cause.getClass()
+        while kind is not None:
+            if kind.getName() in ("java.io.IOException", "java.io.UncheckedIOException"):
+                return True
+            kind = kind.getSuperclass()
+        cause = cause.getCause()
+    return False
+
+
 def publish(df: DataFrame, owner: str, table: str, base_path: str | None = None,
-            retries: int = 10, fmt: str = "parquet", require_rows: bool = True) -> bool:
-    """Publish ``df`` as table ``owner.table``; True when it was published.
-
-    The rows are written to a new version folder ``base/owner/table/v…`` and
-    the table is then pointed at it (one catalog update), so readers see the
-    old version or the new one, never a half-written one, and a table is
-    never overwritten while a plan that reads it is running.  A failed write
-    is retried up to ``retries`` times.  With ``require_rows`` an empty
-    result is not published (returns False) and the old version stays.
+            retries: int = 10, fmt: str = "parquet", require_rows: bool = True,
+            keep_versions: int | None = None) -> bool:
+    """Publish ``df`` as ``owner.table``; True when it was published.
+
+    The rows are written to a new version folder ``base/owner/table/v…``, and
+    ``owner.table``, a view of one version, is then replaced in one catalog
+    step.  Readers see the old version or the new one, also when the columns
+    change, and a version is never overwritten while a plan reads it.
+
+    I/O failures are tried again, up to ``retries`` times in all; an error of
+    the plan or the data is raised at once.  The folder of a failed or refused
+    version is removed.  With ``require_rows`` an empty result is not
+    published (returns False) and the old version stays.  ``keep_versions``
+    removes all but that many newest versions after publishing (None: keeps
+    all); plans that still read a removed version fail, so keep more than one.
     """
     spark = df.sparkSession
+    if keep_versions is not None and keep_versions < 1:
+        raise ValueError("keep_versions must be at least 1")
     base = (base_path or shared_dir(spark)).rstrip("/")
     ensure_database(spark, owner, f"{base}/{owner}.db")
-    name = f"{quote(owner)}.{quote(table)}"
+    name, folder = f"{quote(owner)}.{quote(table)}", f"{base}/{owner}/{table}"
     last_error: Exception | None = None
     for _ in range(max(1, retries)):
-        version = f"{base}/{owner}/{table}/v{time.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
+        version = f"{folder}/v{time.strftime('%Y%m%d%H%M%S')}-{time.time_ns() % 1_000_000_000:09d}-{uuid.uuid4().hex[:8]}"
         try:
             df.write.mode("overwrite").format(fmt).save(version)
-            written = spark.read.format(fmt).load(version)
-            if require_rows and written.isEmpty():
+            if require_rows and spark.read.format(fmt).load(version).isEmpty():
+                _remove(spark, version)
                 return False
-            if spark.catalog.tableExists(f"{owner}.{table}"):
-                if spark.table(name).schema == written.schema:
-                    spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
-                    spark.catalog.refreshTable(f"{owner}.{table}")
-                    return True
-                spark.sql(f"DROP TABLE {name}")
-            spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{version}'")
-            return True
-        except Exception as err:  # noqa: BLE001 - retried, then raised
+            _point(spark, owner, table, f"SELECT * FROM {fmt}.`{version.replace('`', '``')}`")
+        except Exception as err:  # noqa: BLE001 - told apart below
+            _remove(spark, version)
+            if not is_io_failure(err):
+                raise
             last_error = err
-    raise RuntimeError(f"publish of {owner}.{table} failed {retries} times") from last_error
+            continue
+        if keep_versions is not None:
+            for old in _versions(spark, folder)[:-keep_versions]:
+                _remove(spark, old)
+        return True
+    raise RuntimeError(f"publish of {name} failed {retries} times") from last_error
+
+
+def _point(spark: SparkSession, owner: str, table: str, query: str) -> None:
+    """``owner.table`` becomes a view of ``query`` in one catalog update.  A real table
+    of that name (made by hand) is dropped first."""
+    name = f"{quote(owner)}.{quote(table)}"
+    if spark.catalog.tableExists(f"{owner}.{table}"):
+        if spark.catalog.getTable(f"{owner}.{table}").tableType == "VIEW":
+            # one update of the catalog entry; CREATE OR REPLACE would drop it first
+            spark.sql(f"ALTER VIEW {name} AS {query}")
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE VIEW {name} AS {query}")
 
 
 def preview(df: DataFrame, **equals) -> DataFrame:
     """Rows whose columns equal the given values (a point look at a result).
 
-    A number looked up in a text column (``ID_SEDE = 100035``) is compared
-    as text: the column is not cast (an ANSI cast would fail the query on
-    one non-numeric key, and a cast column no longer reaches the scan).
+    A number looked up in a text column is compared as a number, as SQL does:
+    429 finds ``'429'`` and ``'0429'``; text that is no number matches none.
     """
-    types = dict(df.dtypes)
-    typed = {k: (str(v) if types.get(k) == "string" and v is not None and not isinstance(v, str) else v)
-             for k, v in equals.items()}
-    return df.where(all_equal(**typed))
+    types, cond = dict(df.dtypes), F.lit(True)
+    for name, value in equals.items():
+        column = F.col(name)
+        if types.get(name) == "string" and isinstance(value, (int, decimal.Decimal)) and not isinstance(value, bool):
+            column, value = column.try_cast("decimal(38,10)"), F.lit(decimal.Decimal(value)).cast("decimal(38,10)")
+        elif types.get(name) == "string" and isinstance(value, float):
+            column = column.try_cast("double")
+        cond = cond & (column == F.lit(value) if value is not None else column.isNull())
+    return df.where(cond)

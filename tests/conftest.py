@@ -14,7 +14,7 @@ SMALL_SF = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from dimforge.config import session_conf
+    from dimforge.config import session_conf, use_scratch
 
     builder = SparkSession.builder.master("local[4]").appName("dimforge-tests")
     for k, v in session_conf(4).items():
@@ -22,6 +22,7 @@ def spark():
     builder = builder.config("spark.sql.shuffle.partitions", "4")
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
+    use_scratch(s)
     yield s
     s.stop()
 

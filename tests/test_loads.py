@@ -23,3 +23,16 @@ def test_load_site_variants_and_field(spark):
     assert load_field(t.field_raw(), reg, owner, base)
     field = published(spark, owner, FIELD_TABLE)
     assert field.count() > 0 and set(r[0] for r in field.select("ID_ORIGEM_DB").distinct().collect()) == {1000, 2000}
+
+
+def test_fact_is_not_built_on_an_older_dimension(spark, monkeypatch):
+    from dimforge.plans import loads
+
+    built = []
+    monkeypatch.setattr(loads, "load_field", lambda *a, **k: False)
+    monkeypatch.setattr(loads, "load_site", lambda *a, **k: True)
+    monkeypatch.setattr(loads, "load_variety", lambda *a, **k: True)
+    monkeypatch.setattr(loads, "load_planning", lambda *a, **k: built.append(1) or True)
+    done = loads.load_all({}, origin_registry(spark), "dimforge_none")
+    assert done == {FIELD_TABLE: False, SITE_TABLE: True, loads.VARIETY_TABLE: True, loads.PLANNING_TABLE: False}
+    assert not built

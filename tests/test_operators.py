@@ -169,16 +169,6 @@ def test_byte_bound_of_wide_lookup(spark):
     assert out.count() == 3
 
 
-def test_spread_splits_copies_evenly(spark):
-    from dimforge.operators import spread
-
-    copies = spark.createDataFrame([(1, "same")] * 3000 + [(i, "other") for i in range(2, 1002)], "k int, v string")
-    out = spread(copies, 4)
-    sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 0.4 * 4000
-    assert out.count() == 4000
-
-
 def test_chain_broadcast_budget_keeps_smallest(spark):
     fact = spark.range(20).select(F.col("id").cast("int").alias("k"))
     lookups = [spark.createDataFrame([(i, "x" * width) for i in range(3)], f"k int, v{n} string")

@@ -5,10 +5,11 @@ import pytest
 from conftest import SMALL_SF
 
 import __spark_entry__ as entry_module
+from dimforge import queries as library
 from oracle_compare import compare, duck
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = {k: v for k, v in entry_module.queries().items() if k in library.QUERIES}
+ORACLE = {k: v for k, v in entry_module.oracle_sql().items() if k in library.QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -47,15 +47,13 @@ READING = """
 - **JVM-side only.** Every query runs in whole-stage code generation blocks
   (codegen spans), and no Python evaluation node appears: all expressions
   are built-in Spark functions.
-- **No sort-merge or nested-loop join anywhere.** Every lookup is counted
+- **No sort-merge join of a fact, no nested-loop join.** Every lookup is counted
   first (`bounded_fits`, one job per join chain) and broadcast under the
   bound. If a lookup outgrows the bound, the same code plans a sort-merge
   join, and AQE splits a hot key (`tests/test_plan_shape.py`,
   `tests/test_skew.py`).
-- **`conformed_plan`, 7 shuffles:**
-  - two salted spreads of the single-file fact inputs (only because each
-    test table is one Parquet row group; with many files `spread` adds
-    nothing);
+- **`conformed_plan`:**
+  - the two sides of the merge of the site and farm lookups;
   - the grain sum of the current system (partial aggregation before it);
   - three DISTINCTs of small lookups (scenario, period, simulation), kept so
     that exact copies in a lookup cannot multiply fact rows;
