@@ -85,15 +85,14 @@ def planes(fps: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view(np.uint64)
 
 
-def near(queries: np.ndarray, stored: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """All (query, stored) positions with at most ``radius`` differing bits.
+def near(queries: np.ndarray, stored: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All (query, stored) positions with at most ``radius`` differing bits, by blocks of queries.
 
     Counters are bit-sliced too: counter c holds bit c of 64 distances; a
     distance that passes the counters' range stays marked as over.
     """
     sliced, n = planes(stored), len(stored)
     counters, every = max(1, int(radius + 1).bit_length()), ~np.uint64(0)
-    found_q, found_s = [], []
     for at in range(0, len(queries), _QUERIES):
         q = queries[at:at + _QUERIES]
         lanes = [np.zeros((len(q), sliced.shape[1]), dtype=np.uint64) for _ in range(counters)]
@@ -116,11 +115,7 @@ def near(queries: np.ndarray, stored: np.ndarray, radius: int) -> tuple[np.ndarr
         if len(live):
             hit = np.unpackbits(np.ascontiguousarray(~over).view(np.uint8), axis=1, bitorder="little")[:, :n]
             i, j = np.nonzero(hit)
-            found_q.append(live[i] + at)
-            found_s.append(j)
-    if not found_q:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return np.concatenate(found_q), np.concatenate(found_s)
+            yield live[i] + at, j
 
 
 def _exceeds(lanes: list[np.ndarray], radius: int) -> np.ndarray:
@@ -200,12 +195,13 @@ def _group_edges(rows: pd.DataFrame, key: list[str], radius: int) -> pd.DataFram
     for s, e in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
         group = fps[s:e]
         q, t = group[first[s:e]], group[second[s:e]]
-        i, j = near(q, t, radius)
-        a, b = q[i], t[j]
-        out_a.append(a[a != b])
-        out_b.append(b[a != b])
-        # a spanning forest instead of all pairs
-        out_a[-1], out_b[-1] = forest(out_a[-1], out_b[-1])
+        a, b = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        for i, j in near(q, t, radius):
+            # a spanning forest instead of all pairs, block after block
+            other = q[i] != t[j]
+            a, b = forest(np.concatenate([a, q[i][other]]), np.concatenate([b, t[j][other]]))
+        out_a.append(a)
+        out_b.append(b)
     a = np.concatenate(out_a).view(np.int64)
     b = np.concatenate(out_b).view(np.int64)
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
