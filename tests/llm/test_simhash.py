@@ -1,0 +1,116 @@
+"""SimHash fingerprints, links and components against brute force."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import xxhash
+
+from dimforge.llm import simhash
+from dimforge.llm.components import connected
+
+
+def plain_fingerprint(text, k=4):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        words = words.replace(c, " ")
+    words = [w for w in words.split(" ") if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + k]) for i in range(len(words) - k + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(pairs, nodes):
+    label = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+def near_fingerprints(n, seed, spread=6):
+    rng = random.Random(seed)
+    out = set()
+    while len(out) < n:
+        base = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 12)):
+            x = base
+            for _ in range(rng.randint(0, spread)):
+                x ^= 1 << rng.randrange(64)
+            out.add(x)
+    return np.array(sorted(out)[:n], dtype=np.uint64)
+
+
+def test_fingerprint_is_the_contract():
+    rng = random.Random(3)
+    for _ in range(50):
+        text = " ".join(rng.choice(["The", "cat", "SAT", "Übel", "on", "mat."]) for _ in range(rng.randint(0, 30)))
+        assert simhash.fingerprint(text) == plain_fingerprint(text)
+    assert simhash.fingerprint(None) == simhash.fingerprint(" \n") == 0
+
+
+def test_bit_sliced_distances_find_exactly_the_near_ones():
+    fps = near_fingerprints(700, 1)
+    for radius in (0, 1, 3, 4, 7):
+        found = {(int(i), int(j)) for a, b in simhash.near(fps, fps, radius) for i, j in zip(a, b)}
+        i, j = np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius)
+        assert found == set(zip(i.tolist(), j.tolist()))
+
+
+def test_links_connect_what_brute_force_connects(spark):
+    fps = near_fingerprints(600, 2)
+    # a dense bucket: all agree on 40 bits
+    dense = np.unique(np.array([(0xABCDEF1234 << 24) | random.Random(k).getrandbits(6) << (k % 18) for k in range(300)], dtype=np.uint64))
+    fps = np.unique(np.concatenate([fps, dense]))
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp bigint")
+    i, j = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4, 1))
+    signed = fps.view(np.int64)
+    want = groups([(int(signed[a]), int(signed[b])) for a, b in zip(i, j)], signed.tolist())
+    for chunk in (4096, 16):
+        edges = [(r.a, r.b) for r in simhash.links(df, 4, chunk).collect()]
+        assert all(bin((a ^ b) & (2**64 - 1)).count("1") <= 64 and a < b for a, b in edges)
+        assert groups(edges, signed.tolist()) == want
+
+
+def test_connected_on_long_paths_and_repeats(spark):
+    path = [(i, i + 1) for i in range(300)]
+    rows = path + path[:10] + [(1000, 1001), (1000, 1002)]
+    got = {r.node: r.component for r in connected(spark.createDataFrame(rows, "a bigint, b bigint")).collect()}
+    assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000, 1002: 1000}
+    assert connected(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_components_of_documents(spark, docs_of):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("red green blue one two three four five".split()) + str(rng.randint(0, 40))
+                      for _ in range(60)) for _ in range(40)]
+    texts += [t.replace("red1", "red2") for t in texts[:10]] + texts[:5] + [None, "", "a b"]
+    docs = docs_of(list(enumerate(texts)))
+    fps = {i: plain_fingerprint(t) for i, t in enumerate(texts)}
+    want = groups([(a, b) for a in fps for b in fps if a < b and bin(fps[a] ^ fps[b]).count("1") <= 4], list(fps))
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert got == {i: (f"{fps[i]:016x}", want[i]) for i in fps}
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_edge_cases(spark, edge_docs, empty_docs, with_clashes):
+    clash = with_clashes(edge_docs, "fp", "component", "node", "fingerprint", "least", "a", "b")
+    got = simhash.near_duplicates(clash).collect()
+    assert len(got) == edge_docs.count()
+    by_text = defaultdict(set)
+    for r in got:
+        by_text[r.fingerprint].add(r.component_id)
+    assert all(len(ids) == 1 for ids in by_text.values())
+    assert by_text["0" * 16] == {0}
+    assert simhash.near_duplicates(empty_docs).count() == simhash.drop_near_duplicates(empty_docs).count() == 0
+    kept = simhash.drop_near_duplicates(edge_docs)
+    assert kept.where("doc_id IS NULL").count() == 2 and kept.where("doc_id = 3").count() <= 1
