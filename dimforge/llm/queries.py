@@ -96,8 +96,8 @@ FROM ranked""",
     "op5_embeddings": """
 WITH RECURSIVE units AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x <> 0)) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x <> 0]) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),

@@ -12,8 +12,9 @@ score is a logistic function of its hits.
 - Toxic documents are mostly ordinary prose.  The toxic dictionary is trained
   on those windows of toxic documents whose character n-grams are
   significantly more frequent there than in ordinary documents.
-- Thresholds (bytes saved, share of the window's own cost saved) and the
-  logistic function are calibrated on the sampled documents, by whole text.
+- Thresholds (bytes saved, share of the window's own cost saved), the logistic
+  function and the strictness of that choice of windows are calibrated on the
+  sampled documents, by whole text.
 
 The dictionaries are fitted on a bounded sample of labelled rows
 (``TOXIC_DOCS`` and ``ORDINARY_DOCS``, drawn by hash of doc_id, and of these
@@ -65,7 +66,7 @@ def _grams(word: bytes) -> list[bytes]:
     return [padded[i:i + _GRAM] for i in range(max(1, len(padded) - _GRAM + 1))]
 
 
-def distinctive(toxic: Counter, ordinary: Counter, least_z: float = 6.0, least_ratio: float = 3.0) -> list[bytes]:
+def distinctive(toxic: Counter, ordinary: Counter, least_z: float, least_ratio: float = 3.0) -> list[bytes]:
     """Windows of the toxic text (as often as they occur) with an n-gram that
     is significantly more frequent in toxic than in ordinary text."""
     def counted(words: Counter) -> Counter:
@@ -98,15 +99,20 @@ def trained(words: list[bytes], size: int) -> bytes:
         return b"".join(samples)[:size] or b" "
 
 
+#: A labelled document: its windows with their counts, their number, 1 for toxic, importance.
+Document = tuple[Counter, int, int, float]
+
+
 @dataclass(frozen=True)
 class Model:
-    """Dictionaries and thresholds; ``weights`` are the logistic function's."""
+    """Dictionaries and thresholds; ``weights`` are the logistic function's
+    (None before calibration: every score is 0)."""
 
     ordinary: bytes
     toxic: bytes
     saved: float = 4.0
     share: float = 0.5
-    weights: tuple[float, float, float] = (-1e9, 0.0, 0.0)
+    weights: tuple[float, ...] | None = None
 
 
 class Lengths:
@@ -160,8 +166,9 @@ class Scorer:
         return logistic(self.model.weights, *self.hits(text))
 
 
-def is_hit(ordinary: int, toxic: int, saved: float, share: float) -> bool:
-    return ordinary - toxic >= saved and ordinary - toxic >= share * ordinary
+def is_hit(ordinary, toxic, saved: float, share: float):
+    """Whether a window's toxic description is so much shorter (numbers or arrays)."""
+    return (ordinary - toxic >= saved) & (ordinary - toxic >= share * ordinary)
 
 
 def features(hits, n) -> np.ndarray:
@@ -171,6 +178,8 @@ def features(hits, n) -> np.ndarray:
 
 
 def logistic(weights, hits: int, n: int) -> float:
+    if weights is None:
+        return 0.0
     return float(1 / (1 + np.exp(-np.clip(features(hits, n) @ np.asarray(weights), -50, 50))))
 
 
@@ -188,23 +197,41 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> np.nda
     return w
 
 
-def calibrate(model: Model, docs: list[tuple[Counter, int, int, float]]) -> Model:
-    """Thresholds and logistic weights for documents given as (counts of their
-    windows, number of windows, label, importance)."""
-    lengths, best = Lengths(model), None
-    known = {w: lengths(w) for counts, *_ in docs for w in counts}
+def dictionaries(docs: list[Document], least_z: float) -> Model:
+    """Both dictionaries; a window that one document repeats counts once."""
+    toxic = Counter(w for counts, _, label, _ in docs if label for w in counts)
+    ordinary = Counter(w for counts, _, label, _ in docs if not label for w in counts)
+    return Model(trained(sorted(ordinary.elements()), 32 << 10),
+                 trained(distinctive(toxic, ordinary, least_z), 16 << 10))
+
+
+def calibrate(model: Model, docs: list[Document]) -> tuple[float, Model]:
+    """(log loss, model with the thresholds and logistic weights of least loss)."""
+    lengths, number, best = Lengths(model), {}, None
+    of_doc, of_word, times = [], [], []
+    for i, (counts, *_) in enumerate(docs):
+        of_doc += [i] * len(counts)
+        of_word += [number.setdefault(w, len(number)) for w in counts]
+        times += counts.values()
+    of_doc, of_word, times = np.array(of_doc), np.array(of_word), np.array(times, dtype=float)
+    cost = np.array([lengths(w) for w in number]).reshape(-1, 2)
     n, y, importance = (np.array([d[i] for d in docs], dtype=float) for i in (1, 2, 3))
     for saved in (2, 3, 4, 5):
         for share in (0.34, 0.5, 0.6, 0.7):
-            toxic_words = {w for w, (a, b) in known.items() if is_hit(a, b, saved, share)}
-            hits = np.array([sum(c for w, c in counts.items() if w in toxic_words) for counts, *_ in docs], dtype=float)
-            x = features(hits, n)
+            hit = is_hit(cost[:, 0], cost[:, 1], saved, share)
+            x = features(np.bincount(of_doc, weights=times * hit[of_word], minlength=len(docs)), n)
             w = fit_logistic(x, y, importance)
             p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), 1e-9, 1 - 1e-9)
-            loss = -(importance * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum()
+            loss = float(-(importance * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / importance.sum())
             if best is None or loss < best[0]:
                 best = loss, Model(model.ordinary, model.toxic, saved, share, tuple(w.tolist()))
-    return best[1]
+    return best
+
+
+def learn(docs: list[Document], least_z: tuple[float, ...] = (3.0, 4.5, 6.0)) -> Model:
+    """The model of least loss over how strictly toxic windows are chosen: few
+    documents hold too few repeats for a strict choice, many need one."""
+    return min((calibrate(dictionaries(docs, z), docs) for z in least_z), key=lambda tried: tried[0])[1]
 
 
 def fit(sample: DataFrame, windows_each: int = WINDOWS) -> Model | None:
@@ -235,13 +262,7 @@ def fit(sample: DataFrame, windows_each: int = WINDOWS) -> Model | None:
     docs = []
     for row in kept.orderBy("at", "n").toLocalIterator():
         docs.append((Counter(dict(zip(map(bytes, row.words), row.counts))), row.n, row.toxic, row.importance))
-    if len({d[2] for d in docs}) < 2:
-        return None
-    # one document's repeats count once
-    toxic: Counter = Counter(w for counts, _, label, _ in docs if label for w in counts)
-    ordinary: Counter = Counter(w for counts, _, label, _ in docs if not label for w in counts)
-    model = Model(trained(sorted(ordinary.elements()), 32 << 10), trained(distinctive(toxic, ordinary), 16 << 10))
-    return calibrate(model, docs)
+    return learn(docs) if len({d[2] for d in docs}) == 2 else None
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS,
