@@ -22,6 +22,8 @@ from dimforge.config import DEFAULT, Settings
 
 # Results of earlier checks, per DataFrame object (a frame is immutable).
 _checked: "weakref.WeakKeyDictionary[DataFrame, tuple[tuple[int, int], bool, int]]" = weakref.WeakKeyDictionary()
+# A frame whose rows include all of the key frame's.
+_supersets: "weakref.WeakKeyDictionary[DataFrame, DataFrame]" = weakref.WeakKeyDictionary()
 _lock = threading.Lock()
 
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
@@ -51,6 +53,25 @@ def _size_terms(df: DataFrame) -> tuple[F.Column, int]:
     return reduce(lambda a, b: a + b, parts, F.lit(0).cast("long")), fixed
 
 
+def note_superset(df: DataFrame, superset: DataFrame) -> DataFrame:
+    """Records that ``superset`` holds every row of ``df`` (a DISTINCT of it):
+    its size bounds that of ``df`` and needs no shuffle to be counted."""
+    with _lock:
+        _supersets[df] = superset
+    return df
+
+
+def _too_large(df: DataFrame, max_bytes: int) -> bool:
+    """Whether the files a frame reads already pass the bound, by the plan's
+    estimate.  Asked only of plans that read files and join nothing: a join's
+    estimate is a product, and other sources' a guess."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    if "Join " in plan.toString() or any(leaves.apply(i).nodeName() != "LogicalRelation" for i in range(leaves.size())):
+        return False
+    return int(str(plan.stats().sizeInBytes())) > max_bytes
+
+
 def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | None = None) -> list[bool]:
     """For each frame, whether it has at most ``max_rows`` rows and at most
     ``max_bytes`` bytes of values.
@@ -59,15 +80,24 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | No
     tag.  The aggregation is partial on every task (one row per frame and
     task) and final on one small row per frame, so no task receives the
     rows of a large frame, and the fact table is never read by a check.
+    A DISTINCT is counted by the rows under it, so a check shuffles nothing
+    but its sums, and a frame whose files alone pass the bound is not read.
     Without ``max_bytes`` only rows are counted (no column is read).
     """
     bound = (max_rows, max_bytes if max_bytes is not None else -1)
     with _lock:
         known = {i: _checked.get(f) for i, f in enumerate(frames)}
+        sources = [_supersets.get(f, f) for f in frames]
     todo = [i for i, k in known.items() if k is None or k[0] != bound]
+    if max_bytes is not None:
+        for i in [i for i in todo if _too_large(sources[i], max_bytes)]:
+            known[i] = (bound, False, max_bytes + 1)
+            with _lock:
+                _checked[frames[i]] = known[i]
+            todo.remove(i)
     if todo:
-        terms = {i: _size_terms(frames[i]) if max_bytes is not None else (F.lit(0).cast("long"), 0) for i in todo}
-        tagged = [frames[i].select(F.lit(i).alias("__i"), terms[i][0].alias("__b")) for i in todo]
+        terms = {i: _size_terms(sources[i]) if max_bytes is not None else (F.lit(0).cast("long"), 0) for i in todo}
+        tagged = [sources[i].select(F.lit(i).alias("__i"), terms[i][0].alias("__b")) for i in todo]
         stats = {r["__i"]: (r["n"], r["b"] or 0) for r in reduce(DataFrame.unionAll, tagged).groupBy("__i").agg(
             F.count(F.lit(1)).alias("n"), F.sum("__b").alias("b")).collect()}
         with _lock:

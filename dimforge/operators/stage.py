@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.functions._cols import ColumnLike, col
+from dimforge.operators.joins import note_superset
 
 
 def stage(df: DataFrame, columns: Sequence[ColumnLike], where: Column | None = None,
@@ -23,7 +24,7 @@ def stage(df: DataFrame, columns: Sequence[ColumnLike], where: Column | None = N
     if where is not None:
         df = df.where(where)
     out = df.select(*(col(c) for c in columns))
-    return out.distinct() if distinct else out
+    return note_superset(out.distinct(), out) if distinct else out
 
 
 def starts_with(c: ColumnLike, prefix: str) -> Column:

@@ -203,3 +203,20 @@ def test_unproven_lookup_is_not_broadcast_by_session_threshold(spark):
         assert out.count() == 10
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_file_that_passes_the_bound_is_not_counted(spark, tmp_path):
+    from dimforge.operators.joins import _too_large
+
+    path = str(tmp_path / "wide")
+    spark.range(2000).selectExpr("id AS k", "sha2(CAST(id AS STRING), 512) AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    assert _too_large(df, 10_000) and not _too_large(df, 100_000_000)
+    assert not _too_large(spark.range(5), 1) and not _too_large(df.join(df, "k"), 1)
+    assert bounded_fits([df], 10_000, 10_000) == [False]
+
+
+def test_a_distinct_is_counted_by_the_rows_under_it(spark):
+    staged = stage(spark.range(10).selectExpr("id % 2 AS k"), ["k"])
+    assert staged.count() == 2
+    assert bounded_fits([staged], 5) == [False] and bounded_fits([staged], 10) == [True]
