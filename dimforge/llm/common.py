@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -25,7 +26,10 @@ def shared_folder(spark: SparkSession) -> str:
         found = "file://" + tempfile.mkdtemp(prefix="dimforge-llm-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+    # with its file system, so that tasks reach the same one by URI
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    whole = str(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at))
+    return re.sub("^file:/+", "file:///", whole).rstrip("/")
 
 
 _shipped: set[str] = set()
