@@ -8,7 +8,7 @@ score is a logistic function of its hits.
 - A window is one word in lower case with a space on either side.  It is
   compressed inside a fixed frame that both dictionaries hold, so that even a
   short window is coded by matches and its own bytes are what the lengths
-  differ in.  Words recur, so a bounded memo keeps their lengths.
+  differ in.  Words recur, so a bounded memo keeps which are hits.
 - Toxic documents are mostly ordinary prose.  The toxic dictionary is trained
   on those windows of toxic documents whose character n-grams are
   significantly more frequent there than in ordinary documents.
@@ -49,7 +49,7 @@ WINDOWS = 400_000
 THRESHOLD = 0.7
 _GRAM = 5
 _LEVEL = 3
-_MEMO = 500_000
+_MEMO = 300_000
 _LONGEST = 256
 
 
@@ -116,7 +116,7 @@ class Model:
 
 
 class Lengths:
-    """Window compression lengths under both dictionaries, kept in a memo."""
+    """Window compression lengths under both dictionaries."""
 
     def __init__(self, model: Model):
         # bytes that no UTF-8 text holds; zstandard looks for no match in the
@@ -126,7 +126,6 @@ class Lengths:
         self.tail = self.frame[-16:]
         self.coders = [self._coder(model.ordinary), self._coder(model.toxic)]
         self.empty = [len(c.compress(self.frame + b" " + self.tail)) for c in self.coders]
-        self.memo: dict[bytes, tuple[int, int]] = {}
 
     def _coder(self, content: bytes) -> zstandard.ZstdCompressor:
         dictionary = zstandard.ZstdCompressionDict(content + self.frame, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -136,17 +135,14 @@ class Lengths:
 
     def __call__(self, word: bytes) -> tuple[int, int]:
         """Bytes of the window beyond the frame, ordinary and toxic."""
-        found = self.memo.get(word)
-        if found is None:
-            if len(self.memo) >= _MEMO:
-                self.memo.clear()
-            framed = self.frame + b" " + word + b" " + self.tail
-            found = tuple(len(c.compress(framed)) - e for c, e in zip(self.coders, self.empty))
-            self.memo[word] = found
-        return found
+        framed = self.frame + b" " + word + b" " + self.tail
+        return tuple(len(c.compress(framed)) - e for c, e in zip(self.coders, self.empty))
 
 
 class Scorer:
+    """Scores texts; a bounded memo keeps which words are hits.  One a task,
+    so its memory is gone when other stages run in the same worker."""
+
     def __init__(self, model: Model):
         self.model, self.lengths, self.hit = model, Lengths(model), {}
 
@@ -281,18 +277,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_
     return require(docs, ["doc_id", "text"]).join(F.broadcast(drawn), "doc_id").select("text", "toxic", "importance")
 
 
-_scorers: dict[int, Scorer] = {}
-
-
-def _scorer(model: Model) -> Scorer:
-    """The worker's scorer for a model."""
-    key = hash(model)
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(model)
-    return _scorers[key]
-
-
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     """The model of a labelled sample; one without hits if a class is missing."""
     return fit(labelled_sample(docs, labels)) or Model(b" ", b" ")
@@ -303,7 +287,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     model = fitted(docs, labels)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(model)
+        scorer = Scorer(model)
         for batch in batches:
             hits = [scorer.hits(t) for t in batch.column(1).to_pylist()]
             score = [logistic(model.weights, *h) for h in hits]
@@ -322,7 +306,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     model, at = fitted(docs, labels), docs.columns.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(model)
+        scorer = Scorer(model)
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
