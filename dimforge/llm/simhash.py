@@ -222,10 +222,9 @@ def near_duplicates(docs: DataFrame, words_each: int = 4, radius: int = 4) -> Da
 
 def drop_near_duplicates(docs: DataFrame, words_each: int = 4, radius: int = 4) -> DataFrame:
     """One row of each component: that with its smallest doc_id (of several
-    rows with that doc_id, the least by text).  Rows without a doc_id stay."""
+    rows with that doc_id, the one of least hash).  Rows without a doc_id stay."""
     keep = near_duplicates(docs, words_each, radius).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(keep, "doc_id", "left_semi")
-    row = F.struct(*docs.columns)
-    order = F.struct("text", F.xxhash64(F.to_json(row)))
-    one = kept.groupBy("doc_id").agg(F.min_by(row, order).alias("row")).select("row.*")
+    hashed = F.xxhash64(*[F.to_json(c) if "map<" in kind else F.col(c) for c, kind in docs.dtypes])
+    one = kept.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), hashed).alias("row")).select("row.*")
     return one.unionByName(docs.where("doc_id IS NULL"))
