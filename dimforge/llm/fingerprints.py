@@ -104,8 +104,9 @@ def merge_sketches(parts: DataFrame, key: str, column: str, k: int = K) -> DataF
     return small.select(key, F.slice(F.sort_array("h"), 1, k).alias(column))
 
 
-def with_next(docs: DataFrame, per_range: int = 2000) -> DataFrame:
-    """Adds next_text and next_fingerprint of the following doc_id (after the last: the first).
+def with_next(docs: DataFrame, k: int = K, per_range: int = 2000) -> DataFrame:
+    """Adds fingerprint, next_text and next_fingerprint of the following doc_id
+    (after the last: the first) to rows with doc_id and text.
 
     Documents are dealt by ranges of doc_id of about ``per_range`` rows; the
     following row is found inside a range by a window, and for the last row of
@@ -122,16 +123,18 @@ def with_next(docs: DataFrame, per_range: int = 2000) -> DataFrame:
     if cuts:
         bounds = F.lit(cuts)
         slot = F.coalesce(F.size(F.filter(bounds, lambda b: b <= at)), F.lit(0))
-    rows = docs.withColumn("range", slot)
+    ranged = docs.withColumn("range", slot)
+    rows = ranged.withColumn("fingerprint", sketch(F.col("text"), k))
     order = [F.col("doc_id").asc_nulls_first(), "text"]
     inside = Window.partitionBy("range").orderBy(*order)
     led = (rows.withColumn("next_text", F.lead("text").over(inside))
            .withColumn("next_fingerprint", F.lead("fingerprint").over(inside)))
     # the first row of each range, known by its doc_id alone; at most `ranges` rows
-    least = rows.groupBy("range").agg(F.min_by("doc_id", F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("doc_id"))
-    firsts = (rows.join(F.broadcast(least.select(F.col("range").alias("r"), F.col("doc_id").alias("d"))),
+    least = ranged.groupBy("range").agg(F.min_by("doc_id", F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("doc_id"))
+    firsts = (ranged.join(F.broadcast(least.select(F.col("range").alias("r"), F.col("doc_id").alias("d"))),
                         (F.col("range") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d")))
-              .groupBy("range").agg(F.min(F.struct("text", "fingerprint")).alias("first")))
+              .groupBy("range").agg(F.min("text").alias("text"))
+              .select("range", F.struct("text", sketch(F.col("text"), k).alias("fingerprint")).alias("first")))
     nearby = Window.orderBy("range")
     starts = firsts.select("range", F.coalesce(F.lead("first").over(nearby), F.first("first").over(nearby)).alias("first"))
     return (led.join(starts, "range", "left")
@@ -148,9 +151,8 @@ def fingerprint_documents(docs: DataFrame, k: int = K) -> DataFrame:
     first as many of the next document.
     """
     text = F.coalesce(docs["text"], F.lit(""))
-    own = docs.select(docs["doc_id"], text.alias("text"), F.length(text).cast("long").alias("n_chars"),
-                      sketch(text, k).alias("fingerprint"))
-    after = with_next(own)
+    own = docs.select(docs["doc_id"], text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    after = with_next(own, k)
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")),
                       F.substring("next_text", F.lit(1), half))
