@@ -5,11 +5,15 @@ Vectors of one label and dimension are dealt to shards of at most about
 Every vector then queries every shard of its label, in blocks of queries.
 What a beam finds at the threshold is verified by cosine in double precision.
 
-Recall: in each block, the links of ``AUDIT`` queries are also found by
-comparing them with the whole shard.  Below ``RECALL`` the block is searched
-again with a beam four times as wide, up to the whole shard.  A query whose
-beam holds nothing but links is searched again with a wider beam as well, so
-large groups are not cut off.
+Recall: in each block of a shard, ``AUDIT`` queries are also compared with the
+whole shard.  A block passes if the search found ``RECALL`` of their
+``NEAREST`` nearest vectors, and of their links, the query itself left out of
+both; nearest vectors are there also where no query has a link.  A block that
+falls short is searched again with a beam four times as wide, and past
+``WIDEST``, or with fewer than ``EVIDENCE`` true neighbours to judge by, it is
+compared with the whole shard.  A query whose beam holds nothing but links is
+searched again with a wider beam in the same steps, so large groups are not
+cut off.
 
 Equal vectors are one row from the start, with their number.  A block returns
 a count of links for each query and a spanning forest of the links it found,
@@ -37,6 +41,9 @@ BLOCK = 2048
 BEAM = 64
 AUDIT = 32
 RECALL = 0.99
+NEAREST = 10
+EVIDENCE = 200
+WIDEST = 256  # wider beams cost more than comparing with the whole shard
 _SLACK = 1e-5  # float32 similarities may be off by less
 
 
@@ -47,37 +54,64 @@ def unit(rows: pd.Series) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def found_links(graph: hnsw.Graph, exact: np.ndarray, queries: np.ndarray, threshold: float,
-                audit: np.ndarray, recall: float = RECALL, beam: int = BEAM) -> list[np.ndarray]:
-    """Positions in the shard whose verified cosine with each query reaches the threshold."""
+def found_links(graph: hnsw.Graph, exact: np.ndarray, queries: np.ndarray, threshold: float, audit: np.ndarray,
+                recall: float = RECALL, beam: int = BEAM, own: np.ndarray | None = None) -> list[np.ndarray]:
+    """Positions in the shard whose verified cosine with each query reaches the threshold.
+
+    ``own`` are the queries' own positions in the shard, -1 for those of other shards.
+    """
     n, coarse = len(exact), queries.astype(np.float32)
+    own = np.full(len(queries), -1) if own is None else own
 
-    def verified(rows: np.ndarray, beam: int) -> tuple[list[np.ndarray], np.ndarray]:
+    def verified(rows: np.ndarray, beam: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         ids, sims = graph.search(coarse[rows], beam)
         near = sims >= threshold - _SLACK
         out = []
         for r, row in enumerate(rows):
             at = ids[r][near[r]]
             out.append(at[exact[at] @ queries[row] >= threshold])
-        return out, near.all(axis=1)
-
-    truth = [np.flatnonzero(exact @ queries[a] >= threshold) for a in audit]
-    total = sum(map(len, truth))
-    while True:
-        beam = min(beam, n)
-        links, full = verified(np.arange(len(queries)), beam)
+        return out, near.all(axis=1), ids
+
+    def compared(rows: np.ndarray) -> list[np.ndarray]:
+        """Links by comparing with the whole shard."""
+        return [np.flatnonzero(sims >= threshold) for at in range(0, len(rows), 64)
+                for sims in queries[rows[at:at + 64]] @ exact.T]
+
+    truth = [_neighbours(exact @ queries[a], own[a], threshold) for a in audit]
+    evidence = sum(k for k, *_ in truth)
+    every = np.arange(len(queries))
+    while beam <= WIDEST and beam < n and evidence >= EVIDENCE:
+        links, full, ids = verified(every, beam)
         wide = beam
-        while full.any() and wide < n:
-            wide = min(4 * wide, n)
-            rows = np.flatnonzero(full)
-            again, still = verified(rows, wide)
+        while full.any():
+            wide, rows = 4 * wide, np.flatnonzero(full)
+            if wide <= WIDEST and wide < n:
+                again, full[rows], _ = verified(rows, wide)
+            else:
+                again, full[rows] = compared(rows), False
             for row, found in zip(rows, again):
                 links[row] = found
-            full[rows] = still
-        hit = sum(np.isin(t, links[a]).sum() for a, t in zip(audit, truth))
-        if not total or hit >= recall * total or beam >= n:
+        near = hits = total = 0
+        for a, (k, least, linked) in zip(audit, truth):
+            found = np.setdiff1d(np.concatenate([ids[a], links[a]]), [-1, own[a]])
+            near += min(k, int((exact[found] @ queries[a] >= least - _SLACK).sum()))
+            hits += int(np.isin(linked, links[a]).sum())
+            total += len(linked)
+        if near >= recall * evidence and hits >= recall * total:
             return links
         beam *= 4
+    return compared(every)
+
+
+def _neighbours(sims: np.ndarray, own: int, threshold: float) -> tuple[int, float, np.ndarray]:
+    """(how many nearest vectors there are to find, the least cosine of those,
+    the links), without the query itself."""
+    sims = sims.copy()
+    if own >= 0:
+        sims[own] = -np.inf
+    k = min(NEAREST, len(sims) - (own >= 0))
+    least = np.partition(sims, len(sims) - k)[len(sims) - k] if k else np.inf
+    return k, least, np.flatnonzero(sims >= threshold)
 
 
 def _distinct(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -127,7 +161,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, shard: int = SH
         part = part.sort_values("gid")
         own, queries = part["gid"].to_numpy(np.int64), unit(part["v"])
         audit = np.random.default_rng(len(own)).permutation(len(own))[:AUDIT]
-        links = found_links(graph, exact, queries, threshold, audit)
+        order = np.argsort(gids)
+        place = order[np.minimum(np.searchsorted(gids, own, sorter=order), len(gids) - 1)]
+        links = found_links(graph, exact, queries, threshold, audit, own=np.where(gids[place] == own, place, -1))
         a = np.repeat(own, [len(x) for x in links])
         at = np.concatenate(links).astype(int) if links else np.zeros(0, dtype=int)
         b = gids[at]

@@ -68,6 +68,30 @@ def test_large_groups_widen_the_beam():
     assert all(want[i, j] for i, found in enumerate(links) for j in found)
 
 
+def test_audit_without_links_still_measures_recall():
+    rng = np.random.default_rng(5)
+    exact = rng.normal(size=(1500, 24))
+    exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+    whole = hnsw.build(exact.astype(np.float32))
+    # a graph that lost its edges: its searches find next to nothing
+    poor = hnsw.Graph(whole.vectors, [np.where(np.arange(x.shape[1]) < 1, x, -1) for x in whole.layers], whole.tops, whole.start)
+    queries = np.concatenate([rng.normal(size=(40, 24)), exact[:200] + 0.005 * rng.normal(size=(200, 24))])
+    queries /= np.linalg.norm(queries, axis=1, keepdims=True)
+    want = queries @ exact.T >= 0.98
+    assert not want[:32].any() and want[40:].any(axis=1).all()
+    # the audited queries have no link in this shard, as is usual in a foreign one
+    links = embedding_dedup.found_links(poor, exact, queries, 0.98, np.arange(32))
+    assert [x.tolist() for x in links] == [np.flatnonzero(w).tolist() for w in want]
+    # the match of a query with itself is no evidence
+    audit = np.arange(32)
+    links = embedding_dedup.found_links(poor, exact, np.concatenate([exact[500:532], queries]), 0.98, audit,
+                                        own=np.r_[np.arange(500, 532), np.full(len(queries), -1)])
+    assert [x.tolist() for x in links[32:]] == [np.flatnonzero(w).tolist() for w in want]
+    # too few audited queries are no evidence
+    few = embedding_dedup.found_links(poor, exact, queries, 0.98, audit[:3])
+    assert [x.tolist() for x in few] == [np.flatnonzero(w).tolist() for w in want]
+
+
 @pytest.mark.parametrize("shard,block", [(50_000, 2048), (60, 40)])
 def test_links_and_components_equal_brute_force(spark, shard, block):
     v, rng = clustered(420, 12, 7), random.Random(7)
