@@ -65,15 +65,16 @@ def fingerprint(text: str | None, words_each: int = 4) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(rows)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words_each: int = 4) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long)."""
+def fingerprints(docs: DataFrame, words_each: int = 4, *keys: str) -> DataFrame:
+    """doc_id, the named columns (longs), fp (the 64 bits as a long)."""
+    names = ["doc_id", *keys]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, words_each) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t, words_each) for t in batch.column(len(names)).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps.view(np.int64))], [*names, "fp"])
 
-    return require(docs, ["doc_id", "text"]).mapInArrow(rows, "doc_id long, fp long")
+    return require(docs, [*names, "text"]).mapInArrow(rows, "".join(f"{n} long, " for n in names) + "fp long")
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
@@ -207,13 +208,18 @@ def _group_edges(rows: pd.DataFrame, key: list[str], radius: int) -> pd.DataFram
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
+def _components(fps: DataFrame, radius: int) -> DataFrame:
+    """fp, least (its smallest doc_id), component of each distinct fingerprint."""
+    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    groups = connected(links(distinct.select("fp"), radius))  # node, component: linked fingerprints only
+    return (distinct.join(groups, distinct.fp == groups.node, "left")
+            .select("fp", "least", F.coalesce("component", "fp").alias("component")))
+
+
 def near_duplicates(docs: DataFrame, words_each: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     fps = materialize(fingerprints(docs, words_each), "simhash")
-    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    groups = connected(links(distinct.select("fp"), radius))  # node, component: linked fingerprints only
-    labelled = (distinct.join(groups, distinct.fp == groups.node, "left")
-                .select("fp", "least", F.coalesce("component", "fp").alias("component")))
+    labelled = _components(fps, radius)
     ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     mapping = labelled.join(ids, "component").select("fp", "component_id")
     return (fps.join(mapping, "fp")
@@ -222,9 +228,20 @@ def near_duplicates(docs: DataFrame, words_each: int = 4, radius: int = 4) -> Da
 
 def drop_near_duplicates(docs: DataFrame, words_each: int = 4, radius: int = 4) -> DataFrame:
     """One row of each component: that with its smallest doc_id (of several
-    rows with that doc_id, the one of least hash).  Rows without a doc_id stay."""
-    keep = near_duplicates(docs, words_each, radius).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi")
-    hashed = F.xxhash64(*[F.to_json(c) if "map<" in kind else F.col(c) for c, kind in docs.dtypes])
-    one = kept.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), hashed).alias("row")).select("row.*")
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    such rows, the one of least key).  Of a component's rows without a doc_id,
+    which represent no others, one stays too.
+
+    Rows are told apart by a key of two hashes over all their columns, written
+    with the fingerprints, as one doc_id can have texts of several components.
+    """
+    cells = [F.to_json(c) if "map<" in kind else F.col(c) for c, kind in docs.dtypes]
+    cells = [x for c in cells for x in (c.isNull(), c)]  # a hash passes over nulls
+    key = [F.xxhash64(*cells).alias("key_a"), F.xxhash64(F.lit(1), *cells).alias("key_b")]
+    fps = materialize(fingerprints(docs.select("doc_id", "text", *key), words_each, "key_a", "key_b"), "simhash")
+    least = F.min(F.struct("doc_id", "key_a", "key_b"))
+    firsts = fps.groupBy("fp", F.col("doc_id").isNull().alias("no_id")).agg(least.alias("row"))
+    keep = (firsts.join(_components(fps, radius).select("fp", "component"), "fp")
+            .groupBy("component", "no_id").agg(F.min("row").alias("row")).select("row.key_a", "row.key_b"))
+    # equal rows have one key
+    return (docs.select(F.struct(*docs.columns).alias("row"), *key).join(keep, ["key_a", "key_b"], "left_semi")
+            .groupBy("key_a", "key_b").agg(F.first("row").alias("row")).select("row.*"))

@@ -114,3 +114,16 @@ def test_edge_cases(spark, edge_docs, empty_docs, with_clashes):
     assert simhash.near_duplicates(empty_docs).count() == simhash.drop_near_duplicates(empty_docs).count() == 0
     kept = simhash.drop_near_duplicates(edge_docs)
     assert kept.where("doc_id IS NULL").count() == 2 and kept.where("doc_id = 3").count() <= 1
+
+
+def test_one_row_of_each_component_where_ids_repeat(docs_of):
+    rng = random.Random(9)
+    a, b, c, d, e = (" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(60)) for _ in range(5))
+    # id 1 has texts of three components; b's other copy and c have ids of their own
+    rows = [(1, a), (1, b), (1, b), (1, d), (2, b), (3, c), (3, c + " "), (4, d), (None, e), (None, e), (None, e + " ")]
+    kept = simhash.drop_near_duplicates(docs_of(rows).repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.text.strip()) for r in kept) == sorted(
+        [("1", a), ("1", b), ("1", d), ("3", c), ("None", e)])
+    # a null in one column or the next makes different rows, whose texts decide
+    swapped = docs_of([(1, a, "x", None), (1, a, None, "x"), (1, b, None, None)])
+    assert sorted(r.text for r in simhash.drop_near_duplicates(swapped).collect()) == sorted([a, b])
