@@ -12,8 +12,17 @@ score is a logistic function of its hits.
 - Toxic documents are mostly ordinary prose.  The toxic dictionary is trained
   on those windows of toxic documents whose character n-grams are
   significantly more frequent there than in ordinary documents.
-- Thresholds (bytes saved, share of the window's own cost saved), the logistic
-  function and the strictness of that choice of windows are calibrated on the
+- A phrase of ordinary words, or a toxic word in a long run without spaces, is
+  no such window.  So the text, its words one space apart, is read a second
+  time in wide windows of ``WIDE`` bytes that overlap by half.  The stretches
+  of toxic documents whose byte n-grams are in significantly more toxic
+  documents make a second toxic dictionary.  Two to four words in a row, and a
+  wide window with a run of more than ``_RUN`` bytes, are compressed under the
+  ordinary dictionary with and without the stretches behind it.  The most that
+  one phrase, and one run, of a document saves counts beside its hits, whatever
+  its share of the window.
+- Thresholds (bytes saved, share of the window's own cost saved, bytes the best
+  phrase and run have to save), the logistic function and the strictness of that choice of windows are calibrated on the
   sampled documents, by whole text.
 
 The dictionaries are fitted on a bounded sample of labelled rows
@@ -30,10 +39,11 @@ gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +61,14 @@ _GRAM = 5
 _LEVEL = 3
 _MEMO = 300_000
 _LONGEST = 256
+WIDE = 64
+_WIDE_GRAM = 8
+_STRETCHES = 8 << 10
+_MOST = 300
+_RUN = 24
+_LONG_RUN = re.compile(rb"\S{%d}" % (_RUN + 1))
+_PHRASE = 4
+_BREAK = b"\xff"  # a byte that no UTF-8 text holds
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -61,6 +79,17 @@ def windows(text: str | None) -> list[bytes]:
     return words
 
 
+def wide_windows(text: str | None) -> list[bytes]:
+    """The distinct windows of ``WIDE`` bytes, overlapping by half, of the
+    text's words with one space between; a stretch of up to half a window lies
+    whole in one of them."""
+    words = (text or "").lower().encode("utf-8", "surrogatepass").split()
+    if not words:
+        return []
+    line, half = b" " + b" ".join(words) + b" ", WIDE // 2
+    return list(dict.fromkeys([line[i:i + WIDE] for i in range(0, max(1, len(line) - half), half)]))
+
+
 def _grams(word: bytes) -> list[bytes]:
     padded = b" " + word + b" "
     return [padded[i:i + _GRAM] for i in range(max(1, len(padded) - _GRAM + 1))]
@@ -88,6 +117,63 @@ def distinctive(toxic: Counter, ordinary: Counter, least_z: float, least_ratio:
     return [w for w, n in sorted(toxic.items()) if any(g in marks for g in _grams(w)) for _ in range(n)]
 
 
+def _wide_grams(wide: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """(the windows in one line, its byte n-grams as numbers, which of them lie in one window)."""
+    line = _BREAK.join([*wide, b" " * _WIDE_GRAM])
+    rows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(line, dtype=np.uint8), _WIDE_GRAM)
+    return line, np.ascontiguousarray(rows).view(np.uint64)[:, 0], ~(rows == _BREAK[0]).any(axis=1)
+
+
+def distinctive_stretches(docs: list[Document], least_z: tuple[float, ...], least_ratio: float = 3.0) -> list[bytes]:
+    """For each strictness, the stretches of the toxic documents' wide windows
+    that are, by their n-grams and as a whole, in significantly more toxic than
+    ordinary documents; as one dictionary, the most frequent last."""
+    lines = [(label, *_wide_grams(wide)) for *_, label, _, wide in docs]
+    toxic, ordinary = ([line for label, line, *_ in lines if label == of] for of in (1, 0))
+    nt, no = len(toxic), len(ordinary)
+
+    def apart(a, b):
+        """(z, whether the ratio suffices) of numbers of toxic and ordinary documents."""
+        expected = (a + b) * nt / (nt + no)
+        return (a - expected) / np.sqrt(expected * no / (nt + no) + 1), a / nt > least_ratio * (b + 1) / no
+
+    (grams, a), (others, counts) = (
+        np.unique(np.concatenate([np.unique(g[ok]) for label, _, g, ok in lines if label == of]), return_counts=True)
+        for of in (1, 0))
+    b = np.zeros_like(a)
+    if len(others):
+        at = np.minimum(np.searchsorted(others, grams), len(others) - 1)
+        b = np.where(others[at] == grams, counts[at], 0)
+    z, more = apart(a, b)
+    out = []
+    for least in least_z:
+        marks, stretches = grams[(z > least) & more], Counter()
+        for label, line, g, ok in lines:
+            marked = np.flatnonzero(np.isin(g, marks) & ok) if label and len(marks) else []
+            if len(marked):
+                # n-grams that touch or overlap make one stretch
+                breaks = np.flatnonzero(np.diff(marked) > _WIDE_GRAM)
+                stretches.update({_whole_words(line, marked[i], marked[j] + _WIDE_GRAM) for i, j in
+                                  zip(np.r_[0, breaks + 1], np.r_[breaks, len(marked) - 1])})
+        content, size = [], 0
+        for w, _ in sorted(stretches.items(), key=lambda x: (-x[1], x[0]))[:_MOST]:
+            if any(w in c for c in content):
+                continue
+            whole_z, whole_more = apart(sum(w in x for x in toxic), sum(w in x for x in ordinary))
+            if whole_z > least and whole_more and size + len(w) <= _STRETCHES:
+                content.append(w)
+                size += len(w)
+        out.append(b"".join(reversed(content)))
+    return out
+
+
+def _whole_words(line: bytes, start: int, end: int) -> bytes:
+    """line[start:end] out to the ends of its words, if they are near and in the window."""
+    left, right = line.rfind(b" ", max(0, start - 16), start + 1), line.find(b" ", end - 1, end + 16)
+    left, right = start if left < 0 else left, end if right < 0 else right + 1
+    return line[start:end] if _BREAK in line[left:right] else line[left:right]
+
+
 def trained(words: list[bytes], size: int) -> bytes:
     """A zstandard dictionary; too few samples to train on are used as its content."""
     spaced = [b" " + w + b" " for w in words]
@@ -99,8 +185,8 @@ def trained(words: list[bytes], size: int) -> bytes:
         return b"".join(samples)[:size] or b" "
 
 
-#: A labelled document: its windows with their counts, their number, 1 for toxic, importance.
-Document = tuple[Counter, int, int, float]
+#: A labelled document: its windows with their counts, their number, 1 for toxic, importance, its wide windows.
+Document = tuple[Counter, int, int, float, list[bytes]]
 
 
 @dataclass(frozen=True)
@@ -113,18 +199,21 @@ class Model:
     saved: float = 4.0
     share: float = 0.5
     weights: tuple[float, ...] | None = None
+    #: stretches of toxic documents, and the bytes that a phrase and a run have to save
+    stretches: bytes = b""
+    least: tuple[float, float] = (0.0, 0.0)
 
 
 class Lengths:
     """Window compression lengths under both dictionaries."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, contents: tuple[bytes, bytes] | None = None):
         # bytes that no UTF-8 text holds; zstandard looks for no match in the
         # last 8 bytes, so the window does not come last
         marks = [0xC0, 0xC1, *range(0xF5, 0x100)]
         self.frame = bytes(random.Random(5).choices(marks, k=64))
         self.tail = self.frame[-16:]
-        self.coders = [self._coder(model.ordinary), self._coder(model.toxic)]
+        self.coders = [self._coder(c) for c in contents or (model.ordinary, model.toxic)]
         self.empty = [len(c.compress(self.frame + b" " + self.tail)) for c in self.coders]
 
     def _coder(self, content: bytes) -> zstandard.ZstdCompressor:
@@ -138,6 +227,54 @@ class Lengths:
         framed = self.frame + b" " + word + b" " + self.tail
         return tuple(len(c.compress(framed)) - e for c, e in zip(self.coders, self.empty))
 
+    def saved(self, word: bytes) -> int:
+        ordinary, toxic = self(word)
+        return ordinary - toxic
+
+
+class Wide:
+    """What the phrases and the long runs of a text save by the stretches."""
+
+    def __init__(self, model: Model):
+        self.content = model.stretches
+        self.grams = {self.content[i:i + _GRAM] for i in range(len(self.content) - _GRAM + 1)}
+        self.lengths = Lengths(model, (model.ordinary, model.ordinary + model.stretches))
+        self.held, self.unheld, self.saved = {}, set(), {}
+
+    def _holds(self, word: bytes) -> bool:
+        """Whether the stretches hold any of a word; one they hold nothing of
+        makes no phrase cheaper."""
+        padded = b" " + word + b" "
+        return padded in self.content if len(padded) < _GRAM else any(g in self.grams for g in _grams(word))
+
+    def best(self, wide: list[bytes]) -> tuple[int, int]:
+        """The most bytes that one phrase and one wide window with a long run save, 0 if none."""
+        held, saved, phrase, run = self.held, self.saved, 0, 0
+        if len(held) > _MEMO:
+            held.clear()
+            self.unheld.clear()
+        if len(saved) > _MEMO:
+            saved.clear()
+        for w in wide:
+            words, row = w.split(), 0
+            for i, word in enumerate(() if self.unheld.issuperset(words) else words):
+                known = held.get(word)
+                if known is None:
+                    known = held[word] = self._holds(word)
+                    if not known:
+                        self.unheld.add(word)
+                row = row + 1 if known else 0
+                for k in range(2, min(row, _PHRASE) + 1):
+                    part = b" ".join(words[i + 1 - k:i + 1])
+                    bytes_saved = saved.get(part)
+                    if bytes_saved is None:
+                        bytes_saved = saved[part] = self.lengths.saved(part)
+                    if bytes_saved > phrase:
+                        phrase = bytes_saved
+            if _LONG_RUN.search(w):
+                run = max(run, self.lengths.saved(w))
+        return phrase, run
+
 
 class Scorer:
     """Scores texts; a bounded memo keeps which words are hits.  One a task,
@@ -145,21 +282,31 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.lengths, self.hit = model, Lengths(model), {}
+        self.wide = Wide(model) if model.stretches else None
 
     def hits(self, text: str | None) -> tuple[int, int]:
         """(windows that are hits, windows)."""
-        hit, lengths, m, words, n = self.hit, self.lengths, self.model, windows(text), 0
+        hit, words, n = self.hit, windows(text), 0
         if len(hit) > _MEMO:
             hit.clear()
         for w in words:
             known = hit.get(w)
             if known is None:
-                known = hit[w] = is_hit(*lengths(w), m.saved, m.share)
+                known = hit[w] = self.is_hit(w)
             n += known
         return n, len(words)
 
+    def is_hit(self, word: bytes) -> bool:
+        return is_hit(*self.lengths(word), self.model.saved, self.model.share)
+
     def score(self, text: str | None) -> float:
-        return logistic(self.model.weights, *self.hits(text))
+        return self.score_of(text, *self.hits(text))
+
+    def score_of(self, text: str | None, hits: int, n: int) -> float:
+        """The score of a text whose hits are counted."""
+        m = self.model
+        best = self.wide.best(wide_windows(text)) if self.wide and m.weights else (0, 0)
+        return logistic(m.weights, hits, n, beyond(best, m.least))
 
 
 def is_hit(ordinary, toxic, saved: float, share: float):
@@ -167,16 +314,23 @@ def is_hit(ordinary, toxic, saved: float, share: float):
     return (ordinary - toxic >= saved) & (ordinary - toxic >= share * ordinary)
 
 
-def features(hits, n) -> np.ndarray:
-    """Any hit, and how many beyond the share expected in longer texts."""
-    hits, n = np.asarray(hits, dtype=float), np.asarray(n, dtype=float)
-    return np.stack([np.ones_like(hits), np.log1p(hits), np.log1p(1000 * hits / np.maximum(n, 30))], axis=-1)
+def beyond(best, least) -> np.ndarray:
+    """What the best phrase and run save beyond the bytes they have to."""
+    return np.maximum(np.asarray(best, dtype=float) - np.asarray(least), 0.0)
+
+
+def features(hits, n, wide=(0.0, 0.0)) -> np.ndarray:
+    """Any hit, how many beyond the share expected in longer texts, the best phrase and the best run."""
+    hits, n, wide = (np.asarray(x, dtype=float) for x in (hits, n, wide))
+    words = np.stack([np.ones_like(hits), np.log1p(hits), np.log1p(1000 * hits / np.maximum(n, 30))], axis=-1)
+    return np.concatenate([words, np.log1p(np.broadcast_to(wide, (*hits.shape, 2)))], axis=-1)
 
 
-def logistic(weights, hits: int, n: int) -> float:
+def logistic(weights, hits: int, n: int, wide=(0.0, 0.0)) -> float:
     if weights is None:
         return 0.0
-    return float(1 / (1 + np.exp(-np.clip(features(hits, n) @ np.asarray(weights), -50, 50))))
+    x = features(hits, n, wide)[..., :len(weights)]
+    return float(1 / (1 + np.exp(-np.clip(x @ np.asarray(weights), -50, 50))))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> np.ndarray:
@@ -195,8 +349,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> np.nda
 
 def dictionaries(docs: list[Document], least_z: float) -> Model:
     """Both dictionaries; a window that one document repeats counts once."""
-    toxic = Counter(w for counts, _, label, _ in docs if label for w in counts)
-    ordinary = Counter(w for counts, _, label, _ in docs if not label for w in counts)
+    toxic = Counter(w for counts, _, label, *_ in docs if label for w in counts)
+    ordinary = Counter(w for counts, _, label, *_ in docs if not label for w in counts)
     return Model(trained(sorted(ordinary.elements()), 32 << 10),
                  trained(distinctive(toxic, ordinary, least_z), 16 << 10))
 
@@ -215,49 +369,91 @@ def calibrate(model: Model, docs: list[Document]) -> tuple[float, Model]:
     for saved in (2, 3, 4, 5):
         for share in (0.34, 0.5, 0.6, 0.7):
             hit = is_hit(cost[:, 0], cost[:, 1], saved, share)
-            x = features(np.bincount(of_doc, weights=times * hit[of_word], minlength=len(docs)), n)
-            w = fit_logistic(x, y, importance)
-            p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), 1e-9, 1 - 1e-9)
-            loss = float(-(importance * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / importance.sum())
+            x = features(np.bincount(of_doc, weights=times * hit[of_word], minlength=len(docs)), n)[:, :3]
+            loss, w = _fitted_loss(x, y, importance)
             if best is None or loss < best[0]:
-                best = loss, Model(model.ordinary, model.toxic, saved, share, tuple(w.tolist()))
+                best = loss, Model(model.ordinary, model.toxic, saved, share, w)
     return best
 
 
+def _fitted_loss(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> tuple[float, tuple[float, ...]]:
+    """(log loss, logistic weights)."""
+    w = fit_logistic(x, y, importance)
+    p = np.clip(1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), 1e-9, 1 - 1e-9)
+    loss = float(-(importance * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / importance.sum())
+    return loss, tuple(w.tolist())
+
+
+def widened(loss: float, model: Model, docs: list[Document], least_z: tuple[float, ...]) -> Model:
+    """The model with the stretches, at the strictness and the bytes to save of
+    least loss; as it was if they lessen none.
+
+    Any stretch saves bytes in the documents it was taken from, so each half
+    of the documents is calibrated with the stretches of the other half; the
+    dictionary in use holds those of both.
+    """
+    halves = [docs[0::2], docs[1::2]]
+    if any(len({d[2] for d in half}) < 2 for half in halves):
+        return model
+    scorer, order = Scorer(model), [*halves[0], *halves[1]]
+    hits = np.array([sum(n for w, n in d[0].items() if scorer.is_hit(w)) for d in order], dtype=float)
+    n, y, importance = (np.array([d[i] for d in order], dtype=float) for i in (1, 2, 3))
+    learned = [distinctive_stretches(half, least_z) for half in halves]
+    best = loss, None, model
+    for i, z in enumerate(least_z):
+        if not (learned[0][i] and learned[1][i]):
+            continue
+        saved = []
+        for half, other in ((0, 1), (1, 0)):
+            wide = Wide(replace(model, stretches=learned[other][i]))
+            saved += [wide.best(d[4]) for d in halves[half]]
+        for phrase in (0, 1, 2, 3, 4, 6):
+            for run in (0, 2, 4, 6):
+                least = float(phrase), float(run)
+                now, w = _fitted_loss(features(hits, n, beyond(saved, least)), y, importance)
+                if min(w[3:]) >= 0 and now < best[0]:
+                    best = now, z, replace(model, weights=w, least=least)
+    if best[1] is None:
+        return model
+    return replace(best[2], stretches=distinctive_stretches(docs, (best[1],))[0])
+
+
 def learn(docs: list[Document], least_z: tuple[float, ...] = (3.0, 4.5, 6.0)) -> Model:
     """The model of least loss over how strictly toxic windows are chosen: few
     documents hold too few repeats for a strict choice, many need one."""
-    return min((calibrate(dictionaries(docs, z), docs) for z in least_z), key=lambda tried: tried[0])[1]
+    return widened(*min((calibrate(dictionaries(docs, z), docs) for z in least_z), key=lambda tried: tried[0]), docs, least_z)
 
 
 def fit(sample: DataFrame, windows_each: int = WINDOWS) -> Model | None:
     """A model from rows (text, toxic, importance) of a bounded sample.
 
-    The driver gets per document its distinct windows with their counts, of at
-    most ``windows_each`` windows a class.
+    The driver gets per document its distinct windows with their counts and its
+    distinct wide windows, of either at most ``windows_each`` a class.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, toxic, weight in zip(*(c.to_pylist() for c in batch.columns)):
-                words = Counter(windows(text))
+                words, wide = Counter(windows(text)), wide_windows(text)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([list(words)], pa.list_(pa.binary())), pa.array([list(words.values())], pa.list_(pa.int64())),
                      pa.array([words.total()], pa.int64()), pa.array([toxic], pa.int32()), pa.array([weight], pa.float64()),
-                     pa.array([zlib.crc32(repr(sorted(words.items())).encode())], pa.int64())],
-                    ["words", "counts", "n", "toxic", "importance", "at"])
+                     pa.array([zlib.crc32(repr(sorted(words.items())).encode())], pa.int64()), pa.array([wide], pa.list_(pa.binary()))],
+                    ["words", "counts", "n", "toxic", "importance", "at", "wide"])
 
     rows = materialize(sample.select("text", "toxic", "importance").mapInArrow(
-        counted, "words array<binary>, counts array<long>, n long, toxic int, importance double, at long"), "toxicity-sample")
+        counted, "words array<binary>, counts array<long>, n long, toxic int, importance double, at long, wide array<binary>"),
+        "toxicity-sample")
     # whole documents in hash order, as long as their distinct windows fit the bound
-    sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum(F.size("words")).alias("n")).collect()}
+    sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum(F.greatest(F.size("words"), F.size("wide"))).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
     kept = rows.where(F.pmod("at", F.lit(1 << 20)) < F.lit(float(1 << 20)) * F.least(
         F.lit(1.0), F.lit(float(windows_each)) / F.when(F.col("toxic") == 1, sizes[1]).otherwise(sizes[0])))
     docs = []
     for row in kept.orderBy("at", "n").toLocalIterator():
-        docs.append((Counter(dict(zip(map(bytes, row.words), row.counts))), row.n, row.toxic, row.importance))
+        docs.append((Counter(dict(zip(map(bytes, row.words), row.counts))), row.n, row.toxic, row.importance,
+                     [bytes(w) for w in row.wide]))
     return learn(docs) if len({d[2] for d in docs}) == 2 else None
 
 
@@ -289,8 +485,9 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            hits = [scorer.hits(t) for t in batch.column(1).to_pylist()]
-            score = [logistic(model.weights, *h) for h in hits]
+            texts = batch.column(1).to_pylist()
+            hits = [scorer.hits(t) for t in texts]
+            score = [scorer.score_of(t, *h) for t, h in zip(texts, hits)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(score, pa.float64()), pa.array([h[0] for h in hits], pa.int64())],
                 ["doc_id", "score", "hits"])

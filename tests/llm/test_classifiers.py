@@ -158,3 +158,48 @@ def test_short_windows_tell_the_dictionaries_apart():
 def test_any_length_scores(text):
     model = toxicity.Model(b" plain ", b" scum ", 2, 0.5, (-3.0, 1.0, 1.0))
     assert 0 <= toxicity.Scorer(model).score(text) <= 1
+
+
+def recall_and_false_flags(spark, docs_of, docs, labels):
+    truth = {i: t for i, _, t in labels}
+    held = [r for r in toxicity.scored(docs_of(docs), spark.createDataFrame(labels, LABELS)).collect() if r.held_out]
+    return (np.mean([r.predicted for r in held if truth[r.doc_id]]), np.mean([r.predicted for r in held if not truth[r.doc_id]]))
+
+
+def plain_words(rng, n):
+    return [rng.choice("ta re mo li ku ne so pa".split()) + rng.choice("ren dal mit sor vek".split()) for _ in range(n)]
+
+
+def test_phrases_of_ordinary_words_are_toxic(spark, docs_of):
+    rng, docs, labels = random.Random(6), [], []
+    for i in range(900):
+        words, toxic = plain_words(rng, rng.randint(20, 100)), i % 3 == 0
+        at = rng.randrange(len(words) - 6)
+        if toxic:
+            words[at:at] = rng.choice(["taren momit kusor", "nevek soren lidal"]).split()
+        else:  # the same words, apart
+            words[at:at] = ["taren", "pamit", "momit", "redal", "kusor"]
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    recall, flags = recall_and_false_flags(spark, docs_of, docs, labels)
+    assert recall > 0.9 and flags < 0.03
+
+
+def test_toxic_words_in_runs_without_spaces(spark, docs_of):
+    rng, docs, labels = random.Random(8), [], []
+    for i in range(900):
+        words, toxic = plain_words(rng, rng.randint(20, 150)), i % 3 == 0
+        if toxic:
+            words.insert(rng.randrange(len(words) + 1), rng.choice(NASTY))
+        docs.append((i, "".join(words)))
+        labels.append((i, 1, int(toxic)))
+    recall, flags = recall_and_false_flags(spark, docs_of, docs, labels)
+    assert recall > 0.9 and flags < 0.03
+
+
+def test_wide_windows_overlap():
+    line = b" " + b" ".join(toxicity.windows(text := " ".join(map(str, range(300))))) + b" "
+    wide = toxicity.wide_windows(text)
+    half = toxicity.WIDE // 2
+    assert all(any(line[i:i + half] in w for w in wide) for i in range(len(line) - half + 1))
+    assert toxicity.wide_windows(None) == [] and toxicity.wide_windows("a") == [b" a "]
