@@ -428,7 +428,8 @@ def fit(sample: DataFrame, windows_each: int = WINDOWS) -> Model | None:
     """A model from rows (text, toxic, importance) of a bounded sample.
 
     The driver gets per document its distinct windows with their counts and its
-    distinct wide windows, of either at most ``windows_each`` a class.
+    distinct wide windows, of either at most ``windows_each`` a class.  Where
+    that thins a class, its other documents weigh more.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -448,11 +449,12 @@ def fit(sample: DataFrame, windows_each: int = WINDOWS) -> Model | None:
     sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum(F.greatest(F.size("words"), F.size("wide"))).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
-    kept = rows.where(F.pmod("at", F.lit(1 << 20)) < F.lit(float(1 << 20)) * F.least(
-        F.lit(1.0), F.lit(float(windows_each)) / F.when(F.col("toxic") == 1, sizes[1]).otherwise(sizes[0])))
+    rate = {label: min(1.0, windows_each / n) for label, n in sizes.items()}
+    kept = rows.where(F.pmod("at", F.lit(1 << 20)) < F.lit(float(1 << 20)) * F.when(
+        F.col("toxic") == 1, rate[1]).otherwise(rate[0]))
     docs = []
     for row in kept.orderBy("at", "n").toLocalIterator():
-        docs.append((Counter(dict(zip(map(bytes, row.words), row.counts))), row.n, row.toxic, row.importance,
+        docs.append((Counter(dict(zip(map(bytes, row.words), row.counts))), row.n, row.toxic, row.importance / rate[row.toxic],
                      [bytes(w) for w in row.wide]))
     return learn(docs) if len({d[2] for d in docs}) == 2 else None
 

@@ -203,3 +203,14 @@ def test_wide_windows_overlap():
     half = toxicity.WIDE // 2
     assert all(any(line[i:i + half] in w for w in wide) for i in range(len(line) - half + 1))
     assert toxicity.wide_windows(None) == [] and toxicity.wide_windows("a") == [b" a "]
+
+
+def test_thinned_classes_keep_their_shares(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(" ".join(plain_words(rng, 20)), int(i % 10 == 0), 2.0 if i % 10 else 1.0) for i in range(2000)]
+    sample = spark.createDataFrame(rows, "text string, toxic int, importance double")
+    monkeypatch.setattr(toxicity, "learn", lambda docs: docs)
+    docs = toxicity.fit(sample, windows_each=6000)  # of the ordinary about a sixth, of the toxic all
+    weight = {label: sum(d[3] for d in docs if d[2] == label) for label in (0, 1)}
+    assert len([d for d in docs if not d[2]]) < 600 and weight[1] == 200
+    assert abs(weight[0] / 3600 - 1) < 0.2
