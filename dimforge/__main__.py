@@ -14,9 +14,11 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
+from dimforge.audit import Audit
 from dimforge.config import Settings
 from dimforge.operators import origin_registry
 from dimforge.plans import loads
@@ -32,16 +34,29 @@ def main(argv: list[str] | None = None) -> dict[str, bool]:
     parser.add_argument("--owner", required=True, help="database the tables are published to")
     parser.add_argument("--base-path", default=None, help="shared folder for the published versions")
     parser.add_argument("--legacy-snapshot", default=None, help="field load: snapshot folder of the legacy rows")
+    parser.add_argument("--keep-versions", type=int, default=None, help="published versions to keep (default: all)")
+    parser.add_argument("--origin", type=int, default=None, help="reload only this origin's rows of the table (not with 'all')")
+    parser.add_argument("--missing-columns", choices=["error", "null"], default="error",
+                        help="raw columns that a table lacks: an error, or NULLs")
+    parser.add_argument("--audit", action="store_true", help="count values that were none of their type and rows without a match")
     args = parser.parse_args(argv)
+    if args.origin is not None and (args.load == "all" or args.legacy_snapshot):
+        parser.error("--origin reloads one table, from its raw tables")
 
     spark = SparkSession.builder.getOrCreate()
     with open(args.tables) as f:
         locations = json.load(f)
-    raw = RawTables(spark, locations)
+    raw = RawTables(spark, locations, args.missing_columns)
     registry = raw[REGISTRY_TABLE] if REGISTRY_TABLE in locations else origin_registry(spark)
-    settings = Settings.from_conf(spark)
-    common = dict(base_path=args.base_path, settings=settings)
-    if args.load == "field":
+    audit = Audit() if args.audit else None
+    settings = replace(Settings.from_conf(spark), audit=audit)
+    common = dict(base_path=args.base_path, settings=settings, keep_versions=args.keep_versions)
+    tables = {"field": loads.FIELD_TABLE, "site": loads.SITE_TABLE, "site-analysis": loads.SITE_TABLE,
+              "variety": loads.VARIETY_TABLE, "planning": loads.PLANNING_TABLE}
+    if args.origin is not None:
+        table = tables[args.load]
+        done = {table: loads.reload_origin(raw, registry, args.owner, table, args.origin, **common)}
+    elif args.load == "field":
         done = {loads.FIELD_TABLE: loads.load_field(raw, registry, args.owner,
                                                     legacy_snapshot=args.legacy_snapshot, **common)}
     elif args.load in ("site", "site-analysis"):
@@ -53,7 +68,8 @@ def main(argv: list[str] | None = None) -> dict[str, bool]:
         done = {loads.PLANNING_TABLE: loads.load_planning(raw, registry, args.owner, **common)}
     else:
         done = loads.load_all(raw, registry, args.owner, **common)
-    print(json.dumps({"owner": args.owner, "published": done}))
+    report = {"owner": args.owner, "published": done}
+    print(json.dumps(report | ({"lost": audit.counts()} if audit else {})))
     return done
 
 

@@ -6,10 +6,12 @@ Everything here is plain Spark configuration; nothing is tuned per query.
 from __future__ import annotations
 
 import tempfile
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
+from dimforge.audit import Audit
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -25,7 +27,7 @@ class Settings:
     ``strict_casts`` turns the staging
     ``try_cast`` into ``cast`` so malformed raw values raise instead of
     becoming NULL.  ``redact_tax_ids`` hides the middle digits of the tax ids
-    a site build publishes.
+    a site build publishes.  ``audit`` counts what staging and joins lose.
     """
 
     broadcast_max_rows: int = 1_000_000
@@ -33,6 +35,7 @@ class Settings:
     broadcast_budget_bytes: int = 512 * 1024 * 1024
     strict_casts: bool = False
     redact_tax_ids: bool = False
+    audit: Audit | None = field(default=None, compare=False, repr=False)
 
     @classmethod
     def from_conf(cls, spark: SparkSession) -> "Settings":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from dimforge.audit import note_cast
 from dimforge.functions._cols import ColumnLike, col
 
 # The raw layouts of the two systems, written with the pattern
@@ -21,4 +22,4 @@ def to_date(c: ColumnLike, fmt: str | None = None, strict: bool = False) -> Colu
     """
     v = col(c)
     parse = F.to_date if strict else F.try_to_date
-    return parse(v) if fmt is None else parse(v, fmt)
+    return note_cast(c, v, parse(v) if fmt is None else parse(v, fmt))

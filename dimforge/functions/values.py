@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from dimforge.functions._cols import ColumnLike, col
-from dimforge.functions.casts import typed
+from dimforge.functions.casts import cast_to, typed
 
 
 def positive_or_null(c: ColumnLike, to_type: str = "int", strict: bool = False) -> Column:
@@ -15,7 +15,7 @@ def positive_or_null(c: ColumnLike, to_type: str = "int", strict: bool = False)
     The test compares numbers, also for a text column; malformed text is
     NULL, or raises when ``strict``.
     """
-    return F.when(typed(c, "double", strict) > 0, typed(c, to_type, strict))
+    return F.when(cast_to(c, "double", strict) > 0, typed(c, to_type, strict))
 
 
 def flag_label(c: ColumnLike, true_value, yes: str, no: str) -> Column:

@@ -3,14 +3,20 @@
 from dimforge.operators.aggregate import group_sum
 from dimforge.operators.joins import (
     Lookup,
+    Sizes,
     bounded_fits,
     chain_lookups,
     check_lookups,
     checked_bytes,
     fits_broadcast,
     lookup_join,
+    match_flags,
     merge_lookups,
+    narrowed,
+    note_sizes,
+    proven_small,
     semi_join,
+    sizes_of,
 )
 from dimforge.operators.origin import attach_origin, origin_registry
 from dimforge.operators.stage import (
@@ -24,7 +30,7 @@ from dimforge.operators.stage import (
 from dimforge.operators.union import align, conform_origins, conform_union, union_all
 
 __all__ = [
-    "Lookup", "align", "all_equal", "bounded_fits", "chain_lookups", "check_lookups", "checked_bytes", "attach_origin", "conform_origins", "conform_union", "contains",
-    "fits_broadcast", "group_sum", "in_list", "lookup_join", "origin_cutover",
-    "origin_registry", "semi_join", "stage", "starts_with", "union_all",
+    "Lookup", "Sizes", "align", "all_equal", "bounded_fits", "chain_lookups", "check_lookups", "checked_bytes", "attach_origin", "conform_origins", "conform_union", "contains",
+    "fits_broadcast", "group_sum", "in_list", "lookup_join", "match_flags", "merge_lookups", "narrowed", "note_sizes", "origin_cutover",
+    "origin_registry", "proven_small", "semi_join", "sizes_of", "stage", "starts_with", "union_all",
 ]

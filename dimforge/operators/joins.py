@@ -1,17 +1,18 @@
 """Lookup joins with a size-checked broadcast.
 
-A lookup side is broadcast only after a count proves it holds at most
+A lookup side is broadcast only after its size is proven to be at most
 ``Settings.broadcast_max_rows`` rows and ``Settings.broadcast_max_bytes``
 bytes of values; a side that grows with the data falls back to a shuffle
-join (sort-merge), where AQE splits a skewed key over several tasks.  The
-checks of a whole build run as one Spark job.
+join (sort-merge), where AQE splits a skewed key over several tasks.  Sizes
+recorded when a table was written prove it without a job; the other lookups
+of a whole build are counted in one Spark job.
 """
 
 from __future__ import annotations
 
 import threading
 import weakref
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,14 +25,30 @@ from dimforge.config import DEFAULT, Settings
 _checked: "weakref.WeakKeyDictionary[DataFrame, tuple[tuple[int, int], bool, int]]" = weakref.WeakKeyDictionary()
 # A frame whose rows include all of the key frame's.
 _supersets: "weakref.WeakKeyDictionary[DataFrame, DataFrame]" = weakref.WeakKeyDictionary()
+# Sizes recorded when the rows a frame reads were written, and bounds derived from them:
+# (rows, bytes of the text values) that a frame holds at most.
+_sizes: "weakref.WeakKeyDictionary[DataFrame, Sizes]" = weakref.WeakKeyDictionary()
+_bounds: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int]]" = weakref.WeakKeyDictionary()
 _lock = threading.Lock()
 
+
+@dataclass(frozen=True)
+class Sizes:
+    """Rows of a written table, and bytes of the values of each text column."""
+
+    rows: int
+    bytes: Mapping[str, int]
+
 _FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
 
 
+def is_text(kind: str) -> bool:
+    return kind == "string" or kind.startswith(("varchar", "char"))
+
+
 def _width(kind: str) -> int | None:
     """Bytes of a fixed-width type; None for text, binary and nested types."""
-    if kind in ("string", "binary") or kind.startswith(("array", "map", "struct", "varchar", "char")):
+    if is_text(kind) or kind == "binary" or kind.startswith(("array", "map", "struct")):
         return None
     return 16 if kind.startswith("decimal") else _FIXED_WIDTH.get(kind, 8)
 
@@ -61,6 +78,50 @@ def note_superset(df: DataFrame, superset: DataFrame) -> DataFrame:
     return df
 
 
+def note_sizes(df: DataFrame, sizes: Sizes) -> DataFrame:
+    """Records the sizes of the written table that ``df`` reads whole."""
+    with _lock:
+        _sizes[df] = sizes
+        _bounds[df] = (sizes.rows, sum(sizes.bytes.values()))
+    return df
+
+
+def sizes_of(df: DataFrame) -> Sizes | None:
+    with _lock:
+        return _sizes.get(df)
+
+
+def narrowed(df: DataFrame, where: Column | None, *columns: str | tuple[str, str]) -> DataFrame:
+    """Filtered rows and picked columns (``name``, or ``(name, alias)``) of a table.
+
+    What is recorded about the table's size bounds the result's: a filter
+    leaves at most its rows, a column at most its bytes.
+    """
+    pairs = [(c, c) if isinstance(c, str) else c for c in columns]
+    out = (df if where is None else df.where(where)).select(*[F.col(c).alias(a) for c, a in pairs])
+    sizes = sizes_of(df)
+    if sizes and all(c in sizes.bytes or _width(df.schema[c].dataType.simpleString()) is not None for c, _ in pairs):
+        with _lock:
+            _bounds[out] = (sizes.rows, sum(sizes.bytes.get(c, 0) for c, _ in pairs))
+    return out
+
+
+def _bounded(df: DataFrame) -> tuple[int, int] | None:
+    """(rows, bytes) that a frame holds at most, by what was recorded."""
+    with _lock:
+        bound = _bounds.get(_supersets.get(df, df))
+    if bound is None:
+        return None
+    rows, text = bound
+    return rows, text + rows * sum(_width(f.dataType.simpleString()) or 0 for f in df.schema.fields)
+
+
+def proven_small(df: DataFrame, settings: Settings = DEFAULT) -> bool:
+    """Whether recorded sizes alone prove that ``df`` may be broadcast."""
+    held = _bounded(df)
+    return held is not None and held[0] <= settings.broadcast_max_rows and held[1] <= settings.broadcast_max_bytes
+
+
 def _too_large(df: DataFrame, max_bytes: int) -> bool:
     """Whether the files a frame reads already pass the bound, by the plan's
     estimate.  Asked only of plans that read files and join nothing: a join's
@@ -76,7 +137,8 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | No
     """For each frame, whether it has at most ``max_rows`` rows and at most
     ``max_bytes`` bytes of values.
 
-    One job for all frames: the frames are tagged, unioned and summed per
+    A frame whose recorded size stays within the bound is not counted.  One
+    job for all others: the frames are tagged, unioned and summed per
     tag.  The aggregation is partial on every task (one row per frame and
     task) and final on one small row per frame, so no task receives the
     rows of a large frame, and the fact table is never read by a check.
@@ -89,6 +151,13 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | No
         known = {i: _checked.get(f) for i, f in enumerate(frames)}
         sources = [_supersets.get(f, f) for f in frames]
     todo = [i for i, k in known.items() if k is None or k[0] != bound]
+    for i in list(todo):
+        held = _bounded(frames[i])
+        if held and held[0] <= max_rows and (max_bytes is None or held[1] <= max_bytes):
+            known[i] = (bound, True, held[1])
+            with _lock:
+                _checked[frames[i]] = known[i]
+            todo.remove(i)
     if max_bytes is not None:
         for i in [i for i in todo if _too_large(sources[i], max_bytes)]:
             known[i] = (bound, False, max_bytes + 1)
@@ -202,7 +271,28 @@ def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings
         # a side not proven small is pinned to a shuffle join, so no session's
         # estimate-based threshold can broadcast it
         side = F.broadcast(lk.frame) if use[i] else lk.frame.hint("merge")
-        out = out.join(side, lk.on, lk.how)
+        if settings.audit and lk.how == "inner":
+            names = _key_names(lk.on) or [str(lk.on)[8:-2]]
+            out = settings.audit.joined(out, side, lk.on, f"join on {', '.join(names)}")
+        else:
+            out = out.join(side, lk.on, lk.how)
+    return out
+
+
+def match_flags(left: DataFrame, lookups: Sequence[tuple[str, Lookup]], settings: Settings = DEFAULT) -> DataFrame:
+    """``left`` joined to lookups that may each miss, with a flag column for
+    each (its name, then the lookup): true where the row has a match in it.
+
+    One pass over ``left`` tells of every lookup of a star or snowflake, where
+    an anti join each would read it as often.  A lookup whose key comes from
+    one that missed has no match either.
+    """
+    checked = iter(bounded_fits([lk.frame for _, lk in lookups], settings.broadcast_max_rows, settings.broadcast_max_bytes))
+    out = left
+    for (name, lk), fits in zip(lookups, checked):
+        side = lk.frame.withColumn(name, F.lit(True))
+        out = out.join(F.broadcast(side) if fits else side.hint("merge"), lk.on, "left")
+        out = out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
     return out
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimforge.audit import observed
 from dimforge.functions._cols import ColumnLike, col
 from dimforge.operators.joins import note_superset
 
@@ -19,11 +20,13 @@ def stage(df: DataFrame, columns: Sequence[ColumnLike], where: Column | None = N
     predicate on an untouched raw column reaches the Parquet scan.  Pass
     ``distinct=False`` when a later DISTINCT over the same rows makes this one
     redundant (joins and projections only in between): it saves a shuffle of
-    the staged table and gives the same result.
+    the staged table and gives the same result.  In an audited build the
+    values that the projection makes NULL are counted, in the rows that pass
+    the filter.
     """
     if where is not None:
         df = df.where(where)
-    out = df.select(*(col(c) for c in columns))
+    out = observed(df, [col(c) for c in columns])
     return note_superset(out.distinct(), out) if distinct else out
 
 

@@ -9,40 +9,45 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dimforge.config import DEFAULT, Settings
+from dimforge.functions.casts import cast_to
 from dimforge.operators.origin import attach_origin
 
 
-def align(df: DataFrame, schema: StructType, allow_missing: bool = False) -> DataFrame:
+def align(df: DataFrame, schema: StructType, allow_missing: bool = False, strict: bool = False) -> DataFrame:
     """Rename and cast ``df``'s columns *by position* to ``schema``.
 
     Positional like SQL ``UNION``: the second system may name a column
     differently, the schema's name wins.  With ``allow_missing`` a side with
-    fewer columns gets typed NULLs for the trailing ones.
+    fewer columns gets typed NULLs for the trailing ones.  As in staging, a
+    value that is none of the published type becomes NULL unless ``strict``.
     """
-    cols = df.columns
+    cols, kinds = df.columns, [f.dataType for f in df.schema.fields]
     if len(cols) > len(schema.fields) or (len(cols) < len(schema.fields) and not allow_missing):
         raise ValueError(f"{len(cols)} columns for a {len(schema.fields)}-column schema")
     out = []
     for i, field in enumerate(schema.fields):
         if i < len(cols):
-            out.append(F.col(f"`{cols[i]}`").cast(field.dataType).alias(field.name))
+            value = F.col(f"`{cols[i]}`")
+            if kinds[i] != field.dataType:
+                value = cast_to(value, field.dataType, strict)
+            out.append(value.alias(field.name))
         else:
             out.append(F.lit(None).cast(field.dataType).alias(field.name))
     return df.select(*out)
 
 
-def union_all(parts: Sequence[DataFrame], schema: StructType, allow_missing: bool = False) -> DataFrame:
+def union_all(parts: Sequence[DataFrame], schema: StructType, allow_missing: bool = False, strict: bool = False) -> DataFrame:
     """``UNION ALL`` of the aligned parts."""
-    aligned = [align(p, schema, allow_missing) for p in parts]
+    aligned = [align(p, schema, allow_missing, strict) for p in parts]
     out = aligned[0]
     for p in aligned[1:]:
         out = out.unionByName(p)
     return out
 
 
-def conform_union(parts: Sequence[DataFrame], schema: StructType, allow_missing: bool = False) -> DataFrame:
+def conform_union(parts: Sequence[DataFrame], schema: StructType, allow_missing: bool = False, strict: bool = False) -> DataFrame:
     """SQL ``UNION``: aligned union, then one DISTINCT."""
-    return union_all(parts, schema, allow_missing).distinct()
+    return union_all(parts, schema, allow_missing, strict).distinct()
 
 
 def conform_origins(parts: Sequence[DataFrame], schema: StructType, registry: DataFrame,
@@ -58,6 +63,6 @@ def conform_origins(parts: Sequence[DataFrame], schema: StructType, registry: Da
     single task.
     """
     body = StructType([f for f in schema.fields if f.name != label_col])
-    unioned = union_all(parts, body, allow_missing)
+    unioned = union_all(parts, body, allow_missing, settings.strict_casts)
     labelled = attach_origin(unioned, registry, origin_col, label_col, settings)
     return labelled.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields)).distinct()

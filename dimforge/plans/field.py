@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge import schemas
+from dimforge.audit import audited
 from dimforge.config import DEFAULT, Settings
 from dimforge.functions import DAY_MONTH_YEAR, origin_key, to_date, typed, typed_constant
 from dimforge.operators import conform_origins, stage, starts_with
@@ -72,22 +73,25 @@ def legacy_rows(staged: DataFrame) -> DataFrame:
     )
 
 
+@audited
 def build_field(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Settings = DEFAULT,
-                legacy_snapshot: str | None = None) -> DataFrame:
+                legacy_snapshot: str | None = None, legacy_token: str | None = None) -> DataFrame:
     """The conformed field table: both origins, labelled, de-duplicated.
 
     ``legacy_snapshot``: a folder in the shared storage; the legacy rows are
     computed and written there once and read back afterwards, which also
-    cuts their lineage.
+    cuts their lineage.  ``legacy_token`` names what they are made from; a
+    snapshot made from something else is redone (see :func:`snapshot_once`).
     """
     fields = raw[RAW_CURRENT]
     current = current_rows(stage_current(fields, settings, distinct=False))
     legacy = legacy_rows(stage_legacy(raw[RAW_LEGACY], settings, distinct=False))
     if legacy_snapshot:
-        legacy = snapshot_once(legacy.distinct(), legacy_snapshot)
+        legacy = snapshot_once(legacy.distinct(), legacy_snapshot, legacy_token)
     return conform_origins([current, legacy], schemas.FIELD, registry, settings=settings)
 
 
+@audited
 def field_of_origin(raw: Mapping[str, DataFrame], registry: DataFrame, origin: int,
                     settings: Settings = DEFAULT) -> DataFrame:
     """One origin's conformed rows (labelled, distinct)."""

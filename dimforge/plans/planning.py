@@ -12,15 +12,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimforge import schemas
+from dimforge.audit import audited
 from dimforge.config import DEFAULT, Settings
 from dimforge.functions import (
     COMPACT_STAMP,
     as_text,
     business_key,
+    cast_to,
     origin_key,
     season_key_current,
     season_key_legacy,
@@ -37,7 +39,9 @@ from dimforge.operators import (
     group_sum,
     in_list,
     merge_lookups,
+    narrowed,
     origin_cutover,
+    proven_small,
     stage,
     starts_with,
 )
@@ -160,11 +164,7 @@ def stage_simulations(raw: DataFrame, settings: Settings = DEFAULT) -> DataFrame
     return stage(raw, [
         typed("SAF_ANO_SAFRA", "int", s).alias("SAF_ANO_SAFRA"),
         typed("COD_SIMULACAO", "int", s).alias("COD_SIMULACAO"),
-    ], where=in_list(typed("SIM_ATIVA", "int", s), ACTIVE_SIMULATION))
-
-
-def _of_origin(df: DataFrame, origin: int) -> DataFrame:
-    return df.where(F.col("ID_ORIGEM_DB") == F.lit(origin))
+    ], where=in_list(cast_to("SIM_ATIVA", "int", s), ACTIVE_SIMULATION))
 
 
 def planning_lookups(raw: Mapping[str, DataFrame], dims: ConformedTables,
@@ -176,44 +176,51 @@ def planning_lookups(raw: Mapping[str, DataFrame], dims: ConformedTables,
     the origin is the constant 2000 there, so it becomes a filter on each
     table, pushed to its scan, and the join key is the local id alone.
     Legacy system: matched on the stored surrogate keys.  Those of the legacy
-    origin begin with its id, so that prefix is a filter on each table,
-    pushed to its scan too.  Site and farm share their key, so they are joined
-    to each other first and the fact meets that key once (a hot site can then
-    be split, which a second join on the same key would forbid).
+    origin begin with its id, so that prefix, or the origin itself, is a filter
+    on each table, pushed to its scan too.  Site and farm share their key, so they are joined
+    to each other first, unless their recorded sizes prove that both can be
+    broadcast, and the fact meets that key once (a hot site can then be split,
+    which a second join on the same key would forbid).  Where a table was
+    written with its sizes, they bound the lookups made from it, and no check
+    counts those.
     """
-    o = schemas.CURRENT
+    current = F.col("ID_ORIGEM_DB") == F.lit(schemas.CURRENT)
+    legacy = F.col("ID_ORIGEM_DB") == F.lit(schemas.LEGACY)
 
-    def legacy(df: DataFrame, key: str, alias: str, *columns: str) -> DataFrame:
-        return df.where(starts_with(key, str(schemas.LEGACY))).select(F.col(key).alias(alias), *columns)
+    def keyed(key: str) -> Column:
+        return starts_with(key, str(schemas.LEGACY))
 
-    site_key = legacy(dims.site, "ID_SEDE", "K_SITE", "COD_SEDE", "UF", "REGIAO", "REGIONAL")
-    farm_key = legacy(dims.farm, "ID_FAZENDA", "K_SITE", "SIGLA_FAZENDA")
-    return {
+    lookups = {
         "scenarios": stage_scenarios(raw[RAW_SCENARIO], settings),
         "periods": stage_periods(raw[RAW_PERIOD], settings),
-        "field": _of_origin(dims.field, o).select(F.col("ID_DOMAIN").alias("ID_UPN3_FISICO"), "COD_LAVOURA"),
-        "season": _of_origin(dims.season, o).select("ID_SAFRA", "ANO_AGRICOLA", "SAFRINHA"),
-        "variety": _of_origin(dims.variety, o).select(
-            F.col("ID_DOMAIN").alias("ID_VARIEDADE"), "COD_VARIEDADE", "CICLO_VARIEDADE"),
-        "crop": _of_origin(dims.crop, o).select(
-            F.col("ID_DOMAIN").alias("ID_OCUPACAO"), "COD_CULTURA", "CULTURA", "FATOR_CONVERSAO"),
-        "site": _of_origin(dims.site, o).select(
-            F.col("ID_DOMAIN").alias("ID_UPNIVEL2"), "COD_SEDE", "UF", "REGIAO", "REGIONAL", "ID_FAZENDA"),
-        "farm": dims.farm.select("ID_FAZENDA", "SIGLA_FAZENDA"),
+        "field": narrowed(dims.field, current, ("ID_DOMAIN", "ID_UPN3_FISICO"), "COD_LAVOURA"),
+        "season": narrowed(dims.season, current, "ID_SAFRA", "ANO_AGRICOLA", "SAFRINHA"),
+        "variety": narrowed(dims.variety, current, ("ID_DOMAIN", "ID_VARIEDADE"), "COD_VARIEDADE", "CICLO_VARIEDADE"),
+        "crop": narrowed(dims.crop, current, ("ID_DOMAIN", "ID_OCUPACAO"), "COD_CULTURA", "CULTURA", "FATOR_CONVERSAO"),
+        "site": narrowed(dims.site, current, ("ID_DOMAIN", "ID_UPNIVEL2"), "COD_SEDE", "UF", "REGIAO", "REGIONAL", "ID_FAZENDA"),
+        "farm": narrowed(dims.farm, None, "ID_FAZENDA", "SIGLA_FAZENDA"),
         "active": stage_simulations(raw[RAW_SIMULATION], settings),
-        "field_key": legacy(dims.field, "ID_LAV_FISICA", "K_FIELD", "COD_LAVOURA"),
-        "variety_key": legacy(dims.variety, "ID_VARIEDADE", "K_VARIETY", "COD_VARIEDADE", "CICLO_VARIEDADE"),
-        "crop_key": legacy(dims.crop, "ID_CULTURA", "K_CROP", "COD_CULTURA", "CULTURA", "FATOR_CONVERSAO"),
-        "site_farm_key": merge_lookups(site_key, farm_key, "K_SITE"),
-        "season_key": legacy(dims.season, "ID_SAFRA", "K_SEASON", "SAFRINHA"),
+        # tables built here keep the origin's rows in a folder of their own, so the origin prunes more than the key's prefix
+        "field_key": narrowed(dims.field, legacy & keyed("ID_LAV_FISICA"), ("ID_LAV_FISICA", "K_FIELD"), "COD_LAVOURA"),
+        "variety_key": narrowed(dims.variety, legacy & keyed("ID_VARIEDADE"), ("ID_VARIEDADE", "K_VARIETY"),
+                                "COD_VARIEDADE", "CICLO_VARIEDADE"),
+        "crop_key": narrowed(dims.crop, keyed("ID_CULTURA"), ("ID_CULTURA", "K_CROP"), "COD_CULTURA", "CULTURA", "FATOR_CONVERSAO"),
+        "season_key": narrowed(dims.season, keyed("ID_SAFRA"), ("ID_SAFRA", "K_SEASON"), "SAFRINHA"),
+    }
+    pair = {
+        "site_key": narrowed(dims.site, legacy & keyed("ID_SEDE"), ("ID_SEDE", "K_SITE"), "COD_SEDE", "UF", "REGIAO", "REGIONAL"),
+        "farm_key": narrowed(dims.farm, keyed("ID_FAZENDA"), ("ID_FAZENDA", "K_SITE"), "SIGLA_FAZENDA"),
     }
+    if all(proven_small(side, settings) for side in pair.values()):
+        return lookups | pair
+    return lookups | {"site_farm_key": merge_lookups(*pair.values(), "K_SITE")}
 
 
 def _of_scenarios(plan: DataFrame, scenarios: DataFrame, settings: Settings) -> DataFrame:
     """Raw plan rows of the wanted scenarios.  The scenario is part of the
     grain, so rows of others are dropped before the sum shuffles them."""
     small = fits_broadcast(scenarios, settings.broadcast_max_rows, settings.broadcast_max_bytes)
-    keyed = plan.withColumn("K_SCENARIO", typed("ID_CENARIO", "bigint", settings.strict_casts))
+    keyed = plan.withColumn("K_SCENARIO", cast_to("ID_CENARIO", "bigint", settings.strict_casts))
     wanted = scenarios.select(F.col("ID_CENARIO").alias("K_SCENARIO"))
     return chain_lookups(keyed, [Lookup(wanted, "K_SCENARIO", "left_semi", small)], settings).drop("K_SCENARIO")
 
@@ -281,7 +288,7 @@ def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: S
         Lookup(lk["field_key"], "K_FIELD"),
         Lookup(lk["variety_key"], "K_VARIETY"),
         Lookup(lk["crop_key"], "K_CROP"),
-        Lookup(lk["site_farm_key"], "K_SITE"),
+        *(Lookup(lk[name], "K_SITE") for name in ("site_key", "farm_key", "site_farm_key") if name in lk),
         Lookup(lk["season_key"], "K_SEASON"),
     ], settings)
     return out.select(
@@ -310,6 +317,7 @@ def legacy_rows(raw: Mapping[str, DataFrame], dims: ConformedTables, settings: S
     )
 
 
+@audited
 def build_planning(raw: Mapping[str, DataFrame], dims: ConformedTables, registry: DataFrame,
                    settings: Settings = DEFAULT, last_year: int = LEGACY_LAST_YEAR,
                    grain: str = "raw") -> DataFrame:
@@ -320,6 +328,7 @@ def build_planning(raw: Mapping[str, DataFrame], dims: ConformedTables, registry
     return conform_origins(parts, schemas.PLANNING, registry, settings=settings)
 
 
+@audited
 def planning_of_origin(raw: Mapping[str, DataFrame], dims: ConformedTables, registry: DataFrame,
                        origin: int, settings: Settings = DEFAULT) -> DataFrame:
     """One origin's conformed rows (labelled, distinct)."""

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge import schemas
+from dimforge.audit import audited
 from dimforge.config import DEFAULT, Settings
 from dimforge.functions import farm_code, origin_key, site_code, tax_id_mask, title_case, trimmed, typed
-from dimforge.operators import Lookup, chain_lookups, check_lookups, conform_origins, stage, starts_with
+from dimforge.operators import Lookup, chain_lookups, check_lookups, conform_origins, match_flags, stage, starts_with
 
 # Raw table names read by this plan, and the farm prefix.
 RAW_SITE = "Upnivel2"
@@ -159,6 +160,7 @@ def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
     return out.select(*cols)
 
 
+@audited
 def build_site(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Settings = DEFAULT,
                current_region_how: str = "left", legacy_region_how: str = "inner") -> DataFrame:
     """The conformed site table (12 columns)."""
@@ -169,6 +171,7 @@ def build_site(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Sett
     return conform_origins(parts, schemas.SITE, registry, settings=settings)
 
 
+@audited
 def build_site_analysis(raw: Mapping[str, DataFrame], registry: DataFrame,
                         settings: Settings = DEFAULT) -> DataFrame:
     """Analysis variant: all legacy companies, plus ``ID_FAZENDA_PROD``
@@ -180,6 +183,36 @@ def build_site_analysis(raw: Mapping[str, DataFrame], registry: DataFrame,
                            settings=settings)
 
 
+#: What a site may lack, with the lookup that would hold it, in the order of the joins.
+MISSING_FLAGS = {"SEM_UNIDADE": "ID_UPNIVEL1", "SEM_FILIAL": "ID_FILIAL", "SEM_MUNICIPIO": "ID_MUNICIPIO",
+                 "SEM_UF": "ID_UNIFEDERACAO", "SEM_REGIAO": "COD_FAZENDA"}
+
+
+def unmatched_sites(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> DataFrame:
+    """Sites of both origins (all legacy companies, as in the analysis) that miss
+    a lookup, with a flag for each: the rows that the inner joins drop, or that
+    are published without a region.
+
+    One pass over the sites: every lookup is joined with a match flag.  A flag
+    is NULL where the origin has no such lookup.
+    """
+    lk = site_lookups(raw, settings)
+    check_lookups(lk.values(), settings)
+    frames = dict(zip(MISSING_FLAGS, (lk["units"], lk["branches"], lk["cities"], lk["states"], lk["regions"])))
+    sites = stage_sites(raw[RAW_SITE], settings, distinct=False)
+    current = match_flags(sites, [(flag, Lookup(frames[flag], key)) for flag, key in MISSING_FLAGS.items()], settings)
+    companies = stage_companies(raw[RAW_COMPANY], settings, analysis=True, distinct=False)
+    legacy = match_flags(companies, [("SEM_REGIAO", Lookup(lk["regions"], "COD_FAZENDA"))], settings)
+
+    def report(df: DataFrame, key: str, code: str) -> DataFrame:
+        flags = [(~F.col(f)).alias(f) if f in df.columns else F.lit(None).cast("boolean").alias(f) for f in MISSING_FLAGS]
+        return df.select("ID_ORIGEM_DB", F.col(key).alias("ID_DOMAIN"), F.col(code).alias("COD_SEDE"), *flags)
+
+    both = report(current, "ID_UPNIVEL2", "COD_SEDE").unionByName(report(legacy, "COD_EMPR", "ABV_EMPR"))
+    return both.where(" OR ".join(MISSING_FLAGS)).distinct()
+
+
+@audited
 def site_of_origin(raw: Mapping[str, DataFrame], registry: DataFrame, origin: int,
                    settings: Settings = DEFAULT, analysis: bool = False) -> DataFrame:
     """One origin's conformed rows (labelled, distinct); ``analysis`` gives

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge import schemas
+from dimforge.audit import audited
 from dimforge.config import DEFAULT, Settings
 from dimforge.functions import (
     first_available,
@@ -157,6 +158,7 @@ def legacy_rows(raw: Mapping[str, DataFrame], settings: Settings = DEFAULT,
     )
 
 
+@audited
 def build_variety(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Settings = DEFAULT,
                   normalise_labels: bool = False) -> DataFrame:
     """The conformed variety table: both origins, labelled, de-duplicated."""
@@ -166,6 +168,7 @@ def build_variety(raw: Mapping[str, DataFrame], registry: DataFrame, settings: S
                            schemas.VARIETY, registry, settings=settings)
 
 
+@audited
 def variety_of_origin(raw: Mapping[str, DataFrame], registry: DataFrame, origin: int,
                       settings: Settings = DEFAULT) -> DataFrame:
     """One origin's conformed rows (labelled, distinct)."""

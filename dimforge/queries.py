@@ -63,7 +63,7 @@ from dimforge.plans import (
 from dimforge.schemas import parse_schema
 from dimforge.sources.catalog import RawTables, register_views
 from dimforge.sources.driver_tables import DriverTables
-from dimforge.sources.snapshot import preview, publish, snapshot_once, snapshot_path
+from dimforge.sources.snapshot import input_token, preview, publish, snapshot_once, snapshot_path
 from dimforge.plans import loads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,7 +119,7 @@ def conformed_tables(spark: SparkSession, sf_dir: str, materialize: bool = True)
         run = uuid.uuid4().hex[:12]
 
         def write(name: str) -> DataFrame:
-            return snapshot_once(builds[name](), snapshot_path(spark, "conformed", run, name))
+            return snapshot_once(builds[name](), snapshot_path(spark, "conformed", run, name), partition_by=loads.ORIGIN)
 
         with ThreadPoolExecutor(max_workers=len(builds)) as pool:
             done = dict(zip(builds, pool.map(write, builds)))
@@ -455,6 +455,11 @@ def tax_id_mask_query(spark, sf_dir):
     )
 
 
+def site_unmatched(spark, sf_dir):
+    """Sites that miss a unit, branch, town, state or region, with a flag for each."""
+    return site.unmatched_sites(DriverTables(spark, sf_dir).site_raw(), Settings.from_conf(spark))
+
+
 def _customer_stage(t: DriverTables) -> DataFrame:
     return stage(t.table("customer"), [
         typed("c_custkey", "bigint").alias("ID_DOMAIN"),
@@ -471,6 +476,30 @@ def snapshot_roundtrip(spark, sf_dir):
     return snapshot_once(staged, path)
 
 
+def snapshot_stale_redone(spark, sf_dir):
+    """Snapshots that are redone: of fewer columns, and of another input; then one that is not."""
+    path = snapshot_path(spark, "snapshot", uuid.uuid4().hex[:12], "stale")
+    customer = _t(spark, sf_dir).table("customer")
+    staged = _customer_stage(_t(spark, sf_dir))
+    token = input_token(customer)
+    snapshot_once(staged.select("ID_DOMAIN", "NOME"), path, token)  # other columns
+    snapshot_once(staged.where("ID_DOMAIN % 2 = 0"), path, "half of the rows")  # another input
+    snapshot_once(staged, path, token)
+    return snapshot_once(staged.where(F.lit(False)), path, token)  # fresh: read, not computed
+
+
+def reload_one_origin(spark, sf_dir):
+    """The site table published for both origins, its legacy rows from half of the companies;
+    then the legacy origin alone is built from all of them and published again."""
+    raw = DriverTables(spark, sf_dir).site_raw()
+    owner, base = f"dimforge_reload_{uuid.uuid4().hex[:10]}", snapshot_path(spark, "published")
+    registry, cfg = origin_registry(spark), Settings.from_conf(spark)
+    old = {**raw, "ga_empr": raw["ga_empr"].where(F.col("COD_EMPR") % 2 == 0)}
+    loads.load_site(old, registry, owner, base, settings=cfg)
+    loads.reload_origin(raw, registry, owner, loads.SITE_TABLE, schemas.LEGACY, base, cfg)
+    return loads.published(spark, owner, loads.SITE_TABLE)
+
+
 def publish_roundtrip(spark, sf_dir):
     """Publish to ``owner.table`` (new version folder + catalog swap), read the table back."""
     staged = _customer_stage(_t(spark, sf_dir))
@@ -584,7 +613,9 @@ QUERIES: dict[str, Query] = {
     "date_formats": date_formats,
     "tax_id_mask": tax_id_mask_query,
     "snapshot_roundtrip": snapshot_roundtrip,
+    "snapshot_stale_redone": snapshot_stale_redone,
     "publish_roundtrip": publish_roundtrip,
+    "reload_one_origin": reload_one_origin,
     "lookup_number_text": lookup_number_text,
     "raw_catalog_scan": raw_catalog_scan,
     "text_positive_or_null": text_positive_or_null,
@@ -597,6 +628,7 @@ QUERIES: dict[str, Query] = {
     "conformed_field": conformed_field,
     "conformed_site": conformed_site,
     "conformed_site_analysis": conformed_site_analysis,
+    "site_unmatched": site_unmatched,
     "conformed_variety": conformed_variety,
     "conformed_plan": conformed_plan,
 }

@@ -6,6 +6,8 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dimforge.sources.raw_schemas import declared
+
 
 def quote(identifier: str) -> str:
     """Back-quote each part of ``db.table``."""
@@ -18,18 +20,20 @@ class RawTables(Mapping[str, DataFrame]):
     A location holding ``/`` is a Parquet folder (``spark.read.parquet``),
     anything else a catalog name (``spark.table``, names case-insensitive).
     Frames are created lazily, so only the tables a plan reads are scanned,
-    and only the columns it uses (Parquet column pruning).
+    and only the columns it uses (Parquet column pruning).  A declared raw
+    table (``raw_schemas``) that lacks a column is a named error when it is
+    read, or with ``missing="null"`` gets NULLs for it.
     """
 
-    def __init__(self, spark: SparkSession, locations: Mapping[str, str]):
+    def __init__(self, spark: SparkSession, locations: Mapping[str, str], missing: str = "error"):
         self._spark = spark
         self._locations = dict(locations)
+        self._missing = missing
 
     def __getitem__(self, name: str) -> DataFrame:
         loc = self._locations[name]
-        if "/" in loc:
-            return self._spark.read.parquet(loc)
-        return self._spark.table(quote(loc))
+        df = self._spark.read.parquet(loc) if "/" in loc else self._spark.table(quote(loc))
+        return declared(df, name, self._missing)
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._locations)
