@@ -66,7 +66,7 @@ def session_conf(cpus: int) -> dict[str, str]:
     package counted the side (``lookup_join``) or because AQE measured its
     materialised shuffle output below the adaptive threshold at run time.
     """
-    return {
+    return runtime_filter_conf() | {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
         "spark.sql.shuffle.partitions": str(max(8, cpus)),
@@ -83,6 +83,27 @@ def session_conf(cpus: int) -> dict[str, str]:
     }
 
 
+def runtime_filter_conf(least_scan: str = "10g", most_lookup: str = "4g") -> dict[str, str]:
+    """Spark settings for facts joined to lookups that are too large to broadcast.
+
+    Spark then makes a Bloom filter of the lookup's keys (up to ``most_lookup``
+    bytes of it, where a filter such as the origin's narrows it) and drops the
+    fact rows that have no match before their first shuffle, also below the
+    grain sum.  It costs a pass over the lookup, so it is done for facts of at
+    least ``least_scan`` bytes.  The filter is made for 4 million keys
+    and 4 MB; more keys let more rows through, and no row with a match is lost.
+    """
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    return {
+        f"{prefix}enabled": "true",
+        f"{prefix}applicationSideScanSizeThreshold": least_scan,
+        f"{prefix}creationSideThreshold": most_lookup,
+        f"{prefix}expectedNumItems": "4000000",
+        f"{prefix}numBits": str(32 << 20),
+        "spark.sql.optimizer.runtimeFilter.number.threshold": "16",
+    }
+
+
 def local_session(cpus: int = 8, app: str = "dimforge", memory: str = "16g") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
