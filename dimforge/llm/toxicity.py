@@ -13,14 +13,14 @@ score is a logistic function of its hits.
   on those windows of toxic documents whose character n-grams are
   significantly more frequent there than in ordinary documents.
 - A phrase of ordinary words, or a toxic word in a long run without spaces, is
-  no such window.  So the text, its words one space apart, is read a second
-  time in wide windows of ``WIDE`` bytes that overlap by half.  The stretches
-  of toxic documents whose byte n-grams are in significantly more toxic
-  documents make a second toxic dictionary.  Two to four words in a row, and a
-  wide window with a run of more than ``_RUN`` bytes, are compressed under the
-  ordinary dictionary with and without the stretches behind it.  The most that
-  one phrase, and one run, of a document saves counts beside its hits, whatever
-  its share of the window.
+  no such window.  The stretches of toxic documents (of up to ``WIDE`` bytes,
+  their words one space apart) whose byte n-grams, and which as a whole, are in
+  significantly more toxic documents make a second toxic dictionary.  Two to
+  four words in a row of which the stretches hold something, and windows of
+  ``WIDE`` bytes that hold a run of more than ``_RUN`` bytes, are compressed
+  under the ordinary dictionary with and without the stretches behind it.  The
+  most that one phrase, and one run, of a document saves counts beside its
+  hits, whatever its share of the window.
 - Thresholds (bytes saved, share of the window's own cost saved, bytes the best
   phrase and run have to save), the logistic function and the strictness of that choice of windows are calibrated on the
   sampled documents, by whole text.
@@ -42,9 +42,11 @@ import random
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -59,35 +61,52 @@ WINDOWS = 400_000
 THRESHOLD = 0.7
 _GRAM = 5
 _LEVEL = 3
-_MEMO = 300_000
+#: Bytes of words, with what a memo entry costs beside them, after which a memo starts anew.
+_MEMO = 48 << 20
+_ENTRY = 120
 _LONGEST = 256
 WIDE = 64
 _WIDE_GRAM = 8
 _STRETCHES = 8 << 10
-_MOST = 300
 _RUN = 24
 _LONG_RUN = re.compile(rb"\S{%d}" % (_RUN + 1))
 _PHRASE = 4
-_BREAK = b"\xff"  # a byte that no UTF-8 text holds
+#: Stretches are worth their flags if they leave at most this share of the loss.
+_WORTH = 0.9
+# What is known of a word, in bits: it is a hit, the stretches hold something of it, it is a long run.
+_HIT, _HELD, _LONG = 1, 2, 4
+_HELD_ROW = re.compile(rb"[\x02\x03\x06\x07]{2,}")
+_ANY_LONG = re.compile(rb"[\x04-\x07]")
 
 
 def windows(text: str | None) -> list[bytes]:
     """The text's words in lower case, UTF-8; words over 256 bytes in parts."""
-    words = (text or "").lower().encode("utf-8", "surrogatepass").split()
+    return windows_of((text or "").lower().encode("utf-8", "surrogatepass"))
+
+
+def windows_of(line: bytes) -> list[bytes]:
+    words = line.split()
     if max(map(len, words), default=0) > _LONGEST:
         words = [w[i:i + _LONGEST] for w in words for i in range(0, len(w), _LONGEST)]
     return words
 
 
+def line_of(text: str | None) -> bytes:
+    """The text's words in lower case, UTF-8, one space before, between and behind them; empty without a word."""
+    words = (text or "").lower().encode("utf-8", "surrogatepass").split()
+    return b" " + b" ".join(words) + b" " if words else b""
+
+
 def wide_windows(text: str | None) -> list[bytes]:
     """The distinct windows of ``WIDE`` bytes, overlapping by half, of the
     text's words with one space between; a stretch of up to half a window lies
     whole in one of them."""
-    words = (text or "").lower().encode("utf-8", "surrogatepass").split()
-    if not words:
-        return []
-    line, half = b" " + b" ".join(words) + b" ", WIDE // 2
-    return list(dict.fromkeys([line[i:i + WIDE] for i in range(0, max(1, len(line) - half), half)]))
+    return _wide(line_of(text))
+
+
+def _wide(line: bytes) -> list[bytes]:
+    half = WIDE // 2
+    return list(dict.fromkeys([line[i:i + WIDE] for i in range(0, max(1, len(line) - half), half)])) if line else []
 
 
 def _grams(word: bytes) -> list[bytes]:
@@ -95,83 +114,154 @@ def _grams(word: bytes) -> list[bytes]:
     return [padded[i:i + _GRAM] for i in range(max(1, len(padded) - _GRAM + 1))]
 
 
-def distinctive(toxic: Counter, ordinary: Counter, least_z: float, least_ratio: float = 3.0) -> list[bytes]:
-    """Windows of the toxic text (as often as they occur) with an n-gram that
-    is significantly more frequent in toxic than in ordinary text."""
-    def counted(words: Counter) -> Counter:
-        out: Counter = Counter()
-        for word, n in words.items():
-            for g in set(_grams(word)):
-                out[g] += n
-        return out
-
-    t, o = counted(toxic), counted(ordinary)
-    nt, no = max(1, toxic.total()), max(1, ordinary.total())
-    marks = set()
-    for g, a in t.items():
-        b = o.get(g, 0)
-        expected = (a + b) * nt / (nt + no)
-        z = (a - expected) / np.sqrt(expected * no / (nt + no) + 1)
-        if z > least_z and a / nt > least_ratio * (b + 1) / no:
-            marks.add(g)
-    return [w for w, n in sorted(toxic.items()) if any(g in marks for g in _grams(w)) for _ in range(n)]
-
-
-def _wide_grams(wide: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """(the windows in one line, its byte n-grams as numbers, which of them lie in one window)."""
-    line = _BREAK.join([*wide, b" " * _WIDE_GRAM])
-    rows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(line, dtype=np.uint8), _WIDE_GRAM)
-    return line, np.ascontiguousarray(rows).view(np.uint64)[:, 0], ~(rows == _BREAK[0]).any(axis=1)
-
-
-def distinctive_stretches(docs: list[Document], least_z: tuple[float, ...], least_ratio: float = 3.0) -> list[bytes]:
-    """For each strictness, the stretches of the toxic documents' wide windows
-    that are, by their n-grams and as a whole, in significantly more toxic than
-    ordinary documents; as one dictionary, the most frequent last."""
-    lines = [(label, *_wide_grams(wide)) for *_, label, _, wide in docs]
-    toxic, ordinary = ([line for label, line, *_ in lines if label == of] for of in (1, 0))
-    nt, no = len(toxic), len(ordinary)
-
-    def apart(a, b):
-        """(z, whether the ratio suffices) of numbers of toxic and ordinary documents."""
-        expected = (a + b) * nt / (nt + no)
-        return (a - expected) / np.sqrt(expected * no / (nt + no) + 1), a / nt > least_ratio * (b + 1) / no
-
-    (grams, a), (others, counts) = (
-        np.unique(np.concatenate([np.unique(g[ok]) for label, _, g, ok in lines if label == of]), return_counts=True)
-        for of in (1, 0))
-    b = np.zeros_like(a)
-    if len(others):
-        at = np.minimum(np.searchsorted(others, grams), len(others) - 1)
-        b = np.where(others[at] == grams, counts[at], 0)
-    z, more = apart(a, b)
+class Document(NamedTuple):
+    """A labelled document: its distinct windows with their counts, their
+    number, 1 for toxic, importance, and its line."""
+
+    windows: list[bytes]
+    times: np.ndarray
+    label: int
+    importance: float
+    line: bytes
+
+    @property
+    def n(self) -> int:
+        return int(self.times.sum())
+
+
+class Sample:
+    """The documents in arrays: an entry for each distinct window of each document."""
+
+    def __init__(self, docs: list[Document]):
+        self.docs = docs
+        self.words = sorted(set().union(*(d.windows for d in docs)))
+        number = dict(zip(self.words, range(len(self.words))))
+        self.of_doc = np.repeat(np.arange(len(docs)), [len(d.windows) for d in docs])
+        self.of_word = np.fromiter((number[w] for d in docs for w in d.windows), np.int64, len(self.of_doc))
+        self.times = np.concatenate([d.times for d in docs]).astype(float)
+        self.n = np.bincount(self.of_doc, self.times, len(docs))
+        self.label, self.importance = (np.array([d[i] for d in docs], dtype=float) for i in (2, 3))
+        toxic = self.label[self.of_doc] == 1
+        # a window that one document repeats counts once
+        self.toxic_docs, self.ordinary_docs = (np.bincount(self.of_word[which], minlength=len(self.words)) for which in (toxic, ~toxic))
+
+    def hits(self, hit: np.ndarray) -> np.ndarray:
+        """Hits of each document, of the words that are."""
+        return np.bincount(self.of_doc, self.times * hit[self.of_word], len(self.docs))
+
+
+def apart(a, b, nt: float, no: float, least_ratio: float = 3.0):
+    """(z, whether the ratio suffices) of counts a among nt toxic and b among no ordinary ones."""
+    expected = (a + b) * nt / (nt + no)
+    return (a - expected) / np.sqrt(expected * no / (nt + no) + 1), a / nt > least_ratio * (b + 1) / no
+
+
+def _numbers(raw: np.ndarray, size: int) -> np.ndarray:
+    """The n-grams of bytes as numbers, one for each place."""
+    out = np.zeros(max(0, len(raw) - size + 1), dtype=np.uint64)
+    for j in range(size):
+        out |= raw[j:len(raw) - size + 1 + j].astype(np.uint64) << np.uint64(8 * j)
+    return out
+
+
+def distinctive(sample: Sample, least_z: tuple[float, ...]) -> list[list[bytes]]:
+    """For each strictness, the windows of the toxic text (as often as they
+    occur) with an n-gram that is significantly more frequent in toxic than in
+    ordinary text."""
+    padded = [b" " + w + b" " for w in sample.words]
+    # a window shorter than an n-gram is one by itself, told apart by bytes that no text holds
+    padded = [p.ljust(_GRAM, b"\xff") for p in padded]
+    sizes = np.array([len(p) for p in padded])
+    grams, of = _numbers(np.frombuffer(b"".join(padded), dtype=np.uint8), _GRAM), np.repeat(np.arange(len(padded)), sizes)
+    inside = of[:len(grams)] == of[_GRAM - 1:]
+    names, gram = np.unique(grams[inside], return_inverse=True)
+    pairs = np.unique(gram * len(padded) + of[:len(grams)][inside])
+    gram, word = pairs // len(padded), pairs % len(padded)
+    a, b = (np.bincount(gram, n[word], len(names)) for n in (sample.toxic_docs, sample.ordinary_docs))
+    z, more = apart(a, b, max(1, sample.toxic_docs.sum()), max(1, sample.ordinary_docs.sum()))
     out = []
     for least in least_z:
-        marks, stretches = grams[(z > least) & more], Counter()
-        for label, line, g, ok in lines:
-            marked = np.flatnonzero(np.isin(g, marks) & ok) if label and len(marks) else []
-            if len(marked):
-                # n-grams that touch or overlap make one stretch
-                breaks = np.flatnonzero(np.diff(marked) > _WIDE_GRAM)
-                stretches.update({_whole_words(line, marked[i], marked[j] + _WIDE_GRAM) for i, j in
-                                  zip(np.r_[0, breaks + 1], np.r_[breaks, len(marked) - 1])})
-        content, size = [], 0
-        for w, _ in sorted(stretches.items(), key=lambda x: (-x[1], x[0]))[:_MOST]:
-            if any(w in c for c in content):
-                continue
-            whole_z, whole_more = apart(sum(w in x for x in toxic), sum(w in x for x in ordinary))
-            if whole_z > least and whole_more and size + len(w) <= _STRETCHES:
-                content.append(w)
-                size += len(w)
-        out.append(b"".join(reversed(content)))
+        marked = np.bincount(word, ((z > least) & more)[gram], len(padded)) > 0
+        out.append([sample.words[i] for i in np.flatnonzero(marked & (sample.toxic_docs > 0)) for _ in range(sample.toxic_docs[i])])
     return out
 
 
-def _whole_words(line: bytes, start: int, end: int) -> bytes:
-    """line[start:end] out to the ends of its words, if they are near and in the window."""
+class GramCounts(NamedTuple):
+    """Byte n-grams of toxic lines, ascending, with the toxic and the ordinary documents that hold each."""
+
+    grams: np.ndarray
+    toxic: np.ndarray
+    ordinary: np.ndarray
+    nt: int
+    no: int
+
+    @classmethod
+    def of(cls, docs: list[Document]) -> "GramCounts":
+        held = [np.unique(line_grams(d.line)) for d in docs if d.label]
+        grams, toxic = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        ordinary = np.zeros(len(grams), dtype=np.int64)
+        for d in docs:
+            if not d.label and len(grams):
+                own = np.unique(line_grams(d.line))
+                at = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
+                ordinary[at[grams[at] == own]] += 1
+        return cls(grams, toxic, ordinary, len(held), len(docs) - len(held))
+
+    def marks(self, least: float) -> np.ndarray:
+        z, more = apart(self.toxic, self.ordinary, max(1, self.nt), max(1, self.no))
+        return self.grams[(z > least) & more]
+
+
+def line_grams(line: bytes) -> np.ndarray:
+    return _numbers(np.frombuffer(line, dtype=np.uint8), _WIDE_GRAM)
+
+
+def distinctive_stretches(docs: list[Document], counts: GramCounts, least: float) -> bytes:
+    """The stretches of the toxic documents that are, by their n-grams and as
+    a whole, in significantly more toxic than ordinary documents; as one
+    dictionary of at most ``_STRETCHES`` bytes, the most frequent last."""
+    marks = counts.marks(least)
+    if not len(marks):
+        return b""
+    found: Counter = Counter()
+    for d in docs:
+        grams = line_grams(d.line) if d.label else marks[:0]
+        at = np.minimum(np.searchsorted(marks, grams), len(marks) - 1)
+        marked = np.flatnonzero(marks[at] == grams)
+        if len(marked):
+            # n-grams that touch or overlap make one stretch
+            breaks = np.flatnonzero(np.diff(marked) > _WIDE_GRAM)
+            found.update({part for i, j in zip(np.r_[0, breaks + 1], np.r_[breaks, len(marked) - 1])
+                          for part in _parts(d.line, int(marked[i]), int(marked[j]) + _WIDE_GRAM)})
+    toxic, ordinary = _documents_with(found, docs)
+    content, size = [], 0
+    for i, (w, _) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))):
+        z, more = apart(toxic[w], ordinary[w], max(1, counts.nt), max(1, counts.no))
+        if z > least and more and size + len(w) <= _STRETCHES and not any(w in c for c in content):
+            content.append(w)
+            size += len(w)
+    return b"".join(reversed(content))
+
+
+def _parts(line: bytes, start: int, end: int) -> list[bytes]:
+    """line[start:end] out to the ends of its words, if they are near; a longer
+    one in parts of ``WIDE`` bytes that overlap by half."""
     left, right = line.rfind(b" ", max(0, start - 16), start + 1), line.find(b" ", end - 1, end + 16)
     left, right = start if left < 0 else left, end if right < 0 else right + 1
-    return line[start:end] if _BREAK in line[left:right] else line[left:right]
+    return _wide(line[left:right]) if right - left > WIDE else [line[left:right]]
+
+
+def _documents_with(parts: Iterable[bytes], docs: list[Document]) -> tuple[Counter, Counter]:
+    """In how many toxic and ordinary documents each part lies, by one pass over each."""
+    matcher = ahocorasick.Automaton()
+    for w in parts:
+        matcher.add_word(w.decode("latin-1"), w)
+    out = Counter(), Counter()
+    if len(matcher):
+        matcher.make_automaton()
+        for d in docs:
+            out[0 if d.label else 1].update({w for _, w in matcher.iter(d.line.decode("latin-1"))})
+    return out
 
 
 def trained(words: list[bytes], size: int) -> bytes:
@@ -185,10 +275,6 @@ def trained(words: list[bytes], size: int) -> bytes:
         return b"".join(samples)[:size] or b" "
 
 
-#: A labelled document: its windows with their counts, their number, 1 for toxic, importance, its wide windows.
-Document = tuple[Counter, int, int, float, list[bytes]]
-
-
 @dataclass(frozen=True)
 class Model:
     """Dictionaries and thresholds; ``weights`` are the logistic function's
@@ -232,81 +318,75 @@ class Lengths:
         return ordinary - toxic
 
 
-class Wide:
-    """What the phrases and the long runs of a text save by the stretches."""
+class Scorer:
+    """Scores texts; a bounded memo keeps what is known of a word, another what
+    a phrase saves.  One a task, so its memory is gone when other stages run
+    in the same worker."""
 
     def __init__(self, model: Model):
-        self.content = model.stretches
-        self.grams = {self.content[i:i + _GRAM] for i in range(len(self.content) - _GRAM + 1)}
-        self.lengths = Lengths(model, (model.ordinary, model.ordinary + model.stretches))
-        self.held, self.unheld, self.saved = {}, set(), {}
+        self.model, self.lengths = model, Lengths(model)
+        self.known, self.known_bytes = {}, 0
+        self.saved, self.saved_bytes = {}, 0
+        content = model.stretches
+        self.content = content
+        self.grams = {content[i:i + _GRAM] for i in range(len(content) - _GRAM + 1)}
+        # what the phrases and the long runs of a text save by the stretches
+        self.wide = Lengths(model, (model.ordinary, model.ordinary + content)) if content else None
+
+    def is_hit(self, word: bytes) -> bool:
+        return is_hit(*self.lengths(word), self.model.saved, self.model.share)
 
-    def _holds(self, word: bytes) -> bool:
+    def holds(self, word: bytes) -> bool:
         """Whether the stretches hold any of a word; one they hold nothing of
         makes no phrase cheaper."""
         padded = b" " + word + b" "
         return padded in self.content if len(padded) < _GRAM else any(g in self.grams for g in _grams(word))
 
-    def best(self, wide: list[bytes]) -> tuple[int, int]:
-        """The most bytes that one phrase and one wide window with a long run save, 0 if none."""
-        held, saved, phrase, run = self.held, self.saved, 0, 0
-        if len(held) > _MEMO:
-            held.clear()
-            self.unheld.clear()
-        if len(saved) > _MEMO:
-            saved.clear()
-        for w in wide:
-            words, row = w.split(), 0
-            for i, word in enumerate(() if self.unheld.issuperset(words) else words):
-                known = held.get(word)
-                if known is None:
-                    known = held[word] = self._holds(word)
-                    if not known:
-                        self.unheld.add(word)
-                row = row + 1 if known else 0
-                for k in range(2, min(row, _PHRASE) + 1):
-                    part = b" ".join(words[i + 1 - k:i + 1])
-                    bytes_saved = saved.get(part)
-                    if bytes_saved is None:
-                        bytes_saved = saved[part] = self.lengths.saved(part)
-                    if bytes_saved > phrase:
-                        phrase = bytes_saved
-            if _LONG_RUN.search(w):
-                run = max(run, self.lengths.saved(w))
-        return phrase, run
-
-
-class Scorer:
-    """Scores texts; a bounded memo keeps which words are hits.  One a task,
-    so its memory is gone when other stages run in the same worker."""
-
-    def __init__(self, model: Model):
-        self.model, self.lengths, self.hit = model, Lengths(model), {}
-        self.wide = Wide(model) if model.stretches else None
-
-    def hits(self, text: str | None) -> tuple[int, int]:
-        """(windows that are hits, windows)."""
-        hit, words, n = self.hit, windows(text), 0
-        if len(hit) > _MEMO:
-            hit.clear()
+    def _learn(self, words: set[bytes]) -> None:
         for w in words:
-            known = hit.get(w)
-            if known is None:
-                known = hit[w] = self.is_hit(w)
-            n += known
-        return n, len(words)
-
-    def is_hit(self, word: bytes) -> bool:
-        return is_hit(*self.lengths(word), self.model.saved, self.model.share)
+            self.known[w] = self.is_hit(w) * _HIT + ((self.wide is not None and self.holds(w)) * _HELD) + (len(w) > _RUN) * _LONG
+        self.known_bytes += sum(map(len, words)) + _ENTRY * len(words)
+
+    def read(self, text: str | None) -> tuple[int, int, int, int]:
+        """(windows that are hits, windows, the most bytes that one phrase saves, and one run)."""
+        words = windows(text)
+        if self.known_bytes > _MEMO:
+            self.known, self.known_bytes = {}, 0
+        codes = list(map(self.known.get, words))
+        if None in codes:
+            self._learn({w for w, c in zip(words, codes) if c is None})
+            codes = list(map(self.known.__getitem__, words))
+        flags = bytes(codes)
+        hits = sum(flags.count(bits) for bits in range(8) if bits & _HIT)
+        phrase = run = 0
+        if self.wide:
+            for row in _HELD_ROW.finditer(flags):
+                phrase = max(phrase, self._phrase(words[row.start():row.end()]))
+            if _ANY_LONG.search(flags):
+                run = max([0, *(self.wide.saved(w) for w in wide_windows(text) if _LONG_RUN.search(w))])
+        return hits, len(words), phrase, run
+
+    def _phrase(self, words: list[bytes]) -> int:
+        """The most that two to four of these words in a row save."""
+        if self.saved_bytes > _MEMO:
+            self.saved, self.saved_bytes = {}, 0
+        best = 0
+        for k in range(2, min(len(words), _PHRASE) + 1):
+            for i in range(len(words) - k + 1):
+                part = b" ".join(words[i:i + k])
+                saved = self.saved.get(part)
+                if saved is None:
+                    saved = self.saved[part] = self.wide.saved(part)
+                    self.saved_bytes += len(part) + _ENTRY
+                best = max(best, saved)
+        return best
 
     def score(self, text: str | None) -> float:
-        return self.score_of(text, *self.hits(text))
+        return self.scored(*self.read(text))
 
-    def score_of(self, text: str | None, hits: int, n: int) -> float:
-        """The score of a text whose hits are counted."""
+    def scored(self, hits: int, n: int, phrase: int, run: int) -> float:
         m = self.model
-        best = self.wide.best(wide_windows(text)) if self.wide and m.weights else (0, 0)
-        return logistic(m.weights, hits, n, beyond(best, m.least))
+        return logistic(m.weights, hits, n, beyond((phrase, run), m.least))
 
 
 def is_hit(ordinary, toxic, saved: float, share: float):
@@ -347,30 +427,21 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> np.nda
     return w
 
 
-def dictionaries(docs: list[Document], least_z: float) -> Model:
-    """Both dictionaries; a window that one document repeats counts once."""
-    toxic = Counter(w for counts, _, label, *_ in docs if label for w in counts)
-    ordinary = Counter(w for counts, _, label, *_ in docs if not label for w in counts)
-    return Model(trained(sorted(ordinary.elements()), 32 << 10),
-                 trained(distinctive(toxic, ordinary, least_z), 16 << 10))
+def dictionaries(sample: Sample, least_z: tuple[float, ...]) -> list[Model]:
+    """Both dictionaries, for each strictness."""
+    ordinary = trained([w for w, n in zip(sample.words, sample.ordinary_docs) for _ in range(n)], 32 << 10)
+    return [Model(ordinary, trained(words, 16 << 10)) for words in distinctive(sample, least_z)]
 
 
-def calibrate(model: Model, docs: list[Document]) -> tuple[float, Model]:
+def calibrate(model: Model, sample: Sample) -> tuple[float, Model]:
     """(log loss, model with the thresholds and logistic weights of least loss)."""
-    lengths, number, best = Lengths(model), {}, None
-    of_doc, of_word, times = [], [], []
-    for i, (counts, *_) in enumerate(docs):
-        of_doc += [i] * len(counts)
-        of_word += [number.setdefault(w, len(number)) for w in counts]
-        times += counts.values()
-    of_doc, of_word, times = np.array(of_doc), np.array(of_word), np.array(times, dtype=float)
-    cost = np.array([lengths(w) for w in number]).reshape(-1, 2)
-    n, y, importance = (np.array([d[i] for d in docs], dtype=float) for i in (1, 2, 3))
+    lengths, best = Lengths(model), None
+    cost = np.array([lengths(w) for w in sample.words]).reshape(-1, 2)
     for saved in (2, 3, 4, 5):
         for share in (0.34, 0.5, 0.6, 0.7):
-            hit = is_hit(cost[:, 0], cost[:, 1], saved, share)
-            x = features(np.bincount(of_doc, weights=times * hit[of_word], minlength=len(docs)), n)[:, :3]
-            loss, w = _fitted_loss(x, y, importance)
+            hits = sample.hits(is_hit(cost[:, 0], cost[:, 1], saved, share))
+            x = features(hits, sample.n)[:, :3]
+            loss, w = _fitted_loss(x, sample.label, sample.importance)
             if best is None or loss < best[0]:
                 best = loss, Model(model.ordinary, model.toxic, saved, share, w)
     return best
@@ -386,77 +457,81 @@ def _fitted_loss(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> tuple[
 
 def widened(loss: float, model: Model, docs: list[Document], least_z: tuple[float, ...]) -> Model:
     """The model with the stretches, at the strictness and the bytes to save of
-    least loss; as it was if they lessen none.
+    least loss; as it was if they don't lessen it by a tenth.
 
     Any stretch saves bytes in the documents it was taken from, so each half
     of the documents is calibrated with the stretches of the other half; the
     dictionary in use holds those of both.
     """
     halves = [docs[0::2], docs[1::2]]
-    if any(len({d[2] for d in half}) < 2 for half in halves):
+    if any(len({d.label for d in half}) < 2 for half in halves):
         return model
-    scorer, order = Scorer(model), [*halves[0], *halves[1]]
-    hits = np.array([sum(n for w, n in d[0].items() if scorer.is_hit(w)) for d in order], dtype=float)
-    n, y, importance = (np.array([d[i] for d in order], dtype=float) for i in (1, 2, 3))
-    learned = [distinctive_stretches(half, least_z) for half in halves]
+    counts = [GramCounts.of(half) for half in halves]
     best = loss, None, model
-    for i, z in enumerate(least_z):
-        if not (learned[0][i] and learned[1][i]):
+    for z in least_z:
+        learned = [distinctive_stretches(half, c, z) for half, c in zip(halves, counts)]
+        if not all(learned):
             continue
-        saved = []
+        read = []
         for half, other in ((0, 1), (1, 0)):
-            wide = Wide(replace(model, stretches=learned[other][i]))
-            saved += [wide.best(d[4]) for d in halves[half]]
+            scorer = Scorer(replace(model, stretches=learned[other]))
+            read += [scorer.read(d.line.decode("utf-8", "surrogatepass")) for d in halves[half]]
+        hits, n, *saved = np.array(read, dtype=float).T
+        y, importance = (np.array([d[i] for half in halves for d in half], dtype=float) for i in (2, 3))
         for phrase in (0, 1, 2, 3, 4, 6):
             for run in (0, 2, 4, 6):
                 least = float(phrase), float(run)
-                now, w = _fitted_loss(features(hits, n, beyond(saved, least)), y, importance)
-                if min(w[3:]) >= 0 and now < best[0]:
+                now, w = _fitted_loss(features(hits, n, beyond(np.stack(saved, axis=1), least)), y, importance)
+                if min(w[3:]) >= 0 and now < min(best[0], _WORTH * loss):
                     best = now, z, replace(model, weights=w, least=least)
     if best[1] is None:
         return model
-    return replace(best[2], stretches=distinctive_stretches(docs, (best[1],))[0])
+    return replace(best[2], stretches=distinctive_stretches(docs, GramCounts.of(docs), best[1]))
 
 
 def learn(docs: list[Document], least_z: tuple[float, ...] = (3.0, 4.5, 6.0)) -> Model:
     """The model of least loss over how strictly toxic windows are chosen: few
     documents hold too few repeats for a strict choice, many need one."""
-    return widened(*min((calibrate(dictionaries(docs, z), docs) for z in least_z), key=lambda tried: tried[0]), docs, least_z)
+    sample = Sample(docs)
+    loss, model = min((calibrate(m, sample) for m in dictionaries(sample, least_z)), key=lambda tried: tried[0])
+    return widened(loss, model, docs, least_z)
 
 
 def fit(sample: DataFrame, windows_each: int = WINDOWS) -> Model | None:
     """A model from rows (text, toxic, importance) of a bounded sample.
 
-    The driver gets per document its distinct windows with their counts and its
-    distinct wide windows, of either at most ``windows_each`` a class.  Where
-    that thins a class, its other documents weigh more.
+    The driver gets the lines of whole documents, in hash order, as long as
+    their distinct windows, and their lines in parts of half a wide window, are
+    at most ``windows_each`` a class.  Where that thins a class, its other
+    documents weigh more.
     """
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, toxic, weight in zip(*(c.to_pylist() for c in batch.columns)):
-                words, wide = Counter(windows(text)), wide_windows(text)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([list(words)], pa.list_(pa.binary())), pa.array([list(words.values())], pa.list_(pa.int64())),
-                     pa.array([words.total()], pa.int64()), pa.array([toxic], pa.int32()), pa.array([weight], pa.float64()),
-                     pa.array([zlib.crc32(repr(sorted(words.items())).encode())], pa.int64()), pa.array([wide], pa.list_(pa.binary()))],
-                    ["words", "counts", "n", "toxic", "importance", "at", "wide"])
+            made = [line_of(t) for t in batch.column(0).to_pylist()]
+            words = [Counter(windows_of(line)) for line in made]
+            sizes = [max(len(w), 2 * len(line) // WIDE) for w, line in zip(words, made)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(made, pa.binary()), pa.array(sizes, pa.int64()), batch.column(1), batch.column(2),
+                 pa.array([zlib.crc32(repr(sorted(w.items())).encode()) for w in words], pa.int64())],
+                ["line", "size", "toxic", "importance", "at"])
 
     rows = materialize(sample.select("text", "toxic", "importance").mapInArrow(
-        counted, "words array<binary>, counts array<long>, n long, toxic int, importance double, at long, wide array<binary>"),
-        "toxicity-sample")
-    # whole documents in hash order, as long as their distinct windows fit the bound
-    sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum(F.greatest(F.size("words"), F.size("wide"))).alias("n")).collect()}
+        lines, "line binary, size long, toxic int, importance double, at long"), "toxicity-sample")
+    sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum("size").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
     rate = {label: min(1.0, windows_each / n) for label, n in sizes.items()}
     kept = rows.where(F.pmod("at", F.lit(1 << 20)) < F.lit(float(1 << 20)) * F.when(
         F.col("toxic") == 1, rate[1]).otherwise(rate[0]))
-    docs = []
-    for row in kept.orderBy("at", "n").toLocalIterator():
-        docs.append((Counter(dict(zip(map(bytes, row.words), row.counts))), row.n, row.toxic, row.importance / rate[row.toxic],
-                     [bytes(w) for w in row.wide]))
-    return learn(docs) if len({d[2] for d in docs}) == 2 else None
+    docs, known = [], {}
+    for row in kept.drop("size").orderBy("at", "line").toLocalIterator():
+        line = bytes(row.line)
+        words = Counter(windows_of(line))
+        # documents share the bytes of their common words
+        docs.append(Document([known.setdefault(w, w) for w in words], np.fromiter(words.values(), np.int64, len(words)),
+                             row.toxic, row.importance / rate[row.toxic], line))
+    return learn(docs) if len({d.label for d in docs}) == 2 else None
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS,
@@ -487,11 +562,9 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            hits = [scorer.hits(t) for t in texts]
-            score = [scorer.score_of(t, *h) for t, h in zip(texts, hits)]
+            read = [scorer.read(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(score, pa.float64()), pa.array([h[0] for h in hits], pa.int64())],
+                [batch.column(0), pa.array([scorer.scored(*r) for r in read], pa.float64()), pa.array([r[0] for r in read], pa.int64())],
                 ["doc_id", "score", "hits"])
 
     out = require(docs, ["doc_id", "text"]).mapInArrow(rows, "doc_id long, score double, hits long")

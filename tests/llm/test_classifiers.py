@@ -214,3 +214,57 @@ def test_thinned_classes_keep_their_shares(spark, monkeypatch):
     weight = {label: sum(d[3] for d in docs if d[2] == label) for label in (0, 1)}
     assert len([d for d in docs if not d[2]]) < 600 and weight[1] == 200
     assert abs(weight[0] / 3600 - 1) < 0.2
+
+
+def plain_score(model, text):
+    """The score by its definition: every word and phrase compressed where it stands."""
+    words = toxicity.windows(text)
+    lengths, wide = toxicity.Lengths(model), toxicity.Lengths(model, (model.ordinary, model.ordinary + model.stretches))
+    hits = sum(o - t >= model.saved and o - t >= model.share * o for o, t in map(lengths, words))
+
+    def held(word):
+        padded = b" " + word + b" "
+        return any(padded[i:i + 5] in model.stretches for i in range(max(1, len(padded) - 4)))
+
+    parts = [words[i:i + k] for k in (2, 3, 4) for i in range(len(words) - k + 1)]
+    phrase = max([0, *(wide.saved(b" ".join(p)) for p in parts if all(map(held, p)))])
+    run = max([0, *(wide.saved(w) for w in toxicity.wide_windows(text) if any(len(x) > 24 for x in w.split()))])
+    beyond = [max(0.0, phrase - model.least[0]), max(0.0, run - model.least[1])]
+    x = [1.0, np.log1p(hits), np.log1p(1000 * hits / max(len(words), 30)), *np.log1p(beyond)]
+    return 1 / (1 + np.exp(-np.clip(np.dot(x, model.weights), -50, 50)))
+
+
+def test_scores_equal_a_plain_version(monkeypatch):
+    ordinary = b" ".join(w.encode() for w in plain_words(random.Random(1), 900))
+    model = toxicity.Model(ordinary, b" grumblefitz  snorklewad  bloatwick " * 9, 3, 0.4, (-4.0, 1.5, 0.4, 0.9, 0.7),
+                           b" taren momit kusor  nevek soren lidal  grumblefitz ", (2.0, 3.0))
+    rng = random.Random(3)
+    monkeypatch.setattr(toxicity, "_MEMO", 4000)  # memos start anew many times
+    scorer, seen = toxicity.Scorer(model), set()
+    for i in range(200):
+        words = plain_words(rng, rng.randint(0, 60))
+        for _ in range(rng.randint(0, 3)):
+            words.insert(rng.randint(0, len(words)), rng.choice([*NASTY, "taren momit", "momit kusor nevek soren", "x" * 300, "é中😀", "a", "q" * 25]))
+        text = rng.choice([" ", "\n", "\t "]).join(words) if i % 5 else "".join(words)
+        got = scorer.read(text)
+        seen.add((got[0] > 0, got[2] > 0, got[3] > 0))
+        assert abs(scorer.scored(*got) - plain_score(model, text)) < 1e-12, text
+    assert len(seen) >= 6
+
+
+def test_stretches_are_told_by_documents_that_hold_them():
+    rng, docs = random.Random(5), []
+    for i in range(300):
+        words, toxic = plain_words(rng, 40), i % 3 == 0
+        words[9:9] = ["taren", "momit", "kusor"] if toxic else ["taren", "pamit", "momit", "redal", "kusor"]
+        line = toxicity.line_of(" ".join(words))
+        held = sorted(set(toxicity.windows_of(line)))
+        docs.append(toxicity.Document(held, np.array([line.split().count(w) for w in held]), int(toxic), 1.0, line))
+    whole = toxicity.GramCounts.of(docs)
+    assert whole.nt == 100 and whole.no == 200
+    at = int(np.flatnonzero(whole.grams == toxicity.line_grams(b"momit kusor")[0])[0])
+    assert whole.toxic[at] == sum(b"momit ku" in d.line for d in docs if d.label)
+    assert whole.ordinary[at] == sum(b"momit ku" in d.line for d in docs if not d.label)
+    stretches = toxicity.distinctive_stretches(docs, whole, 4.5)
+    assert b"momit kusor" in stretches or b"taren momit" in stretches
+    assert len(stretches) <= toxicity._STRETCHES
