@@ -65,7 +65,7 @@ def write_archive(pages: DataFrame, least: int = LEAST, date: str = _DATE) -> Ar
         held.select("page_id", "url", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").cast("long").alias("n_bytes"))
         .withColumn("row", F.monotonically_increasing_id()), "page-digests")
     order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "row")
-    first = meta.groupBy("digest").agg(F.min(order).alias("first"))
+    first = materialize(meta.groupBy("digest").agg(F.min(order).alias("first")), "page-firsts")
     keyed = meta.join(first, "digest")
     revisit = (F.col("n_bytes") >= least) & (F.col("row") != F.col("first.row"))
     lines = [
@@ -87,8 +87,9 @@ def write_archive(pages: DataFrame, least: int = LEAST, date: str = _DATE) -> Ar
     # copies are combined before the shuffle: one payload a digest and task
     stored = (held.withColumn("digest", F.sha2("payload", 256)).withColumn("second", F.xxhash64("payload"))
               .groupBy("digest").agg(F.first("payload").alias("payload"), F.min("second").alias("least"),
-                                     F.max("second").alias("most")))
-    same = F.when(F.col("least") == F.col("most"), F.col("payload")).otherwise(
+                                     F.max("second").alias("most"), F.min(F.octet_length("payload")).alias("shortest"),
+                                     F.max(F.octet_length("payload")).alias("longest")))
+    same = F.when((F.col("least") == F.col("most")) & (F.col("shortest") == F.col("longest")), F.col("payload")).otherwise(
         F.raise_error(F.concat(F.lit("different payloads have the digest "), F.col("digest"))).cast("binary"))
     payloads = materialize(stored.select("digest", F.octet_length("payload").cast("long").alias("n_bytes"),
                                          same.alias("payload")), "warc-payloads")
@@ -114,24 +115,33 @@ def reconstruct(archive: Archive) -> DataFrame:
 
 def header_line(record: Column, name: str) -> Column:
     """Value of a header line of a record, null if it has none."""
-    head = F.concat(F.lit(_LINE), F.split(F.decode(record, "UTF-8"), _LINE + _LINE, 2)[0], F.lit(_LINE))
-    found = F.regexp_extract(head, f"\\r\\n{name}: ([^\\r\\n]*)\\r\\n", 1)
+    return _line(F.substring_index(F.decode(record, "UTF-8"), _LINE + _LINE, 1), name)
+
+
+def _line(head: Column, name: str) -> Column:
+    found = F.regexp_extract(F.concat(F.lit(_LINE), head, F.lit(_LINE)), f"\\r\\n{name}: ([^\\r\\n]*)\\r\\n", 1)
     return F.when(found != "", found)
 
 
 def facts(archive: Archive) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, read back
-    from the archive: types and references from the records' headers, sizes
-    and digests from the stored bytes, matched by join."""
-    stored = verified(archive.payloads).select(
-        "digest", F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha2("payload", 256).alias("payload_digest"))
-    head = F.col("header")
-    parsed = archive.records.select(
-        header_line(head, "WARC-Page-ID").cast("long").alias("page_id"), header_line(head, "WARC-Type").alias("record_type"),
-        header_line(head, "WARC-Refers-To-Page").cast("long").alias("refers_to"),
-        F.substring_index(header_line(head, "WARC-Payload-Digest"), ":", -1).alias("digest"))
-    return parsed.join(stored, "digest").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    from the rebuilt records: a response's payload is cut out of its record, a
+    revisit's is the joined one, and both are measured and digested again."""
+    record = F.col("record")
+    read = reconstruct(archive).withColumn("head", F.substring_index(F.decode(record, "UTF-8"), _LINE + _LINE, 1))
+    head = {name: _line(F.col("head"), name) for name in (
+        "WARC-Page-ID", "WARC-Type", "WARC-Refers-To-Page", "WARC-Payload-Digest", "Content-Length")}
+    read = read.select("record", "head", "payload", *[c.alias(n.lower()) for n, c in head.items()])
+    body = F.substring(record, F.octet_length("head") + F.lit(5), F.col("`content-length`").cast("int"))
+    read = read.withColumn("body", F.when(F.col("`warc-type`") == "response", body).otherwise(F.col("payload")))
+    read = read.withColumn("found", F.sha2("body", 256))
+    told = F.substring_index("`warc-payload-digest`", ":", -1)
+    same = F.when(F.col("found") == told, F.col("found")).otherwise(
+        F.raise_error(F.concat(F.lit("a record does not hold the payload "), told)).cast("string"))
+    return read.select(
+        F.col("`warc-page-id`").cast("long").alias("page_id"), F.octet_length("body").cast("long").alias("payload_bytes"),
+        same.alias("payload_digest"), F.col("`warc-type`").alias("record_type"),
+        F.col("`warc-refers-to-page`").cast("long").alias("refers_to"))
 
 
 def export_warc(spark: SparkSession, archive: Archive, folder: str | None = None) -> DataFrame:

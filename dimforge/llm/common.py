@@ -6,12 +6,15 @@ import os
 import re
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimforge.config import Settings
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which driver and executors share.
@@ -52,21 +55,33 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+#: A side of a join is broadcast up to this size, which is counted first.
+SMALL = Settings(broadcast_max_rows=200_000, broadcast_max_bytes=16 << 20)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/dimforge-llm/{name}-{uuid.uuid4().hex}"
 
 
+_written: "weakref.WeakKeyDictionary[DataFrame, str]" = weakref.WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the steps
-    before, and costly or order-dependent steps run once.
+    before, and costly or order-dependent steps run once.  An aggregate that is
+    joined back to the rows it was made of is written first too: Spark then
+    shuffles both sides for the join, and AQE can split a hot key, which it
+    can't where the join relies on the aggregate's own shuffle.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
@@ -81,7 +96,7 @@ def discard(spark: SparkSession, *paths: str) -> None:
 
 def table_folder(df: DataFrame) -> str:
     """The folder of a frame that ``materialize`` returned."""
-    return df.inputFiles()[0].rpartition("/")[0] if df.inputFiles() else ""
+    return _written[df]
 
 
 def total(df: DataFrame, *sums: str) -> tuple[int, ...]:

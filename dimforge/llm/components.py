@@ -2,8 +2,10 @@
 
 Each round links every node's larger neighbours to its smallest one (large
 star), then its smaller neighbours to the smallest of those (small star).
-Rounds need a number that grows with the logarithm of the longest path; a
-node's neighbours are only ever aggregated, never gathered.
+Rounds need a number that grows with the logarithm of the longest path.  A
+node's neighbours are never gathered: their smallest is a partial aggregate,
+and the join that gives it back to each neighbour is one whose hot keys AQE
+splits, as the aggregate is written first.
 """
 
 from __future__ import annotations
@@ -32,16 +34,17 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[label[rest]], nodes[rest]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The linked edges, and the written table that they are made with."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+    least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+    return both.join(least, "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct(), least
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
+def _small_star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    least = materialize(edges.groupBy("b").agg(F.min("a").alias("m")), "least")
     rest = edges.join(least, "b").where("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"))
-    return rest.union(least.select(F.col("m").alias("a"), "b")).distinct()
+    return rest.union(least.select(F.col("m").alias("a"), "b")).distinct(), least
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -57,8 +60,10 @@ def connected(edges: DataFrame) -> DataFrame:
         if tuple(stats) == state or not stats[0]:
             break
         state = tuple(stats)
-        after = materialize(_small_star(_large_star(now)), "edges")
-        discard(spark, *filter(None, [table_folder(now)]))
-        now = after
+        for star in (_large_star, _small_star):
+            linked, least = star(now)
+            after = materialize(linked, "edges")
+            discard(spark, table_folder(now), table_folder(least))
+            now = after
     members = now.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return members.union(now.select("a", "a").distinct())

@@ -33,8 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.llm import files, hnsw
-from dimforge.llm.common import materialize, new_folder, require
+from dimforge.llm.common import SMALL, materialize, new_folder, require
 from dimforge.llm.components import connected, forest
+from dimforge.operators.joins import lookup_join
 
 SHARD = 50_000
 BLOCK = 2048
@@ -133,8 +134,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, shard: int = SH
     """vec_id, n_links, component_id, kept of every row of (vec_id, embedding, label)."""
     spark = vectors.sparkSession
     rows, distinct = _distinct(vectors)
-    groups = distinct.groupBy("label", "dim").agg(F.count("*").alias("n")).where("n > 1")
-    sized = distinct.join(groups, ["label", "dim"]).withColumn("shards", F.ceil(F.col("n") / shard))
+    groups = materialize(distinct.groupBy("label", "dim").agg(F.count("*").alias("n")).where("n > 1"), "vector-groups")
+    # few labels: broadcast if counted small, else a join whose hot labels AQE splits
+    sized = lookup_join(distinct, groups, ["label", "dim"], settings=SMALL).withColumn("shards", F.ceil(F.col("n") / shard))
     dealt = sized.withColumn("shard", F.pmod(F.xxhash64("gid"), F.col("shards")))
     folder = new_folder(spark, "hnsw")
 
@@ -152,9 +154,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, shard: int = SH
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.select(*key).schema.fields)
     shards = materialize(dealt.groupBy(*key).applyInPandas(index, f"{fields}, path string"), "shards")
     # each vector meets every shard of its label; blocks bound what a task holds
-    asked = (dealt.withColumn("block", F.pmod(F.xxhash64("gid", F.lit(9)), F.ceil(F.col("n") / block)))
-             .select("label", "dim", "block", "gid", "v")
-             .join(shards.select("label", "dim", "path"), ["label", "dim"]))
+    blocks = dealt.withColumn("block", F.pmod(F.xxhash64("gid", F.lit(9)), F.ceil(F.col("n") / block)))
+    asked = lookup_join(blocks.select("label", "dim", "block", "gid", "v"), shards.select("label", "dim", "path"),
+                        ["label", "dim"], settings=SMALL)
 
     def query(part: pd.DataFrame) -> pd.DataFrame:
         graph, gids, copies, exact = _load(part["path"].iloc[0])
@@ -181,7 +183,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, shard: int = SH
              .select("label", "digest", "least", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                      F.coalesce("component", "gid").alias("component")))
     known = materialize(known, "vector-components")
-    least = known.groupBy("component").agg(F.min("least").alias("component_id"))
+    least = materialize(known.groupBy("component").agg(F.min("least").alias("component_id")), "vector-ids")
     named = known.join(least, "component").select("label", "digest", "n_links", "component_id")
     named = named.select(F.col("label").alias("of_label"), F.col("digest").alias("of_digest"), "n_links", "component_id")
     out = rows.join(named, (rows["label"] == F.col("of_label")) & (rows["digest"] == F.col("of_digest")), "left")

@@ -32,8 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimforge.config import Settings
-from dimforge.llm.common import materialize, require
+from dimforge.llm.common import SMALL, materialize, require
 from dimforge.operators.joins import lookup_join
 
 WINDOW = 5
@@ -42,8 +41,7 @@ _CHUNK = 4 << 20
 _SPACE = b"\x20\t\n\x0b\x0c\r"
 _NOT_STARTS = _SPACE + bytes(range(0x80, 0xC0))
 _SYMBOLS = b"#*$%&|<>"
-#: A side of a join is broadcast up to this size, which is counted first.
-_SMALL = Settings(broadcast_max_rows=200_000, broadcast_max_bytes=16 << 20)
+_SMALL = SMALL
 _FACTS = ("key bigint, doc_id bigint, host string, text_hash binary, n_words bigint, word_chars bigint, n_symbols bigint,"
           " n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line: bigint, words: bigint>>")
 

@@ -147,7 +147,7 @@ def links(fps: DataFrame, radius: int, chunk: int = CHUNK) -> DataFrame:
     """Edges (a, b), a < b, that connect all fingerprints (column fp, distinct)
     within ``radius`` of each other."""
     keyed = fps.select("fp", F.explode(F.array(*_block_keys(radius, F.col("fp")))).alias("k")).select("fp", "k.pair", "k.bits")
-    sizes = keyed.groupBy("pair", "bits").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = materialize(keyed.groupBy("pair", "bits").agg(F.count("*").alias("n")).where("n > 1"), "simhash-buckets")
     chunks = F.ceil(F.col("n") / chunk)
     own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("chunks"))
     # every unordered pair of chunks gets the two chunks' fingerprints once
@@ -219,8 +219,8 @@ def _components(fps: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, words_each: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     fps = materialize(fingerprints(docs, words_each), "simhash")
-    labelled = _components(fps, radius)
-    ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    labelled = materialize(_components(fps, radius), "simhash-components")
+    ids = materialize(labelled.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-ids")
     mapping = labelled.join(ids, "component").select("fp", "component_id")
     return (fps.join(mapping, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))

@@ -268,3 +268,53 @@ def test_stretches_are_told_by_documents_that_hold_them():
     stretches = toxicity.distinctive_stretches(docs, whole, 4.5)
     assert b"momit kusor" in stretches or b"taren momit" in stretches
     assert len(stretches) <= toxicity._STRETCHES
+
+
+def plain_language(rows):
+    """{doc_id: (language, score)} by counting every n-gram one after another; rows (doc_id, text, lang)."""
+    slots = langid.SLOTS.bit_length() - 1
+
+    def grams(text):
+        raw = (" " + text.lower() + " ").encode()
+        for order in (2, 3, 4):
+            for i in range(len(raw) - order + 1):
+                number = int.from_bytes(raw[i:i + order], "big")
+                yield ((number ^ (order * 0x51ED27)) * 2654435761 % 2**32) >> (32 - slots)
+
+    counts = {}
+    for doc_id, text, lang in rows:
+        if lang and text and any(c.isalpha() for c in text) and zlib.crc32(str(doc_id).encode()) % 5:
+            own = counts.setdefault(lang, [0.5] * langid.SLOTS)
+            for slot in grams(text):
+                own[slot] += 1
+    languages = sorted(counts)
+    code = langid.codewords(len(languages))
+    given = np.array([np.array(counts[x]) / sum(counts[x]) for x in languages])
+    odds, trust = [], []
+    for bit in code.T:
+        one, zero = given[bit > 0].mean(axis=0), given[bit < 0].mean(axis=0)
+        odds.append(np.log(one) - np.log(zero))
+        trust.append(((one - zero) * odds[-1]).sum())
+    trust = np.array(trust) / np.mean(trust)
+    out = {}
+    for doc_id, text, _ in rows:
+        if not text or not any(c.isalpha() for c in text):
+            out[doc_id] = ("und", 0.0)
+            continue
+        found = list(grams(text))
+        margins = np.array([sum(o[s] for s in found) / len(found) * min(len(found), langid.EVIDENCE) for o in odds])
+        loss = [sum(t * np.log1p(np.exp(-c * m)) for t, c, m in zip(trust, word, margins)) for word in code]
+        best = int(np.argmin(loss))
+        out[doc_id] = (languages[best], 1 / sum(np.exp(min(loss) - x) for x in loss))
+    return out
+
+
+def test_languages_equal_a_plain_version(docs_of):
+    rng = random.Random(14)
+    rows = [(i, prose(lang, rng.randint(1, 25), rng) + rng.choice(["", " Éà 12", "\n中文"]), lang if i % 11 else None)
+            for i in range(150) for lang in [rng.choice(list(WORDS))]]
+    rows += [(1000, "12 34 !", "en"), (1001, "", "de"), (1002, None, "fr"), (1003, "zz", None)]
+    want = plain_language(rows)
+    for r in langid.identified(docs_of(rows)).collect():
+        lang, score = want[r.doc_id]
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-4, r

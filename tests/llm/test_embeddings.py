@@ -118,3 +118,38 @@ def test_edge_cases(spark, with_clashes):
         got.setdefault(r.vec_id, set()).add((r.n_links, r.component_id, r.kept))
     assert got == truth([(a, b, c) for a, b, c in rows])
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_table_of_large_labels_goes_through_the_graphs(spark):
+    """2,500 vectors a label in one shard: more than a beam, so graphs are searched (see ``found_links``)."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for label in (0, 1):
+        base = rng.normal(size=(1700, 24))
+        near = base[rng.integers(0, 1700, 800)] + rng.normal(scale=0.02, size=(800, 24))
+        for v in np.concatenate([base, near]):
+            rows.append((len(rows), [float(np.float32(x)) for x in v], label))
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df, threshold=0.98).collect()}
+    links, parent = [0] * len(rows), list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for label in (0, 1):
+        ids = np.array([i for i, _, x in rows if x == label])
+        unit = np.array([rows[i][1] for i in ids])
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        for a, b in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.98, 1))):
+            i, j = int(ids[a]), int(ids[b])
+            links[i] += 1
+            links[j] += 1
+            parent[max(root(i), root(j))] = min(root(i), root(j))
+    assert sum(links) > 1000
+    found = sum(n for n, _ in got.values())
+    assert found >= 0.99 * sum(links) and all(got[i][0] <= links[i] for i in got)
+    if found == sum(links):
+        assert all(got[i] == (links[i], root(i)) for i in got)

@@ -1,0 +1,85 @@
+"""Joins that give an aggregate back to the rows of a hot key: AQE splits the key, and no row is lost."""
+
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from dimforge.llm import archive, components, embedding_dedup, simhash
+
+SKEW_CONF = {
+    "spark.sql.shuffle.partitions": "24",
+    "spark.sql.files.maxPartitionBytes": "32k",
+    "spark.sql.files.openCostInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.fixture
+def skewed(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def ran(df):
+    """(rows, plan as it ran)."""
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextmanager
+def plans_of(monkeypatch, module):
+    """Plans, as they ran, of what a module writes."""
+    plans, real = {}, module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: (plans.__setitem__(name, ran(df)[1]), real(df, name))[1])
+    yield plans
+    monkeypatch.undo()
+
+
+def test_stars_split_a_hot_node(spark, skewed):
+    n = 20_000
+    edges = spark.range(1, n).select(F.when(F.col("id") % 3 == 0, F.col("id") - 1).otherwise(F.lit(0)).cast("long").alias("a"), F.col("id").alias("b"))
+    got, plan = ran(components._large_star(edges.repartition(8))[0])
+    assert "skew=true" in plan and len({r.b for r in got}) == n - 1
+    towards = edges.where("a < b").select("a", F.lit(n).cast("long").alias("b")).union(edges.where("b % 3 <> 0"))
+    got, plan = ran(components._small_star(towards.union(edges.select("b", F.lit(n).cast("long"))).where("a < b").repartition(8))[0])
+    assert "skew=true" in plan and len(got) >= n - 1
+    assert {r.component for r in components.connected(edges).collect()} == {0}
+
+
+def test_buckets_and_components_of_fingerprints_are_split(spark, skewed, monkeypatch):
+    fps = spark.range(4000).select(F.col("id").alias("fp"))
+    _, plan = ran(simhash.links(fps, 4))
+    assert "skew=true" in plan
+    docs = spark.range(3000).select("id", F.when(F.col("id") % 2 == 0, F.concat_ws(" ", *[F.lit(f"same words {i}") for i in range(9)]))
+                                    .otherwise(F.concat_ws(" ", *[F.hash("id", F.lit(i)) for i in range(30)])).alias("text"))
+    got, plan = ran(simhash.near_duplicates(docs.withColumnRenamed("id", "doc_id")))
+    assert "skew=true" in plan and len(got) == 3000 and sum(r.component_id == 0 for r in got) >= 1500
+
+
+def test_one_payload_of_most_pages_is_split(spark, skewed, monkeypatch):
+    pages = spark.range(20_000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), F.col("id")).alias("url"),
+                                       F.when(F.col("id") % 2 == 0, F.lit("x" * 150)).otherwise(F.col("id").cast("string")).alias("html"))
+    with plans_of(monkeypatch, archive) as plans:
+        written = archive.write_archive(pages.repartition(8))
+    assert "skew=true" in plans["warc-records"]
+    got, plan = ran(archive.facts(written))
+    assert "skew=true" in plan and sum(r.record_type == "revisit" and r.refers_to == 0 for r in got) == 9_999
+
+
+def test_one_component_of_most_vectors_is_split(spark, skewed):
+    rows = spark.range(3000).select(
+        F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.col("id") / 1e7, F.when(F.col("id") % 3 == 0, F.col("id").cast("double")).otherwise(F.lit(0.0)))
+        .cast("array<float>").alias("embedding"), F.lit(1).alias("label"))
+    got, plan = ran(embedding_dedup.near_duplicates(rows, shard=1500))
+    assert "skew=true" in plan and sum(r.component_id == 0 for r in got) == 2000 + 1

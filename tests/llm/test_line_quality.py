@@ -8,6 +8,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from dimforge.config import Settings
 from dimforge.llm import line_quality as lq
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -114,7 +115,7 @@ def test_cleaned_texts_lose_the_common_lines_only(docs_of):
 def test_joins_beyond_the_broadcast_bound_give_the_same(docs_of, monkeypatch):
     rows = made_rows(8)
     docs = docs_of([(i, t, "en", s) for i, t, s in rows])
-    monkeypatch.setattr(lq, "_SMALL", lq.Settings(broadcast_max_rows=0))
+    monkeypatch.setattr(lq, "_SMALL", Settings(broadcast_max_rows=0))
     assert got(lq.verdicts(docs)) == plain(rows)
 
 
