@@ -55,9 +55,12 @@ def cuts(n_tokens: int, lengths: list[int]) -> list[int]:
     return out
 
 
-def pieces(docs: DataFrame, end_id: int = 0, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, ids of every piece."""
+def pieces(docs: DataFrame, end_id: int = 0, capacity: int = CAPACITY, tokenizer: str | None = None,
+           with_ids: bool = False) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens of every piece and,
+    ``with_ids``, its ids (little-endian unsigned 32-bit integers)."""
     tokenizer, lengths = tokenizer or tokenizer_path(), class_lengths(capacity)
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
@@ -65,7 +68,7 @@ def pieces(docs: DataFrame, end_id: int = 0, capacity: int = CAPACITY, tokenizer
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                row, start, length, crc, size = [], [], [], [], []
+                row, start, length, crc, size, held = [], [], [], [], [], []
                 for i, raw in enumerate(encode(part.column(1).to_pylist())):
                     ids = np.frombuffer(raw + end, dtype=encode.dtype).astype("<u4")
                     at_id = 0
@@ -75,13 +78,14 @@ def pieces(docs: DataFrame, end_id: int = 0, capacity: int = CAPACITY, tokenizer
                         length.append(n)
                         crc.append(rans.checksum(ids[at_id:at_id + n]))
                         size.append(len(raw) // wide + 1)
+                        if with_ids:
+                            held.append(ids[at_id:at_id + n].tobytes())
                         at_id += n
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, size))],
-                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                columns = [part.column(0).take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, size))]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(held, pa.binary())] * with_ids, names)
 
     return require(docs, ["doc_id", "text"]).mapInArrow(
-        rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+        rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids)
 
 
 def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
@@ -102,18 +106,20 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
 
 
 def pack(docs: DataFrame, end_id: int = 0, capacity: int = CAPACITY, tokenizer: str | None = None,
-         shard: int = SHARD) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset per piece.
+         shard: int = SHARD, with_ids: bool = False) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset per
+    piece and, ``with_ids``, its ids.
 
-    ``sequence_id`` holds, from the high bits down, the piece length (0 for
-    mixed bins), the shard and the bin.
+    ``sequence_id`` holds, from the high bits down, the number of the class
+    (from 1, by ascending length; 0 for mixed bins), the shard and the bin.
     """
     spark = docs.sparkSession
     # the key is drawn once and written, so later steps and reruns see the same
-    cut = materialize(pieces(docs, end_id, capacity, tokenizer).withColumn("key", F.rand(_RANDOM_SEED)), "pieces")
+    cut = materialize(pieces(docs, end_id, capacity, tokenizer, with_ids).withColumn("key", F.rand(_RANDOM_SEED)), "pieces")
     # one row for each class length
-    sizes = [(r.length, -(-r.n // shard)) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()]
-    shards = spark.createDataFrame(sizes, "length long, shards long")
+    number = {n: i for i, n in enumerate(class_lengths(capacity), 1)}
+    sizes = [(r.length, number[r.length], -(-r.n // shard)) for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()]
+    shards = spark.createDataFrame(sizes, "length long, class long, shards long")
     dealt = cut.join(F.broadcast(shards), "length").withColumn(
         "shard", F.floor(F.col("key") * F.col("shards")))
     group = Window.partitionBy("length", "shard")
@@ -124,12 +130,11 @@ def pack(docs: DataFrame, end_id: int = 0, capacity: int = CAPACITY, tokenizer:
                 .withColumn("each", F.floor(each / F.col("length")))
                 .withColumn("bin", F.floor(F.col("rank") / F.col("each")))
                 .withColumn("full", F.col("bin") < F.floor(F.col("n") / F.col("each"))))
+    keep = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
     numbered = materialize(numbered.select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "key", "shard", "bin", "full",
-        ((F.col("rank") % F.col("each")) * F.col("length")).alias("offset")), "ranked-pieces")
-    keep = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+        *keep, "key", "class", "shard", "bin", "full", ((F.col("rank") % F.col("each")) * F.col("length")).alias("offset")), "ranked-pieces")
     filled = numbered.where("full").select(
-        *keep, (F.col("length") * (1 << 52) + F.col("shard") * (1 << 26) + F.col("bin")).alias("sequence_id"), "offset")
+        *keep, (F.col("class") * (1 << 52) + F.col("shard") * (1 << 26) + F.col("bin")).alias("sequence_id"), "offset")
 
     left = numbered.where("not full")
     parts = max(1, -(-left.count() // shard))
@@ -144,3 +149,26 @@ def pack(docs: DataFrame, end_id: int = 0, capacity: int = CAPACITY, tokenizer:
     mixed = (left.withColumn("part", F.floor(F.col("key") * parts))
              .groupBy("part").applyInPandas(place, filled.schema))
     return filled.unionByName(mixed)
+
+
+def sequences(docs: DataFrame, end_id: int = 0, capacity: int = CAPACITY, tokenizer: str | None = None,
+              pad_id: int = 0, shard: int = SHARD) -> DataFrame:
+    """sequence_id, n_tokens, ids: the packed sequences, each padded to ``capacity``
+    (a power of two of ids stays as it is), as little-endian unsigned 32-bit integers.
+
+    A sequence has at most ``capacity`` pieces, so its group is bounded; its
+    pieces must lie one behind the other, else the task fails.
+    """
+    packed = pack(docs, end_id, capacity, tokenizer, shard, with_ids=True)
+    joined = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "length", "ids"))).alias("parts"))
+    n = F.aggregate("parts", F.lit(0).cast("long"), lambda done, p: done + p["length"])
+    gapless = F.aggregate("parts", F.lit(0).cast("long"), lambda done, p: F.when(p["offset"] == done, done + p["length"])) == n
+    # hex strings join and pad inside Spark; 8 digits an id
+    ids = F.array_join(F.transform("parts", lambda p: F.hex(p["ids"])), "")
+    power = F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n_tokens").cast("double")))).cast("long") == F.col("n_tokens")
+    size = F.when(power, F.col("n_tokens")).otherwise(F.lit(capacity)).cast("int")
+    pad = F.expr(f"repeat('{int(pad_id).to_bytes(4, 'little').hex()}', {capacity})")
+    whole = joined.select("sequence_id", n.alias("n_tokens"), ids.alias("digits"), gapless.alias("gapless"))
+    whole = whole.withColumn("digits", F.when(F.coalesce("gapless", F.lit(False)), F.col("digits")).otherwise(
+        F.raise_error(F.concat(F.lit("pieces of a sequence overlap or leave a gap: "), F.col("sequence_id"))).cast("string")))
+    return whole.select("sequence_id", "n_tokens", F.unhex(F.substring(F.concat("digits", pad), F.lit(1), 8 * size)).alias("ids"))
