@@ -21,10 +21,16 @@ _LITERAL = weakref.WeakSet()
 def origin_registry(spark: SparkSession, origins: Sequence[tuple[int, str]] = DEFAULT_ORIGINS) -> DataFrame:
     """The registry as a literal table (``ID_DOMAIN``, ``DESC_BANCO_DADOS``)."""
     registry = spark.createDataFrame(list(origins), schemas.REGISTRY)
-    _LITERAL.add(registry)
+    if len({o for o, _ in origins}) == len(origins):
+        _LITERAL.add(registry)
     return registry
 
 
+def is_literal(registry: DataFrame) -> bool:
+    """Whether the registry is a literal list made here: of known size, one row an origin."""
+    return registry in _LITERAL
+
+
 def attach_origin(df: DataFrame, registry: DataFrame, origin_col: str = "ID_ORIGEM_DB",
                   label_col: str = "ORIGEM_DB", settings: Settings = DEFAULT) -> DataFrame:
     """Inner-join the registry on the origin id and add its description.
@@ -35,6 +41,6 @@ def attach_origin(df: DataFrame, registry: DataFrame, origin_col: str = "ID_ORIG
     """
     reg = registry.select(registry["ID_DOMAIN"].alias("__origin_id"),
                           registry["DESC_BANCO_DADOS"].alias(label_col))
-    bounded = True if registry in _LITERAL else "auto"
+    bounded = True if is_literal(registry) else "auto"
     joined = lookup_join(df, reg, df[origin_col] == reg["__origin_id"], "inner", bounded, settings)
     return joined.drop("__origin_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from dimforge.config import DEFAULT, Settings
 from dimforge.functions.casts import cast_to
-from dimforge.operators.origin import attach_origin
+from dimforge.operators.origin import attach_origin, is_literal
 
 
 def align(df: DataFrame, schema: StructType, allow_missing: bool = False, strict: bool = False) -> DataFrame:
@@ -52,7 +53,7 @@ def conform_union(parts: Sequence[DataFrame], schema: StructType, allow_missing:
 
 def conform_origins(parts: Sequence[DataFrame], schema: StructType, registry: DataFrame,
                     label_col: str = "ORIGEM_DB", origin_col: str = "ID_ORIGEM_DB",
-                    allow_missing: bool = False, settings: Settings = DEFAULT) -> DataFrame:
+                    allow_missing: bool = False, settings: Settings = DEFAULT, disjoint: bool = False) -> DataFrame:
     """Union the per-origin outputs and label each row with its origin.
 
     Each part holds every column of ``schema`` except ``label_col``, in
@@ -61,8 +62,18 @@ def conform_origins(parts: Sequence[DataFrame], schema: StructType, registry: Da
     schema order and duplicates are removed by one DISTINCT: a partial
     aggregate before the shuffle, so many copies of one row never reach a
     single task.
+
+    ``disjoint``: no two parts share an origin, as when each is built with a
+    constant one.  Their rows can't be equal then, so each part has its own
+    DISTINCT, of the same rows in all; the parts don't wait for each other,
+    and a written file holds rows of one origin.
     """
     body = StructType([f for f in schema.fields if f.name != label_col])
+    if disjoint:
+        aligned = [align(p, body, allow_missing, settings.strict_casts).distinct() for p in parts]
+        labels = registry if is_literal(registry) else registry.select("ID_DOMAIN", "DESC_BANCO_DADOS").distinct()
+        labelled = attach_origin(reduce(DataFrame.unionByName, aligned), labels, origin_col, label_col, settings)
+        return labelled.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
     unioned = union_all(parts, body, allow_missing, settings.strict_casts)
     labelled = attach_origin(unioned, registry, origin_col, label_col, settings)
     return labelled.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields)).distinct()

@@ -88,7 +88,7 @@ def build_field(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Set
     legacy = legacy_rows(stage_legacy(raw[RAW_LEGACY], settings, distinct=False))
     if legacy_snapshot:
         legacy = snapshot_once(legacy.distinct(), legacy_snapshot, legacy_token)
-    return conform_origins([current, legacy], schemas.FIELD, registry, settings=settings)
+    return conform_origins([current, legacy], schemas.FIELD, registry, settings=settings, disjoint=True)
 
 
 @audited
@@ -99,4 +99,4 @@ def field_of_origin(raw: Mapping[str, DataFrame], registry: DataFrame, origin: i
         part = current_rows(stage_current(raw[RAW_CURRENT], settings, distinct=False))
     else:
         part = legacy_rows(stage_legacy(raw[RAW_LEGACY], settings, distinct=False))
-    return conform_origins([part], schemas.FIELD, registry, settings=settings)
+    return conform_origins([part], schemas.FIELD, registry, settings=settings, disjoint=True)

@@ -325,7 +325,7 @@ def build_planning(raw: Mapping[str, DataFrame], dims: ConformedTables, registry
     lk = planning_lookups(raw, dims, settings)
     check_lookups(lk.values(), settings)
     parts = [current_rows(raw, dims, settings, grain, lk), legacy_rows(raw, dims, settings, last_year, lk)]
-    return conform_origins(parts, schemas.PLANNING, registry, settings=settings)
+    return conform_origins(parts, schemas.PLANNING, registry, settings=settings, disjoint=True)
 
 
 @audited
@@ -333,4 +333,4 @@ def planning_of_origin(raw: Mapping[str, DataFrame], dims: ConformedTables, regi
                        origin: int, settings: Settings = DEFAULT) -> DataFrame:
     """One origin's conformed rows (labelled, distinct)."""
     part = current_rows(raw, dims, settings) if origin == schemas.CURRENT else legacy_rows(raw, dims, settings)
-    return conform_origins([part], schemas.PLANNING, registry, settings=settings)
+    return conform_origins([part], schemas.PLANNING, registry, settings=settings, disjoint=True)

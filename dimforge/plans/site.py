@@ -168,7 +168,7 @@ def build_site(raw: Mapping[str, DataFrame], registry: DataFrame, settings: Sett
     check_lookups(lk.values(), settings)
     parts = [current_rows(raw, settings, current_region_how, lk),
              legacy_rows(raw, settings, legacy_region_how, lookups=lk)]
-    return conform_origins(parts, schemas.SITE, registry, settings=settings)
+    return conform_origins(parts, schemas.SITE, registry, settings=settings, disjoint=True)
 
 
 @audited
@@ -180,7 +180,7 @@ def build_site_analysis(raw: Mapping[str, DataFrame], registry: DataFrame,
     check_lookups(lk.values(), settings)
     parts = [current_rows(raw, settings, lookups=lk), legacy_rows(raw, settings, analysis=True, lookups=lk)]
     return conform_origins(parts, schemas.SITE_ANALYSIS, registry, allow_missing=True,
-                           settings=settings)
+                           settings=settings, disjoint=True)
 
 
 #: What a site may lack, with the lookup that would hold it, in the order of the joins.
@@ -220,4 +220,4 @@ def site_of_origin(raw: Mapping[str, DataFrame], registry: DataFrame, origin: in
     schema = schemas.SITE_ANALYSIS if analysis else schemas.SITE
     part = (current_rows(raw, settings) if origin == schemas.CURRENT
             else legacy_rows(raw, settings, analysis=analysis))
-    return conform_origins([part], schema, registry, allow_missing=analysis, settings=settings)
+    return conform_origins([part], schema, registry, allow_missing=analysis, settings=settings, disjoint=True)

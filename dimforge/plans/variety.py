@@ -165,7 +165,7 @@ def build_variety(raw: Mapping[str, DataFrame], registry: DataFrame, settings: S
     lk = variety_lookups(raw, settings)
     check_lookups(lk.values(), settings)
     return conform_origins([current_rows(raw, settings, lk), legacy_rows(raw, settings, normalise_labels, lk)],
-                           schemas.VARIETY, registry, settings=settings)
+                           schemas.VARIETY, registry, settings=settings, disjoint=True)
 
 
 @audited
@@ -173,4 +173,4 @@ def variety_of_origin(raw: Mapping[str, DataFrame], registry: DataFrame, origin:
                       settings: Settings = DEFAULT) -> DataFrame:
     """One origin's conformed rows (labelled, distinct)."""
     part = current_rows(raw, settings) if origin == schemas.CURRENT else legacy_rows(raw, settings)
-    return conform_origins([part], schemas.VARIETY, registry, settings=settings)
+    return conform_origins([part], schemas.VARIETY, registry, settings=settings, disjoint=True)

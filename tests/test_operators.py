@@ -220,3 +220,20 @@ def test_a_distinct_is_counted_by_the_rows_under_it(spark):
     staged = stage(spark.range(10).selectExpr("id % 2 AS k"), ["k"])
     assert staged.count() == 2
     assert bounded_fits([staged], 5) == [False] and bounded_fits([staged], 10) == [True]
+
+
+def test_disjoint_origins_have_a_distinct_each(spark):
+    from dimforge.operators import conform_origins, origin_registry
+    from dimforge.schemas import parse_schema
+
+    schema = parse_schema("ID bigint, ID_ORIGEM_DB int, ORIGEM_DB string, NOME string")
+    a = spark.createDataFrame([(1, 2000, "x"), (1, 2000, "x"), (2, 2000, None), (2, 2000, None)], "i int, o int, n string")
+    b = spark.createDataFrame([(1, 1000, "x"), (1, 1000, "x"), (3, 1000, "y")], "i int, o int, n string")
+    twice = spark.createDataFrame([(1000, "L"), (2000, "C"), (2000, "C"), (2000, "D")], "ID_DOMAIN int, DESC_BANCO_DADOS string")
+    for registry in (origin_registry(spark), twice):
+        apart = conform_origins([a, b], schema, registry, disjoint=True)
+        assert rows(apart) == rows(conform_origins([a, b], schema, registry)) and apart.schema.names == schema.names
+    repeated = origin_registry(spark, ((1000, "L"), (1000, "L"), (2000, "C")))
+    assert rows(conform_origins([a, b], schema, repeated, disjoint=True)) == rows(conform_origins([a, b], schema, repeated))
+    plan = apart._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan
