@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimforge.llm import files, rans
-from dimforge.llm.common import discard, materialize, new_folder, require, table_folder, total
+from dimforge.llm.common import discard, materialize, new_folder, require, table_folder
 from dimforge.llm.tokens import encoder, tokenizer_path
 
 BLOCK = 1 << 20
@@ -44,38 +44,47 @@ _TRAILER = struct.Struct("<QQQQQ8s")
 _MANIFEST = "part int, path string, n_ids long, n_docs long, n_bytes long"
 
 
-def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id, ids (little-endian bytes, end id appended), n_tokens, ids_crc32."""
+def token_rows(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
+    """doc_id, ids (little-endian bytes, end id appended), n_tokens, ids_crc32 of
+    each document; and a row for each task with documents, with nothing but
+    ``counts``: how often each id of the vocabulary occurs in it (compressed int64)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         end = np.array([end_id], dtype=encode.dtype).tobytes()
+        seen = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 ids = [x + end for x in encode(part.column(1).to_pylist())]
                 arrays = [np.frombuffer(x, dtype=encode.dtype) for x in ids]
+                seen += np.bincount(np.frombuffer(b"".join(ids), dtype=encode.dtype), minlength=vocabulary)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.binary()), pa.array([len(x) for x in arrays], pa.int64()),
-                     pa.array([rans.checksum(x) for x in arrays], pa.int64())],
-                    ["doc_id", "ids", "n_tokens", "ids_crc32"])
-
+                    [part.column(0).cast(pa.int64()), pa.array(ids, pa.binary()), pa.array([len(x) for x in arrays], pa.int64()),
+                     pa.array([rans.checksum(x) for x in arrays], pa.int64()), pa.nulls(len(ids), pa.binary())], names)
+        if seen.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                 pa.array([zlib.compress(seen.tobytes(), 1)], pa.binary())], names)
+
+    names = ["doc_id", "ids", "n_tokens", "ids_crc32", "counts"]
     return require(docs, ["doc_id", "text"]).mapInArrow(
-        rows, "doc_id long, ids binary, n_tokens long, ids_crc32 long")
+        rows, "doc_id long, ids binary, n_tokens long, ids_crc32 long, counts binary")
 
 
-def id_counts(tokens: DataFrame, vocabulary: int, dtype: str) -> np.ndarray:
-    """How often each id occurs in all rows (one count per id and partition is shuffled)."""
+def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
+    """How often each id occurs in all documents (one count per id and partition is shuffled)."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=dtype)
-            seen += np.bincount(ids, minlength=vocabulary)
+            for raw in batch.column(0).to_pylist():
+                seen += np.frombuffer(zlib.decompress(raw), dtype=np.int64)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at], pa.int64())], ["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(counts, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = (tokens.where("counts IS NOT NULL").select("counts").mapInArrow(counts, "id int, n long")
+            .groupBy("id").agg(F.sum("n").alias("n")))
     out = np.zeros(vocabulary, dtype=np.int64)
     for row in rows.collect():  # at most one row for each id of the vocabulary
         out[row.id] = row.n
@@ -136,10 +145,11 @@ def write_token_files(docs: DataFrame, end_id: int, tokenizer: str | None = None
     spark, tokenizer = docs.sparkSession, tokenizer or tokenizer_path()
     local = encoder(tokenizer)
     vocabulary, dtype = max(len(local.spaced), end_id + 1), local.dtype.str
-    tokens = materialize(token_rows(docs, tokenizer, end_id), "token-ids")
-    n_docs, n_ids = total(tokens, "n_tokens")
+    written = materialize(token_rows(docs, tokenizer, end_id, vocabulary), "token-ids")
+    counts = id_counts(written, vocabulary)
+    n_ids, tokens = int(counts.sum()), written.where("counts IS NULL")
     folder = new_folder(spark, "token-files")
-    frequencies = rans.scaled_frequencies(id_counts(tokens, vocabulary, dtype))
+    frequencies = rans.scaled_frequencies(counts)
     files.put(f"{folder}/frequencies.bin", zlib.compress(frequencies.astype("<u4").tobytes()))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +174,7 @@ def write_token_files(docs: DataFrame, end_id: int, tokenizer: str | None = None
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids_crc32"))
     manifest = materialize(ordered.select("ids", "doc_id").mapInArrow(write, f"{_MANIFEST}, doc_ids array<long>"),
                            "token-manifest")
-    old = table_folder(tokens)
+    old = table_folder(written)
     if old:
         discard(spark, old)
     return TokenFiles(folder, manifest)

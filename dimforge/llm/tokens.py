@@ -5,7 +5,7 @@ space before it) by itself, so a text may be cut before any space that
 follows a printable character without changing its ids.  Words recur far more
 often than texts, so the ids of such words are kept in a bounded memo; the
 library encodes every word that is not there, and whole texts with white
-space that makes the cut unsafe.
+space that makes the cut unsafe, or with the string of an added token.
 """
 
 from __future__ import annotations
@@ -28,26 +28,32 @@ def tokenizer_path(name: str = BYTE_BPE) -> str:
 class Encoder:
     """Encodes texts to little-endian id bytes (``dtype``).
 
-    ``memo`` bounds the number of words kept; a full memo starts anew.
-    Special-token strings inside a text are ordinary text.
+    The ids are those of the library as it is: the string of a special token
+    inside a text is that token.  ``memo`` bounds the bytes of the words kept,
+    with what an entry costs beside them; a full memo starts anew, and words
+    of more than ``_LONGEST`` characters are not kept.
     """
 
     _SENTENCE_ENDS = ".,"
     _JOINED = 1000
+    _LONGEST = 64
+    _ENTRY = 150
 
-    def __init__(self, path: str, memo: int = 1_000_000):
+    def __init__(self, path: str, memo: int = 160 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # a token with a space in it could arise between words that are encoded together
+        self.never_cut = self.tokenizer.normalizer is not None or any(" " in t for t in self.added)
         vocabulary = self.tokenizer.get_vocab()
         size = max(vocabulary.values()) + 1
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         # byte-level vocabularies write the space as this letter
         self.spaced = np.zeros(size, dtype=bool)
         self.spaced[[i for piece, i in vocabulary.items() if piece[0] == "\u0120"]] = True
-        self.memo, self.most = {}, memo
+        self.memo, self.held, self.most = {}, 0, memo
         self.ends = dict(zip(self._SENTENCE_ENDS, self._library(list(self._SENTENCE_ENDS))))
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -70,7 +76,7 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """Fills the memo; a word that can't be cut from its text gets no ids."""
-        memo = self.memo
+        memo, before = self.memo, len(self.memo)
         ended, plain = [], []
         for w in words:
             if not w or not (w[0].isprintable() and w[-1].isprintable()):
@@ -83,6 +89,7 @@ class Encoder:
         memo.update(zip(plain, self._words(plain)))
         for w in ended:
             memo[w] = memo[w[:-1]] + self.ends[w[-1]]
+        self.held += self._ENTRY * (len(memo) - before) + sum(map(len, words))
 
     def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
         """Id bytes per text; None is the empty text."""
@@ -98,11 +105,13 @@ class Encoder:
     def _encode(self, texts: Sequence[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         firsts, rows, missing = [], [], set()
-        if len(self.memo) > self.most:
-            self.memo = {}
-        memo = self.memo
+        if self.held > self.most:
+            self.memo, self.held = {}, 0
+        memo, whole = self.memo, []
         for i, text in enumerate(texts):
-            if text:
+            if text and (self.never_cut or any(t in text for t in self.added)):
+                whole.append(i)
+            elif text:
                 first, *words = text.split(" ")
                 found = list(map(memo.get, words))
                 if None in found:
@@ -111,7 +120,6 @@ class Encoder:
                 rows.append((i, words, found))
         if missing:
             self._learn(missing)
-        whole = []
         for (i, words, found), first, ids in zip(rows, firsts, self._library(firsts)):
             if None in found:
                 found = [memo[w] if f is None else f for w, f in zip(words, found)]
@@ -121,6 +129,9 @@ class Encoder:
                 out[i] = ids + b"".join(found)
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
+        for w in missing:
+            if len(w) > self._LONGEST:
+                del memo[w]
         return out
 
 

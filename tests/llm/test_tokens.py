@@ -15,7 +15,6 @@ from dimforge.llm.tokens import Encoder, tokenizer_path
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -30,6 +29,24 @@ def test_encoder_equals_the_library(library):
         assert [np.frombuffer(x, encode.dtype).tolist() for x in encode(part)] == [library(t) for t in part]
 
 
+@pytest.mark.parametrize("text,ids", [("x <|endoftext|> y", [87, 220, 50256, 331]), ("<|endoftext|>", [50256])])
+def test_special_token_strings_are_those_tokens(library, text, ids):
+    encode = Encoder(tokenizer_path())
+    assert library(text) == ids
+    for around in (text, f"{text} and more", f"start {text}", f"glued{text}glued", f"{text}{text} a {text}", f"<|endoftext {text} |>", f"é\n{text}\t"):
+        for _ in range(2):  # the second time from the memo
+            assert np.frombuffer(encode([around, "plain words"])[0], encode.dtype).tolist() == library(around)
+
+
+def test_memo_is_bounded_by_bytes_and_keeps_no_long_words(library):
+    encode = Encoder(tokenizer_path(), memo=40_000)
+    long = ["q" * 65, "中" * 4000, "q" * 64]
+    for at in range(0, 3000, 100):
+        texts = [f"a w{i} {long[i % 3]} end. {long[i % 3]}" for i in range(at, at + 100)]
+        assert [np.frombuffer(x, encode.dtype).tolist() for x in encode(texts)] == [library(t) for t in texts]
+        assert encode.held <= 40_000 + 100 * (encode._ENTRY + 80) + 10_000 and max(map(len, encode.memo)) <= 64
+
+
 def test_rans_round_trip_and_damage():
     rng = np.random.default_rng(0)
     ids = np.minimum(rng.zipf(1.3, 20_000), 5000).astype(np.uint16)
@@ -166,3 +183,33 @@ def test_packing_edge_cases(spark, edge_docs, empty_docs, with_clashes, library)
     clash = with_clashes(edge_docs, "length", "shard", "bin", "key", "ids")
     check_packing(packing.pack(clash).collect(), edge_docs.collect(), library)
     assert packing.pack(empty_docs).count() == 0
+
+
+def test_larger_capacities_and_class_numbers(spark, docs_of, library):
+    rng = random.Random(7)
+    docs = docs_of([(i, " ".join(rng.choice(["one", "two,", "three."]) for _ in range(rng.choice([0, 9, 500, 9000])))) for i in range(80)])
+    for capacity in (64, 4096):
+        rows = packing.pack(docs, capacity=capacity, shard=20).collect()
+        check_packing(rows, docs.collect(), library, capacity)
+        classes = packing.class_lengths(capacity)
+        assert all(r.sequence_id >> 52 == 0 or classes[(r.sequence_id >> 52) - 1] == r.length for r in rows)
+
+
+def test_sequences_hold_the_pieces_and_their_padding(spark, docs_of, library):
+    rng = random.Random(8)
+    docs = docs_of([(i, " ".join(rng.choice(["one", "two,", "three.", "<|endoftext|>"]) for _ in range(int(rng.paretovariate(0.8) * 9) % 3000)))
+                    for i in range(120)])
+    got = {r.sequence_id: (r.n_tokens, np.frombuffer(bytes(r.ids), "<u4")) for r in
+           packing.sequences(docs, end_id=5, capacity=256, pad_id=9, shard=30).collect()}
+    pieces = packing.pack(docs, end_id=5, capacity=256, shard=30, with_ids=True).collect()
+    texts = {d.doc_id: library(d.text) + [5] for d in docs.collect()}
+    whole = defaultdict(list)
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        ids = np.frombuffer(bytes(p.ids), "<u4")
+        assert ids.tolist() == texts[p.doc_id][p.start:p.start + p.length] and zlib.crc32(bytes(p.ids)) == p.ids_crc32
+        whole[p.sequence_id] += ids.tolist()
+    assert got.keys() == whole.keys() and sum(n for n, _ in got.values()) == sum(map(len, texts.values()))
+    for key, (n, ids) in got.items():
+        assert n == len(whole[key]) and ids[:n].tolist() == whole[key]
+        assert len(ids) == (n if n & (n - 1) == 0 else 256) and (ids[n:] == 9).all()
+    assert packing.sequences(docs.limit(0)).count() == 0
