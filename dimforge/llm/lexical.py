@@ -44,11 +44,13 @@ from dimforge.llm.common import materialize, require
 
 BLOCK = 128
 #: Postings after which a shard is closed.
-POSTINGS = 4_000_000
+POSTINGS = 2_000_000
 #: Items, and distinct terms of them, that are searched for in one job.
 ITEMS, TERMS = 1000, 50_000
 _FIRST_WINDOW, _LAST_WINDOW = 256, 8192
 _ROWS = 50_000
+#: Tasks of a search at most; a task ranks over the shards that fall to it one after another.
+_TASKS = 20_000
 #: The term of the row that holds a shard's documents; no term is empty.
 _DOCUMENTS = ""
 _INDEX = "shard string, term string, df bigint, total bigint, heads binary, data binary"
@@ -395,7 +397,7 @@ def search(index: DataFrame, items: DataFrame, k: int = 10, block: int = BLOCK,
     ``most_terms`` distinct terms, one job a block.
     """
     spark = index.sparkSession
-    n_docs, n_terms = index.where(F.col("term") == _DOCUMENTS).agg(F.sum("df"), F.sum("total")).first()
+    n_docs, n_terms, n_shards = index.where(F.col("term") == _DOCUMENTS).agg(F.sum("df"), F.sum("total"), F.count("*")).first()
     items = require(items, ["item_id", "text"]).select(F.col("item_id").cast("long").alias("item_id"), "text")
     found = None
     for group in _blocks_of_items(items, most_items, most_terms) if n_docs else ():
@@ -405,7 +407,9 @@ def search(index: DataFrame, items: DataFrame, k: int = 10, block: int = BLOCK,
         dfs = dict(lists.where(F.col("term") != _DOCUMENTS).groupBy("term").agg(F.sum("df")).collect())
         weights = {t: weight(n_docs, df) for t, df in dfs.items()}
         queries = [Query(key, item, {t: weights[t] * times for t, times in c.items() if t in weights}) for key, item, c in group]
-        hits = lists.select("shard", "term", "df", "heads", "data").groupBy("shard").applyInArrow(
+        # few bytes and much work a shard: as many tasks as shards, not as their bytes ask for
+        dealt = lists.select("shard", "term", "df", "heads", "data").repartition(min(n_shards, _TASKS), "shard")
+        hits = dealt.groupBy("shard").applyInArrow(
             _searcher(queries, Lengths(n_docs, n_terms), k, block), "key bigint, item_id bigint, doc_id bigint, score bigint")
         found = hits if found is None else found.unionByName(hits)
     if found is None:
