@@ -47,9 +47,9 @@ READING = """
 - **JVM-side only.** Every query runs in whole-stage code generation blocks
   (codegen spans), and no Python evaluation node appears: all expressions
   are built-in Spark functions.
-- **No sort-merge join of a fact, no nested-loop join.** Every lookup is counted
-  first (`bounded_fits`, one job per join chain) and broadcast under the
-  bound. If a lookup outgrows the bound, the same code plans a sort-merge
+- **No sort-merge join of a fact, no nested-loop join.** Every lookup's size is
+  known first (recorded when it was written, or counted by `bounded_fits`, one
+  job per join chain) and it is broadcast under the bound. If a lookup outgrows the bound, the same code plans a sort-merge
   join, and AQE splits a hot key (`tests/test_plan_shape.py`,
   `tests/test_skew.py`).
 - **`conformed_plan`:**
@@ -57,13 +57,17 @@ READING = """
   - the grain sum of the current system (partial aggregation before it);
   - three DISTINCTs of small lookups (scenario, period, simulation), kept so
     that exact copies in a lookup cannot multiply fact rows;
-  - the final DISTINCT of the union.
-
-  The written dimensions are read with `ID_ORIGEM_DB = 2000` pushed into
-  their Parquet scans.
-- **`conformed_site`, 7 shuffles:** one DISTINCT per staged lookup (five
-  snowflake levels and the region list) and the final DISTINCT, which
-  aggregates partially before its exchange. Each lookup is a tiny table.
+  - one DISTINCT for each origin.
+
+  The written dimensions lie in a folder for each origin, so `ID_ORIGEM_DB = 2000`
+  and `= 1000` choose folders (`partition` filters). Published inputs carry
+  their sizes; then the site and farm lookups are two broadcasts and nothing
+  is merged.
+- **`conformed_site`, 8 shuffles:** one DISTINCT per staged lookup (five
+  snowflake levels and the region list) and one for each origin, which
+  aggregate partially before their exchanges. Each lookup is a tiny table.
+- **`load_all_published`, `reload_one_origin`:** the plans are those of the table
+  read back; the second reads one version for each origin.
 - **Pushdown:**
   - prefix tests (`StringStartsWith`), substring tests (`StringContains`),
     equality and IN filters all reach the scans;
@@ -97,6 +101,9 @@ def main() -> None:
         tree = text.split("\n\n")[0]
         pushed = sorted({p for m in re.findall(r"PushedFilters: \[(.*)\]\s*$", text, re.M)
                          for p in top_level_split(m) if p and not p.startswith("IsNotNull")})
+        pushed += sorted({f"partition {p}" for m in re.findall(r"PartitionFilters: \[(.*?)\]\s*$", text, re.M)
+                          for p in top_level_split(m) if p and not p.startswith("isnotnull")})
+        pushed = list(dict.fromkeys(re.sub(r"#\d+", "", p) for p in pushed))
         print(f"| {name} | {len(re.findall(r'Exchange \(', tree)) - tree.count('BroadcastExchange')} "
               f"| {tree.count('BroadcastExchange')} | {tree.count('BroadcastHashJoin')} | {tree.count('SortMergeJoin')} "
               f"| {tree.count('BroadcastNestedLoopJoin')} | {tree.count('HashAggregate')} "
