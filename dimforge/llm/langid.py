@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.llm.common import require
+from dimforge.llm.tokens import forget_words
 
 UNKNOWN = "und"
 PER_LANGUAGE = 1000
@@ -110,6 +111,7 @@ def fit(sample: DataFrame) -> Model:
     """A model from rows (text, lang); per language at most ``SLOTS`` counts are collected."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         seen: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -160,6 +162,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         predict = model.value.predict
         for batch in batches:
             yield batch.filter(pa.array([not predict(t)[2] for t in batch.column(at).to_pylist()], pa.bool_()))
@@ -172,6 +175,7 @@ def identified(docs: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(fit(training_sample(docs)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         predict = model.value.predict
         for batch in batches:
             found = [predict(t) for t in batch.column(1).to_pylist()]

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -35,16 +36,18 @@ class Encoder:
     """
 
     _SENTENCE_ENDS = ".,"
-    _JOINED = 1000
+    _JOINED = 200
     _LONGEST = 64
     _ENTRY = 150
 
-    def __init__(self, path: str, memo: int = 160 << 20):
+    def __init__(self, path: str, memo: int = 112 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # what all of them begin with is looked for first
+        self.added_start = os.path.commonprefix(self.added)
         # a token with a space in it could arise between words that are encoded together
         self.never_cut = self.tokenizer.normalizer is not None or any(" " in t for t in self.added)
         vocabulary = self.tokenizer.get_vocab()
@@ -53,9 +56,14 @@ class Encoder:
         # byte-level vocabularies write the space as this letter
         self.spaced = np.zeros(size, dtype=bool)
         self.spaced[[i for piece, i in vocabulary.items() if piece[0] == "\u0120"]] = True
-        self.memo, self.held, self.most = {}, 0, memo
+        self.most = memo
+        self.forget()
         self.ends = dict(zip(self._SENTENCE_ENDS, self._library(list(self._SENTENCE_ENDS))))
 
+    def forget(self) -> None:
+        """Empties the memo."""
+        self.memo, self.held = {}, 0
+
     def _library(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in encoded]
@@ -106,10 +114,10 @@ class Encoder:
         out: list[bytes] = [b""] * len(texts)
         firsts, rows, missing = [], [], set()
         if self.held > self.most:
-            self.memo, self.held = {}, 0
+            self.forget()
         memo, whole = self.memo, []
         for i, text in enumerate(texts):
-            if text and (self.never_cut or any(t in text for t in self.added)):
+            if text and (self.never_cut or self.added_start in text and any(t in text for t in self.added)):
                 whole.append(i)
             elif text:
                 first, *words = text.split(" ")
@@ -143,3 +151,11 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def forget_words() -> None:
+    """Empties the memos of this Python worker.  Spark hands its workers on to
+    the next steps, which would hold them beside their own."""
+    for one in _encoders.values():
+        one.forget()
+    pa.default_memory_pool().release_unused()

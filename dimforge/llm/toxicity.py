@@ -54,6 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimforge.llm.common import materialize, require
+from dimforge.llm.tokens import forget_words
 
 TOXIC_DOCS = 3000
 ORDINARY_DOCS = 6000
@@ -507,6 +508,7 @@ def fit(sample: DataFrame, windows_each: int = WINDOWS) -> Model | None:
     """
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         for batch in batches:
             made = [line_of(t) for t in batch.column(0).to_pylist()]
             words = [Counter(windows_of(line)) for line in made]
@@ -560,6 +562,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     model = fitted(docs, labels)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         scorer = Scorer(model)
         for batch in batches:
             read = [scorer.read(t) for t in batch.column(1).to_pylist()]
@@ -578,6 +581,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     model, at = fitted(docs, labels), docs.columns.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         scorer = Scorer(model)
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
