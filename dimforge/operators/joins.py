@@ -29,6 +29,8 @@ _supersets: "weakref.WeakKeyDictionary[DataFrame, DataFrame]" = weakref.WeakKeyD
 # (rows, bytes of the text values) that a frame holds at most.
 _sizes: "weakref.WeakKeyDictionary[DataFrame, Sizes]" = weakref.WeakKeyDictionary()
 _bounds: "weakref.WeakKeyDictionary[DataFrame, tuple[int, int]]" = weakref.WeakKeyDictionary()
+# Frames known to hold no row twice.
+_unique: "weakref.WeakSet[DataFrame]" = weakref.WeakSet()
 _lock = threading.Lock()
 
 
@@ -78,6 +80,25 @@ def note_superset(df: DataFrame, superset: DataFrame) -> DataFrame:
     return df
 
 
+def note_unique(df: DataFrame) -> DataFrame:
+    """Records that no two rows of ``df`` are equal."""
+    with _lock:
+        _unique.add(df)
+    return df
+
+
+def is_unique(df: DataFrame) -> bool:
+    with _lock:
+        return df in _unique
+
+
+def distinct_lookup(df: DataFrame) -> DataFrame:
+    """The DISTINCT of a lookup, bounded by what bounds the lookup."""
+    with _lock:
+        held = _supersets.get(df)
+    return df if held is not None else note_superset(df.distinct(), df)
+
+
 def note_sizes(df: DataFrame, sizes: Sizes) -> DataFrame:
     """Records the sizes of the written table that ``df`` reads whole."""
     with _lock:
@@ -144,6 +165,9 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | No
     rows of a large frame, and the fact table is never read by a check.
     A DISTINCT is counted by the rows under it, so a check shuffles nothing
     but its sums, and a frame whose files alone pass the bound is not read.
+    Where the rows under a DISTINCT pass the bound and its own, by an estimate,
+    do not, as where a lookup of a few rows is made from a large table, its own
+    are counted: to shuffle the fact instead costs far more.
     Without ``max_bytes`` only rows are counted (no column is read).
     """
     bound = (max_rows, max_bytes if max_bytes is not None else -1)
@@ -175,9 +199,29 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | No
                 size = var_bytes + n * terms[i][1]
                 known[i] = (bound, n <= max_rows and (max_bytes is None or size <= max_bytes), size)
                 _checked[frames[i]] = known[i]
+    few = [i for i in range(len(frames)) if not known[i][1] and sources[i] is not frames[i]
+           and _bounded(frames[i]) is None and known[i][2] >= 0]
+    for i in few:
+        known[i] = _counted_distinct(frames[i], sources[i], bound)
+        with _lock:
+            _checked[frames[i]] = known[i]
     return [known[i][1] for i in range(len(frames))]
 
 
+def _counted_distinct(df: DataFrame, under: DataFrame, bound: tuple[int, int]) -> tuple[tuple[int, int], bool, int]:
+    """The check of a DISTINCT of too many rows: an estimate of one row a task
+    (off by 5 %), then the count.  The negative size of one that doesn't fit
+    says that it was tried."""
+    max_rows, max_bytes = bound
+    tried = bound, False, -1
+    if under.agg(F.approx_count_distinct(F.xxhash64(*[F.col(f"`{c}`") for c in under.columns]))).first()[0] > 1.2 * max_rows:
+        return tried
+    size, width = _size_terms(df)
+    n, var_bytes = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    total = (var_bytes or 0) + n * width
+    return (bound, True, total) if n <= max_rows and (max_bytes < 0 or total <= max_bytes) else tried
+
+
 def checked_bytes(df: DataFrame) -> int:
     """Size in bytes measured by the last check of ``df`` (0 if unchecked
     or checked without a byte bound)."""
@@ -202,13 +246,15 @@ class Lookup:
     """One lookup of a join chain.
 
     ``broadcast``: ``"auto"`` (size-checked), ``True`` for a side bounded by
-    construction (a literal list), ``False`` to never broadcast.
+    construction (a literal list), ``False`` to never broadcast.  ``met``: the
+    rows without a match in it are gone already.
     """
 
     frame: DataFrame
     on: Column | str | Sequence[str]
     how: str = "inner"
     broadcast: bool | str = "auto"
+    met: bool = False
 
 
 def _key_names(on) -> list[str] | None:
@@ -219,40 +265,62 @@ def _key_names(on) -> list[str] | None:
     return None
 
 
+_SEMI = ("left_semi", "semi", "leftsemi")
+
+
 def _join_order(columns: Sequence[str], lookups: Sequence[Lookup], broadcast: Sequence[bool]) -> list[int]:
-    """Broadcast lookups first, each as soon as its key columns exist.
+    """Semi joins and the shuffle joins first, each as soon as its key columns exist.
 
     Joins on named keys that add columns commute as long as a lookup comes
     after the lookups that provide its keys, so the order is free up to
-    that; running the broadcast joins first means their inner joins drop
-    fact rows before any sort-merge join shuffles the fact.  A chain with a
-    join condition given as an expression keeps its order.
+    that.  A shuffle join writes all columns the fact has by then, so those
+    that add the fewest come first, and what broadcast joins add comes after
+    them, but for the keys that they need.  A chain with a join condition
+    given as an expression keeps its order.
     """
     keys = [_key_names(lk.on) for lk in lookups]
     if any(k is None for k in keys):
         return list(range(len(lookups)))
     available, pending, order = set(columns), list(range(len(lookups))), []
+
+    def rank(i: int) -> tuple:
+        if lookups[i].how in _SEMI:
+            return 0, not broadcast[i]
+        return (2, 0) if broadcast[i] else (1, len(lookups[i].frame.columns) - len(keys[i]))
+
     while pending:
         ready = [i for i in pending if set(keys[i]) <= available]
         if not ready:
             return list(range(len(lookups)))
-        pick = next((i for i in ready if broadcast[i]), ready[0])
+        pick = min(ready, key=rank)
         order.append(pick)
         pending.remove(pick)
-        if lookups[pick].how not in ("left_semi", "semi", "leftsemi"):
+        if lookups[pick].how not in _SEMI:
             available |= set(lookups[pick].frame.columns)
     return order
 
 
+def _with_match(left: DataFrame, lookups: Sequence[Lookup], broadcast: Sequence[bool]) -> DataFrame:
+    """The fact rows that have a match in each lookup to be broadcast whose key
+    the fact has, before any shuffle; by the keys alone."""
+    for lk, small in zip(lookups, broadcast):
+        names = _key_names(lk.on)
+        if small and lk.how == "inner" and not lk.met and names and set(names) <= set(left.columns):
+            left = left.join(F.broadcast(lk.frame.select(*names)), names, "left_semi")
+    return left
+
+
 def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings = DEFAULT) -> DataFrame:
     """Join ``left`` to each lookup (a star, or a snowflake when a lookup's
     key comes from an earlier one).
 
     Inner, left outer and left semi joins keep ``left`` as the streamed
     side, so a broadcast right side is always legal.  Lookups under the
-    bound are broadcast and joined first, smallest first within the chain's
-    broadcast budget; the others follow as shuffle (sort-merge) joins, hinted
-    so that no estimate-based threshold of the session broadcasts them.
+    bound are broadcast, smallest first within the chain's broadcast budget;
+    the others are shuffle (sort-merge) joins, hinted so that no
+    estimate-based threshold of the session broadcasts them.  Before these,
+    the fact rows without a match in a broadcast lookup go; the lookup's
+    columns are joined after them.
     """
     auto = [lk.frame for lk in lookups if lk.broadcast == "auto"]
     fits = iter(bounded_fits(auto, settings.broadcast_max_rows, settings.broadcast_max_bytes)) if auto else iter(())
@@ -266,6 +334,8 @@ def chain_lookups(left: DataFrame, lookups: Sequence[Lookup], settings: Settings
         if total > settings.broadcast_budget_bytes:
             use[i] = False
     out = left
+    if not all(use) and not settings.audit:  # an audit counts what each join itself loses
+        out = _with_match(out, lookups, use)
     for i in _join_order(left.columns, lookups, use):
         lk = lookups[i]
         # a side not proven small is pinned to a shuffle join, so no session's
