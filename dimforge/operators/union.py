@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from dimforge.config import DEFAULT, Settings
 from dimforge.functions.casts import cast_to
+from dimforge.operators.joins import is_unique
 from dimforge.operators.origin import attach_origin, is_literal
 
 
@@ -66,11 +67,14 @@ def conform_origins(parts: Sequence[DataFrame], schema: StructType, registry: Da
     ``disjoint``: no two parts share an origin, as when each is built with a
     constant one.  Their rows can't be equal then, so each part has its own
     DISTINCT, of the same rows in all; the parts don't wait for each other,
-    and a written file holds rows of one origin.
+    and a written file holds rows of one origin.  A part noted as unique, of
+    the published types, needs none.
     """
     body = StructType([f for f in schema.fields if f.name != label_col])
     if disjoint:
-        aligned = [align(p, body, allow_missing, settings.strict_casts).distinct() for p in parts]
+        aligned = [align(p, body, allow_missing, settings.strict_casts) for p in parts]
+        aligned = [a if is_unique(p) and [f.dataType for f in p.schema] == [f.dataType for f in body] else a.distinct()
+                   for p, a in zip(parts, aligned)]
         labels = registry if is_literal(registry) else registry.select("ID_DOMAIN", "DESC_BANCO_DADOS").distinct()
         labelled = attach_origin(reduce(DataFrame.unionByName, aligned), labels, origin_col, label_col, settings)
         return labelled.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from dimforge import schemas
 from dimforge.audit import audited
@@ -45,7 +46,7 @@ from dimforge.operators import (
     stage,
     starts_with,
 )
-from dimforge.operators.joins import fits_broadcast
+from dimforge.operators.joins import bounded_fits, distinct_lookup, fits_broadcast, note_unique
 
 # Raw table names, the plan scenario, active simulation states
 # and the last legacy season year.
@@ -225,27 +226,77 @@ def _of_scenarios(plan: DataFrame, scenarios: DataFrame, settings: Settings) ->
     return chain_lookups(keyed, [Lookup(wanted, "K_SCENARIO", "left_semi", small)], settings).drop("K_SCENARIO")
 
 
+#: Lookups of the current system whose key is part of the planning grain.
+_GRAIN_LOOKUPS = {"periods": "ID_PERIODOSAFRA", "field": "ID_UPN3_FISICO", "variety": "ID_VARIEDADE", "site": "ID_UPNIVEL2"}
+
+
+def _of_matches(plan: DataFrame, lookups: Mapping[str, DataFrame], small: Mapping[str, bool], settings: Settings) -> DataFrame:
+    """Raw plan rows with a match in the small lookups of the grain.  A group
+    of the grain goes or stays as a whole, so the others are dropped before the
+    sum shuffles them."""
+    for name, column in _GRAIN_LOOKUPS.items():
+        if small[name]:
+            wanted = lookups[name].select(F.col(column).alias("K_MATCH"))
+            keyed = plan.withColumn("K_MATCH", cast_to(column, "bigint", settings.strict_casts))
+            plan = chain_lookups(keyed, [Lookup(wanted, "K_MATCH", "left_semi", True)], settings).drop("K_MATCH")
+    return plan
+
+
 def current_rows(raw: Mapping[str, DataFrame], dims: ConformedTables,
                  settings: Settings = DEFAULT, grain: str = "raw",
                  lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Current-system fact rows (without the origin label)."""
+    """Current-system fact rows (without the origin label).
+
+    Duplicates are dropped while the rows are narrow.  Past the scenario and
+    the period, a row is all that it shows of itself and the keys of the other
+    lookups, which it shows too; so distinct rows joined to distinct lookup
+    rows give distinct fact rows, and the 30 columns need no DISTINCT.  An
+    audited build joins first, as its counts are those of the joins.
+    """
     lk = lookups or planning_lookups(raw, dims, settings)
-    u = stage_plan(_of_scenarios(raw[RAW_PLAN], lk["scenarios"], settings), settings, distinct=False, grain=grain)
-    out = chain_lookups(u, [
-        Lookup(lk["scenarios"], "ID_CENARIO"),
-        Lookup(lk["periods"], "ID_PERIODOSAFRA"),
-        Lookup(lk["field"], "ID_UPN3_FISICO"),
-        Lookup(lk["season"], "ID_SAFRA"),
-        Lookup(lk["variety"], "ID_VARIEDADE"),
-        Lookup(lk["crop"], "ID_OCUPACAO"),
-        Lookup(lk["site"], "ID_UPNIVEL2"),
-        Lookup(lk["farm"], "ID_FAZENDA"),
-    ], settings)
+    plan, small = _of_scenarios(raw[RAW_PLAN], lk["scenarios"], settings), dict.fromkeys(_GRAIN_LOOKUPS, False)
+    if not settings.audit:
+        fits = bounded_fits([lk[name] for name in small], settings.broadcast_max_rows, settings.broadcast_max_bytes)
+        small = dict(zip(small, fits))
+        plan = _of_matches(plan, lk, small, settings)
+    u = stage_plan(plan, settings, distinct=False, grain=grain)
+    origin = F.col("ID_ORIGEM_DB")
+    keyed = chain_lookups(u, [
+        Lookup(lk["scenarios"], "ID_CENARIO", met=True),
+        Lookup(lk["periods"], "ID_PERIODOSAFRA", met=small["periods"]),
+    ], settings).withColumn("ID_PLANEJAMENTO_AGRICOLA", business_key(
+        origin, "ID_PERIODOSAFRA", "ID_UPN3_FISICO", "ID_VARIEDADE", "CD_UPNIVEL3"))
+    keyed = keyed.drop("ID_PERIODOSAFRA", "CD_UPNIVEL3", "ID_CENARIO")
+    keys = {"field": "ID_UPN3_FISICO", "season": "ID_SAFRA", "variety": "ID_VARIEDADE", "crop": "ID_OCUPACAO",
+            "site": "ID_UPNIVEL2", "farm": "ID_FAZENDA"}
+    kinds = {f.name: f.dataType for f in [*keyed.schema, *lk["site"].schema] if f.name in keys.values()}
+    # keys of other types could be unequal, yet equal to the same key of the fact
+    alike = all(isinstance(kinds[k], IntegralType) and isinstance(lk[name].schema[k].dataType, IntegralType)
+                or kinds[k] == lk[name].schema[k].dataType for name, k in keys.items())
+    early = alike and not settings.audit
+    if early:
+        keyed = keyed.distinct()
+    out = chain_lookups(keyed, [Lookup(_without_copies(lk[name], settings) if early else lk[name], key, met=small.get(name, False))
+                                for name, key in keys.items()], settings)
+    out = _shown(out)
+    return note_unique(out) if early else out
+
+
+def _without_copies(lookup: DataFrame, settings: Settings) -> DataFrame:
+    """A lookup's distinct rows.  A large one is looked through first: as it
+    stands, a plain scan, Spark can make a runtime filter of it."""
+    if fits_broadcast(lookup, settings.broadcast_max_rows, settings.broadcast_max_bytes):
+        return distinct_lookup(lookup)
+    copies = lookup.groupBy(*lookup.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return lookup if copies.isEmpty() else distinct_lookup(lookup)
+
+
+def _shown(out: DataFrame) -> DataFrame:
+    """The fact's columns of the joined current-system rows."""
     origin = F.col("ID_ORIGEM_DB")
     return out.select(
         F.col("ID_UPN3_PLAN").alias("ID_DOMAIN"), "ID_ORIGEM_DB",
-        business_key(origin, "ID_PERIODOSAFRA", "ID_UPN3_FISICO", "ID_VARIEDADE",
-                     "CD_UPNIVEL3").alias("ID_PLANEJAMENTO_AGRICOLA"),
+        "ID_PLANEJAMENTO_AGRICOLA",
         origin_key(origin, "ID_UPN3_PLAN").alias("ID_LAV_LOGICA"),
         origin_key(origin, "ID_UPN3_FISICO").alias("ID_LAV_FISICA"),
         "COD_LAVOURA", "ID_SAFRA", "ANO_AGRICOLA", "SAFRINHA",
