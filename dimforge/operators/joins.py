@@ -268,6 +268,11 @@ def _key_names(on) -> list[str] | None:
 _SEMI = ("left_semi", "semi", "leftsemi")
 
 
+def _narrow(lk: Lookup) -> bool:
+    """Whether a lookup adds at most one column."""
+    return len(set(lk.frame.columns) - set(_key_names(lk.on) or ())) <= 1
+
+
 def _join_order(columns: Sequence[str], lookups: Sequence[Lookup], broadcast: Sequence[bool]) -> list[int]:
     """Semi joins and the shuffle joins first, each as soon as its key columns exist.
 
@@ -275,7 +280,8 @@ def _join_order(columns: Sequence[str], lookups: Sequence[Lookup], broadcast: Se
     after the lookups that provide its keys, so the order is free up to
     that.  A shuffle join writes all columns the fact has by then, so those
     that add the fewest come first, and what broadcast joins add comes after
-    them, but for the keys that they need.  A chain with a join condition
+    them, but for the keys that they need and for a single column, which adds
+    little and needs no join by the keys alone.  A chain with a join condition
     given as an expression keeps its order.
     """
     keys = [_key_names(lk.on) for lk in lookups]
@@ -286,7 +292,9 @@ def _join_order(columns: Sequence[str], lookups: Sequence[Lookup], broadcast: Se
     def rank(i: int) -> tuple:
         if lookups[i].how in _SEMI:
             return 0, not broadcast[i]
-        return (2, 0) if broadcast[i] else (1, len(lookups[i].frame.columns) - len(keys[i]))
+        if broadcast[i]:
+            return (0, 2) if _narrow(lookups[i]) else (2, 0)
+        return 1, len(lookups[i].frame.columns) - len(keys[i])
 
     while pending:
         ready = [i for i in pending if set(keys[i]) <= available]
@@ -305,7 +313,7 @@ def _with_match(left: DataFrame, lookups: Sequence[Lookup], broadcast: Sequence[
     the fact has, before any shuffle; by the keys alone."""
     for lk, small in zip(lookups, broadcast):
         names = _key_names(lk.on)
-        if small and lk.how == "inner" and not lk.met and names and set(names) <= set(left.columns):
+        if small and lk.how == "inner" and not lk.met and not _narrow(lk) and names and set(names) <= set(left.columns):
             left = left.join(F.broadcast(lk.frame.select(*names)), names, "left_semi")
     return left
 

@@ -30,7 +30,7 @@ def test_columns_of_broadcast_lookups_are_not_shuffled(spark):
     fact = spark.range(2000).select(F.col("id").alias("big"), (F.col("id") % 30).alias("small"))
     big = spark.range(1500).select(F.col("id").alias("big"), F.lit("b").alias("of_big"))
     wider = spark.range(1500).select(F.col("id").alias("big"), F.lit("x").alias("w1"), F.lit("y").alias("w2"))
-    small = spark.range(20).select(F.col("id").alias("small"), F.concat(F.lit("name"), "id").alias("name"))
+    small = spark.range(20).select(F.col("id").alias("small"), F.concat(F.lit("name"), "id").alias("name"), F.lit("z").alias("more"))
     lookups = [Lookup(wider, "big"), Lookup(small, "small"), Lookup(big, "big")]
     out = chain_lookups(fact, lookups, Settings(broadcast_max_rows=100))
     tree = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
