@@ -158,10 +158,11 @@ def apart(a, b, nt: float, no: float, least_ratio: float = 3.0):
 
 
 def _numbers(raw: np.ndarray, size: int) -> np.ndarray:
-    """The n-grams of bytes as numbers, one for each place."""
-    out = np.zeros(max(0, len(raw) - size + 1), dtype=np.uint64)
+    """The n-grams of bytes as numbers, one for each place; fewer bytes than an n-gram have none."""
+    places = max(0, len(raw) - size + 1)
+    out = np.zeros(places, dtype=np.uint64)
     for j in range(size):
-        out |= raw[j:len(raw) - size + 1 + j].astype(np.uint64) << np.uint64(8 * j)
+        out |= raw[j:j + places].astype(np.uint64) << np.uint64(8 * j)
     return out
 
 
@@ -172,7 +173,7 @@ def distinctive(sample: Sample, least_z: tuple[float, ...]) -> list[list[bytes]]
     padded = [b" " + w + b" " for w in sample.words]
     # a window shorter than an n-gram is one by itself, told apart by bytes that no text holds
     padded = [p.ljust(_GRAM, b"\xff") for p in padded]
-    sizes = np.array([len(p) for p in padded])
+    sizes = np.array([len(p) for p in padded], dtype=np.int64)
     grams, of = _numbers(np.frombuffer(b"".join(padded), dtype=np.uint8), _GRAM), np.repeat(np.arange(len(padded)), sizes)
     inside = of[:len(grams)] == of[_GRAM - 1:]
     names, gram = np.unique(grams[inside], return_inverse=True)

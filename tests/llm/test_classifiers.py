@@ -252,6 +252,34 @@ def test_scores_equal_a_plain_version(monkeypatch):
     assert len(seen) >= 6
 
 
+@pytest.mark.parametrize("size", [5, 8])
+def test_ngrams_of_lines_of_any_length(size):
+    for n in range(3 * size):
+        raw = bytes(range(1, n + 1))
+        got = toxicity._numbers(np.frombuffer(raw, dtype=np.uint8), size).tolist()
+        assert got == [int.from_bytes(raw[i:i + size], "little") for i in range(n - size + 1)], n
+
+
+def test_short_texts_are_learned_from(spark, docs_of):
+    """Labelled texts whose line is shorter than an n-gram, of both classes, beside longer ones."""
+    docs, labels = toxic_set(900, random.Random(4))
+    short = ["De.", "Ere.", "a", "ab", "a b", "é", "中", "12345", "123456", "", None]
+    docs += [(1000 + i, short[i % len(short)]) for i in range(110)]
+    labels += [(1000 + i, 1, i % 2) for i in range(110)]
+    docs, labels = docs_of(docs), spark.createDataFrame(labels, LABELS)
+    learned = toxicity.labelled_sample(docs, labels)
+    assert {len(toxicity.line_of(r.text)) for r in learned.collect()} >= {0, 3, 4, 5, 6, 7, 8}
+    scores = {r.doc_id: r.score for r in toxicity.scored(docs, labels).collect()}
+    assert len(scores) == 1010
+    kept = {r.doc_id for r in toxicity.drop_toxic(docs, labels).collect()}
+    assert kept == {i for i, score in scores.items() if score < 0.7}
+
+
+def test_documents_without_words_are_learned_from():
+    empty = [toxicity.Document([], np.zeros(0, dtype=np.int64), label, 1.0, b"") for label in (0, 1) * 5]
+    assert toxicity.Scorer(toxicity.learn(empty)).score("some text") == pytest.approx(0.5)
+
+
 def test_stretches_are_told_by_documents_that_hold_them():
     rng, docs = random.Random(5), []
     for i in range(300):
