@@ -165,8 +165,8 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | No
     rows of a large frame, and the fact table is never read by a check.
     A DISTINCT is counted by the rows under it, so a check shuffles nothing
     but its sums, and a frame whose files alone pass the bound is not read.
-    Where the rows under a DISTINCT pass the bound and its own, by an estimate,
-    do not, as where a lookup of a few rows is made from a large table, its own
+    Where the rows under a DISTINCT pass twice the bound and its own, by an estimate,
+    do not pass it, as where a lookup of a few rows is made from a large table, its own
     are counted: to shuffle the fact instead costs far more.
     Without ``max_bytes`` only rows are counted (no column is read).
     """
@@ -197,7 +197,9 @@ def bounded_fits(frames: Sequence[DataFrame], max_rows: int, max_bytes: int | No
             for i in todo:
                 n, var_bytes = stats.get(i, (0, 0))
                 size = var_bytes + n * terms[i][1]
-                known[i] = (bound, n <= max_rows and (max_bytes is None or size <= max_bytes), size)
+                fits = n <= max_rows and (max_bytes is None or size <= max_bytes)
+                far = n > 2 * max_rows or (max_bytes is not None and size > 2 * max_bytes)
+                known[i] = (bound, fits, size if fits or far or sources[i] is frames[i] else -1)
                 _checked[frames[i]] = known[i]
     few = [i for i in range(len(frames)) if not known[i][1] and sources[i] is not frames[i]
            and _bounded(frames[i]) is None and known[i][2] >= 0]
